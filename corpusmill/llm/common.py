@@ -47,29 +47,27 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def rerun_key(*cols: str, seed: int = 0) -> Column:
-    """A pseudo-random long that depends on the values alone, so reruns agree."""
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
+def hash_bucket(hashed: str, buckets: int) -> Column:
+    """The longs cut into `buckets` equal ranges, numbered in their (unsigned) order."""
+    return F.shiftright(F.shiftrightunsigned(hashed, 33) * F.lit(buckets), 31)
 
 
-def running(df: DataFrame, group: list[str], order: list[str], value: Column | str, into: str, per_bucket: int = 20_000) -> DataFrame:
+def hottest(df: DataFrame, group: list[str]) -> int:
+    """Rows of the largest group."""
+    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+
+
+def running(df: DataFrame, group: list[str], bucket: Column, order: list[Column | str], value: Column | str, into: str) -> DataFrame:
     """Adds `into`: the sum of `value` over the rows before this one in its group, in the order of
-    the first `order` column (a hash, spread evenly over the longs) and then the others.
+    `bucket` and then of `order`. `group` must hold no nulls.
 
-    A window over a hot group would be one task. Here the hash is cut into buckets, each summed on
-    its own; the sums of the buckets (one row per group and bucket) give what precedes each."""
-    n = df.count()
-    buckets = max(1, -(-n // per_bucket))
+    A window over a hot group would be one task. Here each bucket of a group is summed on its own;
+    the sums of the buckets, one row for each, give what precedes them."""
     value = F.col(value) if isinstance(value, str) else value
-    cut = df.withColumn("_v", value).withColumn("_b", F.pmod(F.shiftrightunsigned(order[0], 33), F.lit(2**31)) * F.lit(buckets))
-    cut = cut.withColumn("_b", F.floor(F.col("_b") / F.lit(2**31)).cast("int"))
+    cut = df.withColumns({"_v": value, "_b": bucket})
     sums = cut.groupBy(*group, "_b").agg(F.sum("_v").alias("_s"))
-    before = sums.withColumn("_before", F.coalesce(F.sum("_s").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_s")
-    names = [*group, "_b"]
-    before = before.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(names)], "_before")
-    on = F.lit(True)
-    for i, c in enumerate(names):
-        on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    inside = Window.partitionBy(*names).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = cut.withColumn("_inside", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
-    return summed.join(before, on, "left").withColumn(into, F.col("_before") + F.col("_inside")).drop("_v", "_b", "_inside", "_before", *[f"_k{i}" for i in range(len(names))])
+    above = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*group, "_b", F.coalesce(F.sum("_s").over(above), F.lit(0)).alias("_above"))
+    inside = Window.partitionBy(*group, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("_inside", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
+    return cut.join(sums, [*group, "_b"]).withColumn(into, F.col("_above") + F.col("_inside")).drop("_v", "_b", "_inside", "_above")

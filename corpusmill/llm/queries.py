@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import langid, mixing, packing
 from .common import table
 
 
@@ -17,8 +18,17 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model)
 
 
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixing.taken(mixed).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_langid": op10_langid}
+    return {"op3_mix": op3_mix, "op8_pack": op8_pack, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:
