@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing
+from . import chat, langid, mixing, packing, simhash
 from .common import table
 
 
@@ -18,17 +18,28 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixing.taken(mixed).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = f"{chat.END}{chat.START}assistant ok"
+    planted = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.digest(chat.format_chats(turns))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_mix": op3_mix, "op8_pack": op8_pack, "op10_langid": op10_langid}
+    return {"op2_simhash": op2_simhash, "op5_chat": op5_chat, "op3_mix": op3_mix, "op8_pack": op8_pack, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:
