@@ -81,8 +81,8 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks:
 def in_order(docs: DataFrame, per_bucket: int = 4000) -> tuple[DataFrame, DataFrame]:
     """`docs` (doc_id, text) with bucket, rn, next_text, and the table (bucket, next_bucket).
 
-    Buckets are equal ranges of doc_id, so the next document is a window away within a bucket; only
-    a bucket's last row looks for the first of the next bucket that has any (after the last: the first).
+    Buckets are equal ranges of doc_id, so the next document is a window away within a bucket, where
+    the first row of the next bucket that has any (after the last: of the first) is a guest at the end.
     Equal ids go by a hash of the text. A null doc_id comes before all others."""
     least, most, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     width = max(1, -(-((most or 0) - (least or 0) + 1) // max(1, -(-n // per_bucket))))
@@ -93,13 +93,11 @@ def in_order(docs: DataFrame, per_bucket: int = 4000) -> tuple[DataFrame, DataFr
     start = Window.partitionBy().orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = firsts.withColumns({"next_bucket": F.coalesce("next_bucket", F.first("bucket").over(start)), "_next": F.coalesce("_next", F.first("_first").over(start))})
     firsts = written(firsts.select("bucket", "next_bucket", F.col("_next.doc_id").alias("_next_id"), F.col("_next._h").alias("_next_h")))
-    met = docs.select("doc_id", "_h", "text").join(firsts.select(F.col("bucket").alias("_at"), "_next_id", "_next_h"), F.col("doc_id").eqNullSafe(F.col("_next_id")) & (F.col("_h") == F.col("_next_h")))
-    met = met.groupBy("_at").agg(F.first("text").alias("_met"))
-    w = Window.partitionBy("bucket").orderBy("doc_id", "_h")
-    rows = docs.withColumns({"rn": F.row_number().over(w), "_more": F.lead(F.lit(True)).over(w), "_lead": F.lead("text").over(w)})
-    rows = rows.withColumn("_at", F.when(F.col("_more").isNull(), F.col("bucket")))
-    rows = rows.join(met, "_at", "left")
-    rows = rows.select("doc_id", "text", "bucket", "rn", F.when(F.col("_more").isNull(), F.col("_met")).otherwise(F.col("_lead")).alias("next_text"))
+    met = docs.join(firsts.select(F.col("bucket").alias("_at"), "_next_id", "_next_h"), F.col("doc_id").eqNullSafe(F.col("_next_id")) & (F.col("_h") == F.col("_next_h")))
+    rows = docs.withColumn("_guest", F.lit(False)).unionByName(met.select("doc_id", "text", F.col("_at").alias("bucket"), "_h", F.lit(True).alias("_guest")))
+    w = Window.partitionBy("bucket").orderBy("_guest", "doc_id", "_h")
+    rows = rows.withColumns({"rn": F.row_number().over(w), "next_text": F.lead("text").over(w)}).where(~F.col("_guest"))
+    rows = rows.select("doc_id", "text", "bucket", "rn", "next_text")
     return rows, firsts.select("bucket", "next_bucket")
 
 
