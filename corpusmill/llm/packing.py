@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
@@ -14,33 +16,86 @@ from pyspark.sql import functions as F
 
 from .common import hash_bucket, running, written
 
-_CACHED_WORDS = 400_000
+#: Words that a worker keeps in one generation of its cache.
+_CACHED_WORDS = 500_000
+#: How the tokenizer cuts a word without apostrophes (it takes digits one by one).
+_PIECES = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+|.", re.DOTALL)
+
+
+class _Encoder:
+    """Token ids of texts as little-endian unsigned 32-bit numbers.
+
+    The tokenizer's words hold no blanks, and it lower-cases letter by letter, so a text may be cut at
+    blanks and lower-cased first (not so with a final sigma, or what may be a special token). A word
+    of letters alone ends with a token of which no other is inside a word, so unknown ones can be
+    encoded together and told apart. A distinct word is encoded once while it stays in one of the two
+    generations of the bounded cache: words used since the last change of generations outlive the next."""
+
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words = [self._words(x) for x in texts]
+        if len(self.young) > _CACHED_WORDS:
+            self.young, self.old = {}, self.young
+        young = self.young
+        found = [list(map(young.get, ws)) for ws in words]
+        unknown = {w for ws, ids in zip(words, found, strict=True) if None in ids for w, x in zip(ws, ids, strict=True) if x is None}
+        if unknown:
+            self._learn(unknown)
+            found = [list(map(young.__getitem__, ws)) if None in ids else ids for ws, ids in zip(words, found, strict=True)]
+        return list(map(b"".join, found))
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        if "\u03a3" not in text and "<|" not in text:
+            text = text.lower()
+        return [w for line in text.split("\n") for w in line.split(" ") if w]
+
+    def _learn(self, unknown: set[str]) -> None:
+        young, old, plain, other, parts = self.young, self.old, set(), [], {}
+        for w in unknown:
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+            elif max(w) < "\u0250" and w.isprintable() and w == w.lower() and "'" not in w and "<|" not in w:
+                parts[w] = cut = _PIECES.findall(w)
+                plain.update(cut)
+            else:
+                other.append(w)
+        pieces = {}
+        letters = []
+        for x in plain:
+            if (ids := young.get(x) or old.get(x)) is not None:
+                pieces[x] = ids
+            elif x.isalpha():
+                letters.append(x)
+            else:
+                pieces[x] = array("I", self.tokenizer.encode(x, add_special_tokens=False).ids).tobytes()
+        for at in range(0, len(letters), 4096):
+            part = letters[at : at + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            ids = ids.tobytes()
+            pieces.update((x, ids[a:b]) for x, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
+        young.update(pieces)
+        young.update((w, b"".join([pieces[x] for x in cut])) for w, cut in parts.items())
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            young[w] = array("I", e.ids).tobytes()
 
 
 @cache
-def _encoder(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path), {}
-
-
-def _ids(texts: list[str], path: str) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit numbers. The tokenizer's words never
-    hold white space, so texts are cut at blanks and each distinct word is encoded once a worker
-    (as long as the bounded cache keeps it)."""
-    tokenizer, known = _encoder(path)
-    words = [[w for line in x.split("\n") for w in line.split(" ") if w] for x in texts]
-    new = list({w for ws in words for w in ws if w not in known})
-    if len(known) + len(new) > _CACHED_WORDS:
-        known.clear()
-        new = list({w for ws in words for w in ws})
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
-    return [b"".join(map(known.__getitem__, ws)) for ws in words]
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
 
 
 def tokenized(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) -> DataFrame:
@@ -50,10 +105,11 @@ def tokenized(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) ->
     close = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode = _encoder(path)
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                part, rows = batch.iloc[at : at + 64], []
-                for doc_id, ids in zip(part["doc_id"], _ids([x or "" for x in part["text"]], path), strict=True):
+            for at in range(0, len(batch), 128):
+                part, rows = batch.iloc[at : at + 128], []
+                for doc_id, ids in zip(part["doc_id"], encode([x or "" for x in part["text"]]), strict=True):
                     ids += close
                     n = len(ids) // 4
                     rows += [(doc_id, k, s, min(capacity, n - s), zlib.crc32(ids[4 * s : 4 * (s + capacity)])) for k, s in enumerate(range(0, n, capacity))]
