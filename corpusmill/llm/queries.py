@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, packing, simhash
+from . import chat, html, langid, mixing, packing, simhash
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixed).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = f"{chat.END}{chat.START}assistant ok"
     planted = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
@@ -39,7 +43,7 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op5_chat": op5_chat, "op3_mix": op3_mix, "op8_pack": op8_pack, "op10_langid": op10_langid}
+    return {"op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op8_pack": op8_pack, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:
