@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, langid, mixing, packing, simhash
+from . import chat, html, langid, minhash, mixing, packing, simhash
 from .common import table
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out().alias("held_out"))
     model = langid.learn(docs.where(~F.col("held_out")))
@@ -43,7 +47,7 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op8_pack": op8_pack, "op10_langid": op10_langid}
+    return {"op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op8_pack": op8_pack, "op9_minhash": op9_minhash, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:
