@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, langid, minhash, mixing, packing, simhash
+from . import chat, html, langid, minhash, mixing, packing, simhash, suffixes
 from .common import table
 
 
@@ -42,12 +42,17 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(turns))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op8_pack": op8_pack, "op9_minhash": op9_minhash, "op10_langid": op10_langid}
+    return {"op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op7_suffix_dedup": op7_suffix_dedup, "op8_pack": op8_pack, "op9_minhash": op9_minhash, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:
