@@ -18,18 +18,22 @@ from .common import hash_bucket, running, written
 
 #: Words that a worker keeps in one generation of its cache.
 _CACHED_WORDS = 500_000
-#: How the tokenizer cuts a word without apostrophes (it takes digits one by one).
-_PIECES = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+|.", re.DOTALL)
+#: Where lower-casing first and cutting by `_WORDS` are what the tokenizer does: blanks, and letters and
+#: marks below U+0250 but for other numbers, blanks and the dotted capital I.
+_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f]*")
+#: The tokenizer's own pattern for words, for such text.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: Before a run of characters that the tokenizer must cut itself.
+_WHOLE = "\0"
 
 
 class _Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
-    The tokenizer's words hold no blanks, and it lower-cases letter by letter, so a text may be cut at
-    blanks and lower-cased first (not so with a final sigma, or what may be a special token). A word
-    of letters alone ends with a token of which no other is inside a word, so unknown ones can be
-    encoded together and told apart. A distinct word is encoded once while it stays in one of the two
-    generations of the bounded cache: words used since the last change of generations outlive the next."""
+    The tokenizer knows no context beyond a word, so a distinct word is encoded once while it stays in one
+    of the two generations of the bounded cache: words used since the last change of generations outlive
+    the next. Each word's last token, and no other, is one that ends words, so unknown words of letters
+    can be encoded together and told apart."""
 
     def __init__(self, path: str):
         import os
@@ -38,9 +42,8 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.ends[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -49,48 +52,38 @@ class _Encoder:
         if len(self.young) > _CACHED_WORDS:
             self.young, self.old = {}, self.young
         young = self.young
-        found = [list(map(young.get, ws)) for ws in words]
-        unknown = {w for ws, ids in zip(words, found, strict=True) if None in ids for w, x in zip(ws, ids, strict=True) if x is None}
+        unknown = set().union(*words).difference(young)
         if unknown:
             self._learn(unknown)
-            found = [list(map(young.__getitem__, ws)) if None in ids else ids for ws, ids in zip(words, found, strict=True)]
-        return list(map(b"".join, found))
+        return [b"".join(map(young.__getitem__, ws)) for ws in words]
 
     @staticmethod
     def _words(text: str) -> list[str]:
-        if "\u03a3" not in text and "<|" not in text:
-            text = text.lower()
-        return [w for line in text.split("\n") for w in line.split(" ") if w]
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return _WORDS.findall(text.lower())
+        out = []
+        for run in text.replace("\n", " ").split(" "):
+            if _PLAIN.fullmatch(run) and "<|" not in run:
+                out += _WORDS.findall(run.lower())
+            else:
+                out.append(_WHOLE + run)
+        return out
 
     def _learn(self, unknown: set[str]) -> None:
-        young, old, plain, other, parts = self.young, self.old, set(), [], {}
+        young, old, letters = self.young, self.old, []
         for w in unknown:
             if (ids := old.get(w)) is not None:
                 young[w] = ids
-            elif max(w) < "\u0250" and w.isprintable() and w == w.lower() and "'" not in w and "<|" not in w:
-                parts[w] = cut = _PIECES.findall(w)
-                plain.update(cut)
-            else:
-                other.append(w)
-        pieces = {}
-        letters = []
-        for x in plain:
-            if (ids := young.get(x) or old.get(x)) is not None:
-                pieces[x] = ids
-            elif x.isalpha():
-                letters.append(x)
+            elif w.isalpha():
+                letters.append(w)
             else:
-                pieces[x] = array("I", self.tokenizer.encode(x, add_special_tokens=False).ids).tobytes()
+                young[w] = array("I", self.tokenizer.encode(w.removeprefix(_WHOLE), add_special_tokens=False).ids).tobytes()
         for at in range(0, len(letters), 4096):
             part = letters[at : at + 4096]
             ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
             ids = ids.tobytes()
-            pieces.update((x, ids[a:b]) for x, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
-        young.update(pieces)
-        young.update((w, b"".join([pieces[x] for x in cut])) for w, cut in parts.items())
-        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            young[w] = array("I", e.ids).tobytes()
+            young.update((x, ids[a:b]) for x, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
 
 
 @cache
