@@ -129,13 +129,22 @@ def matched_windows(segments: pd.DataFrame, length: int, earlier: bool) -> pd.Da
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
     """2^27 bits (16 MB, whatever the number of keys) of which those of the long `key`s are set: a sieve
-    that lets all keys pass and, the fewer they are, few others. What passes is then joined exactly."""
+    that lets all keys pass and, the fewer they are, few others. What passes is then joined exactly.
+    It reaches the driver as at most 1024 rows of 16 KB."""
     at = F.pmod("key", F.lit(_BITS))
     rows = keys.select(F.shiftright(at, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int")).alias("bit"))
-    rows = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(_BITS >> 6, np.int64)
-    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return out.view(np.uint64)
+    rows = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).withColumn("part", F.shiftright("word", 11).cast("int"))
+
+    def packed(part: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(2048, np.int64)
+        out[part["word"].to_numpy() & 2047] = part["bits"].to_numpy()
+        return pd.DataFrame({"part": part["part"].iloc[:1], "bits": [out.tobytes()]})
+
+    parts = rows.groupBy("part").applyInPandas(packed, "part int, bits binary").toArrow()
+    out = np.zeros((_BITS >> 17, 2048), np.uint64)
+    for part, bits in zip(parts["part"], parts["bits"], strict=True):
+        out[part.as_py()] = np.frombuffer(bits.as_buffer(), np.uint64)
+    return out.reshape(-1)
 
 
 def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -185,6 +194,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
             yield pd.DataFrame(out, columns=["doc_id", "uid", "h", "s1", "s2", "first", "m"])
 
     found = written(docs.mapInPandas(candidates, f"doc_id {kind}, uid long, h long, s1 long, s2 long, first long, m long"))
+    sieve.destroy()
     same = ["h", "s1", "s2"]
     segments = found.groupBy(*same).agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "uid", "first", "m")).alias("p"))
     segments = written(segments.select(*same, "times", "p.*"))
@@ -211,6 +221,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
 
     data = docs.select("uid", "text").mapInPandas(cut_out, "uid long, first long, data binary").dropDuplicates(["uid", "first"])
     mixed = written(mixed.join(data, ["uid", "first"]))
+    sieve2.destroy()
     usual = mixed.where(F.col("kinds") <= hot)
     bins = max(1, -(-usual.count() // 8_000))
     by_order = usual.withColumn("bin", F.pmod("h", F.lit(bins))).drop("kinds").groupBy("bin").applyInPandas(lambda x: matched_windows(x, length, keep == "first"), "h long, s1 long, s2 long, lo long, hi long")
