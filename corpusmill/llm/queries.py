@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, langid, minhash, mixing, packing, simhash, suffixes
+from . import chat, chroma, html, langid, minhash, mixing, packing, simhash, suffixes, toxicity
 from .common import table
 
 
@@ -22,6 +22,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model)
 
 
+def op1_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table has sound: the bytes of each document stand in for 8-bit samples at 8 kHz."""
+    recordings = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("data"))
+    return chroma.excerpts(recordings, chroma.Sound(rate=8000, frame=256, hop=32, bits=8))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -42,6 +48,15 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(turns))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 where not labelled toxic, 1 where toxic, 2 where of poor quality, too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", langid.held_out().alias("held_out"))
+    grade = F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1))
+    labelled = table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+    known = docs.where(~F.col("held_out")).join(labelled, "doc_id").select(F.col("doc_id").alias("key"), "text", "grade")
+    return toxicity.score(docs, toxicity.fit(known)).drop("text")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffixes.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -52,7 +67,7 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op7_suffix_dedup": op7_suffix_dedup, "op8_pack": op8_pack, "op9_minhash": op9_minhash, "op10_langid": op10_langid}
+    return {"op1_chroma": op1_chroma, "op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op6_toxicity": op6_toxicity, "op7_suffix_dedup": op7_suffix_dedup, "op8_pack": op8_pack, "op9_minhash": op9_minhash, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:
