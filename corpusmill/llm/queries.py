@@ -49,10 +49,9 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grades: 0 where not labelled toxic, 1 where toxic, 2 where of poor quality, too."""
+    """The labels have two of the ordered grades: 0, and 1 where toxic."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", langid.held_out().alias("held_out"))
-    grade = F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1))
-    labelled = table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+    labelled = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("grade"))
     known = docs.where(~F.col("held_out")).join(labelled, "doc_id").select(F.col("doc_id").alias("key"), "text", "grade")
     return toxicity.score(docs, toxicity.fit(known)).drop("text")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FEATURES = 1 << 18
@@ -25,41 +28,55 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -50, 50)))
 
 
-def features(text: str = "text") -> Column:
-    """The distinct words (runs of letters, lower-cased) of the whole text, hashed to `FEATURES` numbers.
-    None for a null text or one without letters."""
-    words = F.array_remove(F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")), "")
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(FEATURES)).cast("int"))
+_WORDS = re.compile(r"[^\W\d_]+")
+_CACHED_WORDS = 500_000
 
 
-def fit(rows: DataFrame, max_rows: int = 10_000, least_documents: int = 8, penalty: float = 2.0, rounds: int = 300) -> Ordinal:
+def words(text: str | None) -> set[str]:
+    """The distinct runs of letters of the whole text, lower-cased."""
+    return set(_WORDS.findall((text or "").lower()))
+
+
+def features(word: str) -> list[int]:
+    """A word and its prefixes of 3 to 7 letters (compounds share their stem), hashed to `FEATURES` numbers."""
+    parts = [word, *("^" + word[:k] for k in range(3, min(8, len(word))))]
+    return [xxhash.xxh3_64_intdigest(x) % FEATURES for x in parts]
+
+
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = [np.unique([f for w in words(t) for f in features(w)], return_counts=True) for t in batch["text"]]
+        yield pd.DataFrame({"grade": batch["grade"], "f": [f.astype(np.int32) for f, _ in found], "n": [n.astype(np.int32) for _, n in found]})
+
+
+def fit(rows: DataFrame, max_rows: int = 10_000, least_documents: int = 8, penalty: float = 0.3, rounds: int = 400) -> Ordinal:
     """Fits `rows` (key, text, grade: int from 0; null grades teach nothing). A documented bound: of more
     than `max_rows` labelled rows those with the least hash of `key` are taken, so the driver's share does
     not grow with the corpus.
 
-    Features are scaled by their smoothed log odds among rows above grade 0 and the others; accelerated
-    gradient steps on the penalized likelihood follow. With no rows, or with one grade only, all weights
+    Features whose smoothed log odds among rows above grade 0 are surely (by 2.5 standard errors) 1 or more
+    are scaled by these odds and get weights of 0 or more, so that no length of harmless text outweighs what is found; accelerated gradient
+    steps on the penalized likelihood follow. With no rows, or with one grade only, all weights
     are 0 and the thresholds give the grades' shares."""
     rows = rows.where(F.col("grade").isNotNull()).orderBy(F.xxhash64("key"), "key").limit(max_rows)
-    sample = rows.select("grade", features().alias("f")).toPandas()
+    sample = rows.select("grade", "text").mapInPandas(_counted, "grade int, f array<int>, n array<int>").toPandas()
     grade = sample["grade"].to_numpy(np.int64)
-    lists = [np.unique(x) for x in sample["f"]]
-    sizes = np.array([len(x) for x in lists], np.int64)
-    row = np.repeat(np.arange(len(lists)), sizes)
-    f = np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64)
+    row = np.repeat(np.arange(len(sample)), [len(x) for x in sample["f"]])
+    f, often = (np.concatenate([np.zeros(0, np.int64), *sample[c]]).astype(np.int64) for c in ("f", "n"))
     times = np.bincount(f, minlength=FEATURES)
     hits = np.bincount(f, (grade > 0)[row].astype(float), FEATURES) if len(f) else np.zeros(FEATURES)
     n, bad = len(grade), int((grade > 0).sum())
     odds = np.log((hits + 3 * (bad + 1) / (n + 2)) / (bad + 3)) - np.log((times - hits + 3 * (n - bad + 1) / (n + 2)) / (n - bad + 3))
-    odds[(times < least_documents) | (np.abs(odds) < 0.7)] = 0
+    surely = odds - 2.5 * np.sqrt(1 / (hits + 0.5) + 1 / (times - hits + 0.5))
+    odds[(times < least_documents) | (surely < 1)] = 0
     used = np.flatnonzero(odds)
     keep = odds[f] != 0
-    row, x = row[keep], odds[f[keep]]
+    row, x = row[keep], odds[f[keep]] * often[keep]
     column = np.searchsorted(used, f[keep])
     top = max(1, int(grade.max(initial=1)))
     share = [(np.sum(grade > k) + 0.5) / (n + 1) for k in range(top)]
     theta = np.maximum.accumulate(np.array([-np.log(s / (1 - s)) for s in share]) + 1e-3 * np.arange(top))
-    w = np.zeros(len(used))
+    w = np.full(len(used), 0.5)
     if not len(used) or not 0 < bad < n:
         return Ordinal(np.zeros(FEATURES), theta)
     per_row = np.bincount(row, np.abs(x), n)
@@ -75,7 +92,7 @@ def fit(rows: DataFrame, max_rows: int = 10_000, least_documents: int = 8, penal
         step_w = (np.bincount(column, x * (1 - a - b)[row], len(used)) + penalty * seen) / bound
         da, db = np.where(np.isinf(high), 0.0, a * (1 - a)), np.where(np.isinf(low), 0.0, b * (1 - b))
         g = np.array([-(da / p)[grade == k].sum() + (db / p)[grade == k + 1].sum() for k in range(top)])
-        new_w, new_theta = seen - step_w, np.maximum.accumulate(seen_theta - g / (0.5 * n) + 1e-9 * np.arange(top))
+        new_w, new_theta = np.maximum(seen - step_w, 0), np.maximum.accumulate(seen_theta - g / (0.5 * n) + 1e-9 * np.arange(top))
         faster = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         seen = new_w + (momentum - 1) / faster * (new_w - w)
         seen_theta = np.maximum.accumulate(new_theta + (momentum - 1) / faster * (new_theta - theta))
@@ -89,13 +106,21 @@ def score(docs: DataFrame, model: Ordinal, threshold: float = 0.5) -> DataFrame:
     """Adds severity (the expected grade), p_toxic = P(grade > 0) and toxic (p_toxic >= threshold) to
     `docs`, whose columns of these names are replaced. Null, empty and letterless texts score as a text of
     no features. Repeated rows score alike; an empty table stays empty."""
-    docs = docs.drop("severity", "p_toxic", "toxic").withColumn("_f", features())
+    docs = docs.drop("severity", "p_toxic", "toxic")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, known = shared.value, {}
         for batch in batches:
-            eta = np.array([shared.value.weights[np.unique(f)].sum() for f in batch.pop("_f")])
-            above = shared.value.above(eta.reshape(-1))
+            eta = np.zeros(len(batch))
+            for i, text in enumerate(batch["text"]):
+                found = words(text)
+                for w in found.difference(known):
+                    known[w] = float(model.weights[features(w)].sum())
+                eta[i] = math.fsum(map(known.__getitem__, found))
+                if len(known) > _CACHED_WORDS:
+                    known.clear()
+            above = model.above(eta)
             yield batch.assign(severity=above.sum(1), p_toxic=above[:, 0], toxic=above[:, 0] >= threshold)
 
-    return docs.mapInPandas(run, docs.drop("_f").withColumns({"severity": F.lit(0.0), "p_toxic": F.lit(0.0), "toxic": F.lit(False)}).schema)
+    return docs.mapInPandas(run, docs.withColumns({"severity": F.lit(0.0), "p_toxic": F.lit(0.0), "toxic": F.lit(False)}).schema)
