@@ -228,7 +228,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     by_content = _counted(mixed.where(F.col("kinds") > hot), length, keep == "first")
     partly = written(by_order.unionByName(by_content)).groupBy(*same).agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
     known = segments.join(partly, same, "left").where((F.col("times") > 1) | F.col("parts").isNotNull())
-    known = known.select(*same, "times", "parts", F.col("uid").alias("_uid"), F.col("first").alias("_first"))
+    # Written, so that both sides of the join are dealt out for it and a hot segment's rows can be split.
+    known = written(known.select(*same, "times", "parts", F.col("uid").alias("_uid"), F.col("first").alias("_first")))
     found = found.join(known, same)
     full = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("m").alias("hi")))
     if keep == "first":
