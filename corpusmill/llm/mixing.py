@@ -50,7 +50,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     return s.select("source", "source_no", "source_size", target.alias("target"))
 
 
-def schedule(sources: DataFrame, block: int, per_bucket: int = 20_000) -> DataFrame:
+def schedule(sources: DataFrame, block: int, per_bucket: int = 2_000) -> DataFrame:
     """Slots 0, 1, ...: slot t belongs to the source whose part of the cumulative targets holds the
     point t * golden ratio mod 1, and is numbered within its source. Any run of slots so holds each
     source in nearly its share. Sources are found by cells of the unit interval: an equality join."""
@@ -67,15 +67,15 @@ def schedule(sources: DataFrame, block: int, per_bucket: int = 20_000) -> DataFr
     return running(slots, ["source_no"], F.floor(F.col("slot") / per_bucket), ["slot"], F.lit(1), "block")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2, block: int = 64, seed: int = 17, per_bucket: int = 20_000) -> Mix:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2, block: int = 64, seed: int = 17, per_bucket: int = 2_000, keep_text: bool = False) -> Mix:
     """Mixes `docs` (doc_id, source, text and any others): each source's documents are shuffled once
     for each epoch, joined end to end and cut into blocks of `block` words; the slots of the schedule
     take a source's blocks in turn. No document is used more than `epochs` times.
 
     Null and empty texts have no words and take part in nothing; repeated rows count each; a null
     source is a source. An empty table gives empty tables. The shuffle hangs on values and `seed`
-    alone, so reruns agree."""
-    names = {c: c for c in docs.columns if c not in ("uid", "source_no", "size", "text")}
+    alone, so reruns agree. `keep_text` keeps the texts in `documents`, for `mixed_documents`."""
+    names = [c for c in docs.columns if c not in ("uid", "source_no", "source_size", "target", "size", "taken") and (keep_text or c != "text")]
     docs = docs.select(*names, word_count().alias("size"), F.monotonically_increasing_id().alias("uid"))
     docs = written(docs)
     sources = written(targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, epochs))
@@ -95,3 +95,14 @@ def taken(mixed: Mix) -> DataFrame:
     """`documents` of the mix with `taken`: the words that it takes of each row, repeats counted."""
     used = mixed.pieces.join(mixed.slots, ["source_no", "block"]).groupBy("uid").agg(F.sum("words").alias("taken"))
     return mixed.documents.join(used, "uid", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
+
+
+def mixed_documents(mixed: Mix, columns: list[str]) -> DataFrame:
+    """The mix as documents of `columns`: a row for each document and epoch that has words in it (so up to
+    `epochs` rows for a doc_id), in no order. A source's taken blocks are its stream's first, so a document
+    is in whole or, where the stream stops within it, by its first words; n_chars follows the text."""
+    used = mixed.pieces.join(mixed.slots, ["source_no", "block"]).groupBy("uid", "epoch").agg(F.sum("words").alias("taken"))
+    rows = mixed.documents.join(used, "uid")
+    head = F.array_join(F.slice(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""), F.lit(1), F.col("taken").cast("int")), " ")
+    rows = rows.withColumn("text", F.when(F.col("taken") < F.col("size"), head).otherwise(F.col("text")))
+    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*columns)

@@ -153,7 +153,7 @@ def sweep(lengths: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(out), np.int64).reshape(-1, 5)
 
 
-def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket: int = 20_000) -> DataFrame:
+def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket: int = 2_000) -> DataFrame:
     """Adds sequence_id and offset to `pieces` (doc_id, piece, length, any others), which are read
     several times and so should be a written table.
 
