@@ -13,6 +13,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 FEATURES = 1 << 18
 
 
@@ -43,10 +45,16 @@ def features(word: str) -> list[int]:
     return [xxhash.xxh3_64_intdigest(x) % FEATURES for x in parts]
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each feature its rows, and those of them above grade 0."""
+    times, hits = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
     for batch in batches:
-        found = [np.unique([f for w in words(t) for f in features(w)], return_counts=True) for t in batch["text"]]
-        yield pd.DataFrame({"grade": batch["grade"], "f": [f.astype(np.int32) for f, _ in found], "n": [n.astype(np.int32) for _, n in found]})
+        for text, grade in zip(batch["text"], batch["grade"], strict=True):
+            found = np.unique([f for w in words(text) for f in features(w)]).astype(np.int64)
+            times[found] += 1
+            hits[found] += grade > 0
+    f = np.flatnonzero(times)
+    yield pd.DataFrame({"f": f, "times": times[f], "hits": hits[f]})
 
 
 def fit(rows: DataFrame, max_rows: int = 10_000, least_documents: int = 8, penalty: float = 0.3, rounds: int = 400) -> Ordinal:
@@ -59,20 +67,27 @@ def fit(rows: DataFrame, max_rows: int = 10_000, least_documents: int = 8, penal
     steps on the penalized likelihood follow. With no rows, or with one grade only, all weights
     are 0 and the thresholds give the grades' shares."""
     rows = rows.where(F.col("grade").isNotNull()).orderBy(F.xxhash64("key"), "key").limit(max_rows)
-    sample = rows.select("grade", "text").mapInPandas(_counted, "grade int, f array<int>, n array<int>").toPandas()
-    grade = sample["grade"].to_numpy(np.int64)
-    row = np.repeat(np.arange(len(sample)), [len(x) for x in sample["f"]])
-    f, often = (np.concatenate([np.zeros(0, np.int64), *sample[c]]).astype(np.int64) for c in ("f", "n"))
-    times = np.bincount(f, minlength=FEATURES)
-    hits = np.bincount(f, (grade > 0)[row].astype(float), FEATURES) if len(f) else np.zeros(FEATURES)
-    n, bad = len(grade), int((grade > 0).sum())
+    rows = written(rows.select("text", F.col("grade").cast("int").alias("grade")))
+    counts = rows.mapInPandas(_totals, "f int, times long, hits long").groupBy("f").agg(F.sum("times").alias("times"), F.sum("hits").alias("hits")).toPandas()
+    times, hits = np.zeros(FEATURES), np.zeros(FEATURES)
+    times[counts["f"]], hits[counts["f"]] = counts["times"], counts["hits"]
+    n, bad = rows.count(), rows.where("grade > 0").count()
     odds = np.log((hits + 3 * (bad + 1) / (n + 2)) / (bad + 3)) - np.log((times - hits + 3 * (n - bad + 1) / (n + 2)) / (n - bad + 3))
     surely = odds - 2.5 * np.sqrt(1 / (hits + 0.5) + 1 / (times - hits + 0.5))
     odds[(times < least_documents) | (surely < 1)] = 0
     used = np.flatnonzero(odds)
-    keep = odds[f] != 0
-    row, x = row[keep], odds[f[keep]] * often[keep]
-    column = np.searchsorted(used, f[keep])
+
+    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [np.array([f for w in words(t) for f in features(w) if odds[f]], np.int64) for t in batch["text"]]
+            found = [np.unique(f, return_counts=True) for f in found]
+            yield pd.DataFrame({"grade": batch["grade"], "f": [f.astype(np.int32) for f, _ in found], "n": [k.astype(np.int32) for _, k in found]})
+
+    sample = rows.mapInPandas(chosen, "grade int, f array<int>, n array<int>").toPandas()
+    grade = sample["grade"].to_numpy(np.int64)
+    row = np.repeat(np.arange(len(sample)), [len(x) for x in sample["f"]])
+    f, often = (np.concatenate([np.zeros(0, np.int64), *sample[c]]).astype(np.int64) for c in ("f", "n"))
+    x, column = odds[f] * often, np.searchsorted(used, f)
     top = max(1, int(grade.max(initial=1)))
     share = [(np.sum(grade > k) + 0.5) / (n + 1) for k in range(top)]
     theta = np.maximum.accumulate(np.array([-np.log(s / (1 - s)) for s in share]) + 1e-3 * np.arange(top))
