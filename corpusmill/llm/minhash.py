@@ -195,7 +195,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 
     def with_set(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(set=[shingles(t, size).tobytes() for t in batch.pop("text")])
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500].copy()
+                yield part.assign(set=[shingles(t, size).tobytes() for t in part.pop("text")])
 
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(clusters.join(whole, "cluster"), "node")
     sets = texts.mapInPandas(with_set, texts.drop("text").withColumn("set", F.lit(b"")).schema)

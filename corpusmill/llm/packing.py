@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from .common import hash_bucket, running, written
 
 #: Words that a worker keeps in one generation of its cache.
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 250_000
 #: Where lower-casing first and cutting by `_WORDS` are what the tokenizer does: blanks, and letters and
 #: marks below U+0250 but for other numbers, blanks and the dotted capital I.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f]*")
 #: The tokenizer's own pattern for words, for such text.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: The model's letters are bytes: those that print stand for themselves, the others for 256 and up, in order.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 #: Before a run of characters that the tokenizer must cut itself.
 _WHOLE = "\0"
 
@@ -32,8 +35,7 @@ class _Encoder:
 
     The tokenizer knows no context beyond a word, so a distinct word is encoded once while it stays in one
     of the two generations of the bounded cache: words used since the last change of generations outlive
-    the next. Each word's last token, and no other, is one that ends words, so unknown words of letters
-    can be encoded together and told apart."""
+    the next."""
 
     def __init__(self, path: str):
         import os
@@ -42,8 +44,6 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
-        self.ends[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -78,12 +78,9 @@ class _Encoder:
                 letters.append(w)
             else:
                 young[w] = array("I", self.tokenizer.encode(w.removeprefix(_WHOLE), add_special_tokens=False).ids).tobytes()
-        for at in range(0, len(letters), 4096):
-            part = letters[at : at + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
-            ids = ids.tobytes()
-            young.update((x, ids[a:b]) for x, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
+        model = self.tokenizer.model
+        for w in letters:
+            young[w] = array("I", [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(_BYTES))]).tobytes()
 
 
 @cache
@@ -100,13 +97,14 @@ def tokenized(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = _encoder(path)
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                part, rows = batch.iloc[at : at + 128], []
+            for at in range(0, len(batch), 512):
+                part, rows = batch.iloc[at : at + 512], []
                 for doc_id, ids in zip(part["doc_id"], encode([x or "" for x in part["text"]]), strict=True):
                     ids += close
                     n = len(ids) // 4
                     rows += [(doc_id, k, s, min(capacity, n - s), zlib.crc32(ids[4 * s : 4 * (s + capacity)])) for k, s in enumerate(range(0, n, capacity))]
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+        encode.old = {}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

@@ -62,6 +62,13 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tup
         yield h[place[first]].view(np.int64), first + at, np.diff(np.r_[first, len(place)]), place[first] + at
 
 
+def _slices(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """Batches cut to `rows`, so that what a worker holds beside them is small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows].reset_index(drop=True)
+
+
 def longest_previous(positions: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
     """The longest-previous-factor array, cut at `least`: for suffixes in their order, at `positions` in
     the text, where `common[i]` is the length of the prefix that suffix i shares with the one before.
@@ -107,7 +114,7 @@ def matched_windows(segments: pd.DataFrame, length: int, earlier: bool) -> pd.Da
     group = segments["h"].to_numpy(np.int64)
     cuts, last = [0], 0
     for k in np.flatnonzero(np.r_[group[1:] != group[:-1], True]) + 1:  # groups together, up to some number of windows
-        if (ends := int(m[:k].sum())) - last > 60_000 or k == len(m):
+        if (ends := int(m[:k].sum())) - last > 30_000 or k == len(m):
             cuts.append(ends)
             last = ends
     hit = np.zeros(len(segment), bool)
@@ -174,7 +181,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = [a[0] for t in batch["text"] for a in anchors((t or "").encode(), length, gram)]
             yield pd.DataFrame({"key": np.concatenate([np.zeros(0, np.int64), *found])})
 
@@ -182,16 +189,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     sieve = spark.sparkContext.broadcast(_bitmap(shared))
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc_id, uid, text in zip(batch["doc_id"], batch["uid"], batch["text"], strict=True):
+        for part in _slices(batches):
+            columns: list[list] = [[] for _ in range(7)]
+            for doc_id, uid, text in zip(part["doc_id"], part["uid"], part["text"], strict=True):
                 data = (text or "").encode()
                 for key, first, m, _ in anchors(data, length, gram):
-                    for i in np.flatnonzero(_passes(sieve.value, key)).tolist():
-                        a, n = int(first[i]), int(m[i])
-                        both = xxhash.xxh3_128_intdigest(data[a : a + n + length - 1])
-                        out.append((doc_id, uid, int(key[i]), (both >> 64) - (1 << 63), (both & (1 << 64) - 1) - (1 << 63), a, n))
-            yield pd.DataFrame(out, columns=["doc_id", "uid", "h", "s1", "s2", "first", "m"])
+                    some = _passes(sieve.value, key)
+                    key, first, m = key[some], first[some], m[some]
+                    both = [xxhash.xxh3_128_intdigest(data[a : a + n + length - 1]) for a, n in zip(first.tolist(), m.tolist(), strict=True)]
+                    sides = np.array([x >> 64 for x in both], np.uint64), np.array([x & (1 << 64) - 1 for x in both], np.uint64)
+                    for column, values in zip(columns, (np.full(len(key), doc_id), np.full(len(key), uid), key, sides[0].view(np.int64), sides[1].view(np.int64), first, m), strict=True):
+                        column.append(values)
+            yield pd.DataFrame({name: np.concatenate(c) if c else [] for name, c in zip(["doc_id", "uid", "h", "s1", "s2", "first", "m"], columns, strict=True)})
 
     found = written(docs.mapInPandas(candidates, f"doc_id {kind}, uid long, h long, s1 long, s2 long, first long, m long"))
     sieve.destroy()
@@ -210,7 +219,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     sieve2 = spark.sparkContext.broadcast(_bitmap(wanted.mapInPandas(place_keys, "key long")))
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for uid, text in zip(batch["uid"], batch["text"], strict=True):
                 data = (text or "").encode()
@@ -223,7 +232,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     mixed = written(mixed.join(data, ["uid", "first"]))
     sieve2.destroy()
     usual = mixed.where(F.col("kinds") <= hot)
-    bins = max(1, -(-usual.count() // 8_000))
+    bins = max(1, -(-usual.count() // 4_000))
     by_order = usual.withColumn("bin", F.pmod("h", F.lit(bins))).drop("kinds").groupBy("bin").applyInPandas(lambda x: matched_windows(x, length, keep == "first"), "h long, s1 long, s2 long, lo long, hi long")
     by_content = _counted(mixed.where(F.col("kinds") > hot), length, keep == "first")
     partly = written(by_order.unionByName(by_content)).groupBy(*same).agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
@@ -291,7 +300,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -
         return pd.Series(_passes(sieve.value, uid.to_numpy()))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for text, spans_ in zip(batch["text"], batch.pop("spans"), strict=True):
                 data = (text or "").encode()
