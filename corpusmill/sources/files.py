@@ -41,7 +41,7 @@ def front_matters(spark: SparkSession, *paths: str) -> DataFrame:
     """path, header (the YAML text between the first two --- lines) and body of Markdown files with one."""
     pages = None
     for p in paths:
-        part = spark.read.option("wholetext", True).text(p).select(F.col("_metadata.file_path").alias("path"), "value")
+        part = spark.read.text(p, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
         pages = part if pages is None else pages.unionByName(part)
     cut = F.split("value", r"(?m)^---[ \t]*\r?\n", 3)
     return pages.where(F.size(cut) == 3).select("path", cut[1].alias("header"), cut[2].alias("body")).where(text.strip("header") != "")
