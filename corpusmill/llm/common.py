@@ -13,12 +13,20 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 
 _CHECKPOINT = "spark.checkpoint.dir"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long rows: Arrow batches of Spark's 10,000 would hold tens of MB in each task, in the JVM and
+    again in Python. A smaller setting of the session's own stays."""
+    if int(spark.conf.get(_BATCH)) > rows:
+        spark.conf.set(_BATCH, str(rows))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is configured."""
     found = spark.conf.get(_CHECKPOINT, None) or spark.sparkContext.getConf().get(_CHECKPOINT)

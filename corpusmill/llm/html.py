@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 # Fixed values of HTML: elements whose content is no text, elements that break a block, and those that hold blocks.
 _RAW = "script style noscript template title textarea iframe noembed noframes xmp svg math canvas object audio video".split()
@@ -183,6 +183,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null or empty html gives an empty text. Repeated rows give a row each. Pages of unknown host (a null
     url) have no template. An empty table gives an empty one. Each page is parsed whole in its task."""
+    small_batches(pages.sparkSession)
     pages = pages.select("page_id", "url", "html", host_of().alias("host"))
     known = written(templates(pages.where(F.col("host").isNotNull())))
     pages = pages.join(known, "host", "left").select("page_id", "url", "html", "template", "slot")

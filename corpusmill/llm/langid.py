@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import small_batches
+
 #: Returned where a text has nothing to tell a language by.
 UNDETERMINED = "und"
 _SPACE = 32
@@ -111,6 +113,7 @@ def learn(docs: DataFrame, size: int = 400, max_languages: int = 4096) -> Profil
 
     Rows without `lang` teach nothing; null and empty texts add a language without n-grams. No rows
     give no languages. More than `max_languages` languages are an error: the bound on the model."""
+    small_batches(docs.sparkSession)
     counts = docs.where(F.col("lang").isNotNull()).select("lang", "text").mapInPandas(_partial_counts, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= size)
@@ -142,6 +145,7 @@ def closest(text: str | None, model: Profiles) -> tuple[str, float]:
 def predict(docs: DataFrame, model: Profiles) -> DataFrame:
     """Adds lang_pred and score to `docs`, which keeps its other columns (its own columns of these
     names are replaced). Only `text` is looked at."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

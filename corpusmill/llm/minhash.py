@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_bucket, hottest, running, written
+from .common import hash_bucket, hottest, running, small_batches, written
 
 SHINGLE, PERCENT = 5, 85
 #: 24 bands of 5 coordinates miss a pair at the threshold with probability (1 - 0.85^5)^24 < 1e-6.
@@ -179,6 +179,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     with itself and with the cluster's first block. Where a cluster has several blocks, what is then
     outside its largest component is compared with every block: pairs within that component cannot
     change the result, so no link between components is lost. Tasks return spanning edges only."""
+    small_batches(docs.sparkSession)
     sketched = written(_sketched(docs, size, bands, rows))
     some = sketched.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     nodes = some.groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_bucket, running, written
+from .common import hash_bucket, running, small_batches, written
 
 #: Words that a worker keeps in one generation of its cache.
 _CACHED_WORDS = 250_000
@@ -92,6 +92,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) ->
     """doc_id, piece, start, length, ids_crc32: the pieces of at most `capacity` tokens of each row's
     text and the closing id `end`. Only what is longer is cut; the last piece may be shorter. A null
     or empty text is the closing id alone. `path` is the tokenizer's file, which every executor has."""
+    small_batches(docs.sparkSession)
     close = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 LENGTH, GRAM = 200, 48
 _CHUNK = 1 << 19
@@ -176,6 +176,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
        window: their suffixes are put in order, and longest-previous-factor arrays have the earlier
        matches. An anchor with more than `hot` different segments is not gathered: its windows are
        counted by content instead, with the same result."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select("doc_id", "uid", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
