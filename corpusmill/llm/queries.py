@@ -51,9 +51,8 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels have two of the ordered grades: 0, and 1 where toxic."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", langid.held_out().alias("held_out"))
-    labelled = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("grade"))
-    known = docs.where(~F.col("held_out")).join(labelled, "doc_id").select(F.col("doc_id").alias("key"), "text", "grade")
-    return toxicity.score(docs, toxicity.fit(known)).drop("text")
+    labels = table(spark, sf_dir, "labels").where(~langid.held_out()).select("doc_id", F.col("toxic").alias("grade"))
+    return toxicity.score(docs, toxicity.fit(docs, labels)).drop("text")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

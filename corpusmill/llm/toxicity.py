@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 FEATURES = 1 << 18
 
@@ -57,23 +57,26 @@ def _totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"f": f, "times": times[f], "hits": hits[f]})
 
 
-def fit(rows: DataFrame, max_rows: int = 10_000, least_documents: int = 8, penalty: float = 0.3, rounds: int = 400) -> Ordinal:
-    """Fits `rows` (key, text, grade: int from 0; null grades teach nothing). A documented bound: of more
-    than `max_rows` labelled rows those with the least hash of `key` are taken, so the driver's share does
-    not grow with the corpus.
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", max_rows: int = 10_000, least_documents: int = 8, penalty: float = 0.3, rounds: int = 400) -> Ordinal:
+    """Fits the texts of `docs` (`key`, text) to `labels` (`key`, grade: int from 0; null grades teach nothing). A
+    documented bound: of more than `max_rows` labels those with the least hash of `key` are taken, so that
+    they can be sent to all tasks, no text moves for being looked up, and the driver's share does not grow.
 
     Features whose smoothed log odds among rows above grade 0 are surely (by 2.5 standard errors) 1 or more
     are scaled by these odds and get weights of 0 or more, so that no length of harmless text outweighs what is found; accelerated gradient
     steps on the penalized likelihood follow. With no rows, or with one grade only, all weights
     are 0 and the thresholds give the grades' shares."""
-    rows = rows.where(F.col("grade").isNotNull()).orderBy(F.xxhash64("key"), "key").limit(max_rows)
-    rows = written(rows.select("text", F.col("grade").cast("int").alias("grade")))
+    small_batches(docs.sparkSession)
+    sample = labels.where(F.col("grade").isNotNull() & F.col(key).isNotNull()).select(key, F.col("grade").cast("int").alias("grade"))
+    sample = sample.orderBy(F.xxhash64(key), key, "grade").limit(max_rows)
+    rows = written(docs.select(key, "text").join(F.broadcast(sample), key).select("text", "grade"))
     counts = rows.mapInPandas(_totals, "f int, times long, hits long").groupBy("f").agg(F.sum("times").alias("times"), F.sum("hits").alias("hits")).toPandas()
     times, hits = np.zeros(FEATURES), np.zeros(FEATURES)
     times[counts["f"]], hits[counts["f"]] = counts["times"], counts["hits"]
     n, bad = rows.count(), rows.where("grade > 0").count()
-    odds = np.log((hits + 3 * (bad + 1) / (n + 2)) / (bad + 3)) - np.log((times - hits + 3 * (n - bad + 1) / (n + 2)) / (n - bad + 3))
-    surely = odds - 2.5 * np.sqrt(1 / (hits + 0.5) + 1 / (times - hits + 0.5))
+    a, b = hits + 3 * (bad + 1) / (n + 2), times - hits + 3 * (n - bad + 1) / (n + 2)
+    odds = np.log(a / (bad + 3)) - np.log(b / (n - bad + 3))
+    surely = odds - 2.5 * np.sqrt(1 / a + 1 / b)
     odds[(times < least_documents) | (surely < 1)] = 0
     used = np.flatnonzero(odds)
 
@@ -107,7 +110,8 @@ def fit(rows: DataFrame, max_rows: int = 10_000, least_documents: int = 8, penal
         step_w = (np.bincount(column, x * (1 - a - b)[row], len(used)) + penalty * seen) / bound
         da, db = np.where(np.isinf(high), 0.0, a * (1 - a)), np.where(np.isinf(low), 0.0, b * (1 - b))
         g = np.array([-(da / p)[grade == k].sum() + (db / p)[grade == k + 1].sum() for k in range(top)])
-        new_w, new_theta = np.maximum(seen - step_w, 0), np.maximum.accumulate(seen_theta - g / (0.5 * n) + 1e-9 * np.arange(top))
+        steep = n * (0.5 + 1 / max(0.2, float(np.diff(seen_theta).min(initial=np.inf))) ** 2)
+        new_w, new_theta = np.maximum(seen - step_w, 0), np.maximum.accumulate(seen_theta - g / steep + 1e-9 * np.arange(top))
         faster = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         seen = new_w + (momentum - 1) / faster * (new_w - w)
         seen_theta = np.maximum.accumulate(new_theta + (momentum - 1) / faster * (new_theta - theta))
@@ -121,6 +125,7 @@ def score(docs: DataFrame, model: Ordinal, threshold: float = 0.5) -> DataFrame:
     """Adds severity (the expected grade), p_toxic = P(grade > 0) and toxic (p_toxic >= threshold) to
     `docs`, whose columns of these names are replaced. Null, empty and letterless texts score as a text of
     no features. Repeated rows score alike; an empty table stays empty."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("severity", "p_toxic", "toxic")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
