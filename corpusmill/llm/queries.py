@@ -68,5 +68,60 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_chroma": op1_chroma, "op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op6_toxicity": op6_toxicity, "op7_suffix_dedup": op7_suffix_dedup, "op8_pack": op8_pack, "op9_minhash": op9_minhash, "op10_langid": op10_langid}
 
 
+_OP5 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), marked AS (
+  SELECT *, bool_or(contains(text, '<|im_start|>') OR contains(text, '<|im_end|>') OR regexp_matches(text, '<\\+\|')) OVER (PARTITION BY conv_id) AS escaped FROM turns
+), convs AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS lines,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(12 + length(role) + 1 + length(text) + 10 + 1 + CASE WHEN escaped THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END)::BIGINT AS formatted_chars
+  FROM marked GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM convs
+"""
+
+_OP9 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words
+), sizes AS (SELECT doc_id, len(s)::BIGINT AS n FROM sets
+), shingled AS (SELECT DISTINCT doc_id, unnest(s) AS x FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingled a JOIN shingled b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b WHERE 100 * common >= 85 * (sa.n + sb.n - common)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (SELECT a, a AS b FROM edges UNION SELECT r.a, l.b FROM reached r JOIN edges l ON r.b = l.a
+), least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, n AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM sizes LEFT JOIN least ON a = doc_id
+"""
+
+_OP10 = r"""
+WITH d AS (
+  SELECT doc_id, lang, trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}]+', ' ', 'g'), ' ') AS s,
+    xor(list_reduce(list_transform(split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, b)), 4294967295), 4294967295) % 4 = 2 AS held_out
+  FROM documents
+), spaced AS (SELECT doc_id, lang, held_out, ' ' || s || ' ' AS s, length(s) + 2 AS n FROM d WHERE s <> ''
+), grams AS (
+  SELECT doc_id, lang, held_out, unnest(list_concat(list_filter(list_transform(range(1, n + 1), lambda i: s[i]), lambda g: g <> ' '), list_transform(range(1, n), lambda i: s[i:i + 1]),
+    list_filter(list_transform(range(1, n - 1), lambda i: s[i:i + 2]), lambda g: g[2] <> ' '))) AS g FROM spaced
+), counted AS (SELECT doc_id, any_value(lang) AS lang, any_value(held_out) AS held_out, g, count(*) AS n FROM grams GROUP BY doc_id, g
+), profiles AS (
+  SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY n DESC, length(g), g) - 1 AS rank FROM (SELECT lang, g, sum(n) AS n FROM counted WHERE NOT held_out AND lang IS NOT NULL GROUP BY ALL) QUALIFY rank < 400
+), own AS (SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, length(g), g) - 1 AS rank FROM counted QUALIFY rank < 400
+), met AS (SELECT o.doc_id, p.lang, sum(400 - abs(o.rank - p.rank)) AS near FROM own o JOIN profiles p USING (g) GROUP BY ALL
+), away AS (SELECT doc_id, l.lang, k * 400 - coalesce(near, 0) AS away, k FROM (SELECT doc_id, count(*) AS k FROM own GROUP BY doc_id) CROSS JOIN (SELECT DISTINCT lang FROM profiles) l LEFT JOIN met m USING (doc_id, lang)
+), best AS (SELECT doc_id, lang, away, k, row_number() OVER (PARTITION BY doc_id ORDER BY away, lang) AS place FROM away)
+SELECT doc_id, held_out, coalesce(b.lang, 'und') AS lang_pred, coalesce(1 - away::DOUBLE / (k * 400), 0) AS score FROM d LEFT JOIN best b USING (doc_id) WHERE coalesce(place, 1) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL that DuckDB can run whole. The others hang on hashes, tokens or parsers: see tests/llm."""
+    return {"op5_chat": _OP5, "op9_minhash": _OP9, "op10_langid": _OP10}
