@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import rules, text
+from ..functions.resilience import with_retries
 
 
 def has_any(x: Column, words: list[str]) -> Column:
@@ -52,6 +56,33 @@ def with_project(files: DataFrame, slugs: DataFrame, parts: str = "parts") -> Da
     return rows.withColumns({"project_slug": slug, "project_title": title}).drop("_top", "_slug", "_title", "_yearly")
 
 
+def extracted(docs: DataFrame, extract: Callable[[str, str], str], known: DataFrame | None = None, least: int = 30, most: int = 60_000) -> DataFrame:
+    """Adds requirements (array of structs) and error to `docs` (source_rel, source_file, text, others): what `extract`, a
+    model's answer to (text, file name), has as JSON. Texts go in by their first `most` characters; shorter ones
+    than `least` are an error, as are answers without JSON. Documents that `known` (source_rel) has are left out."""
+    if known is not None:
+        docs = docs.join(known.select("source_rel"), "source_rel", "left_anti")
+    docs = docs.drop("requirements", "error").withColumn("_text", F.substring("text", 1, most))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for body, name in zip(batch["_text"], batch["source_file"], strict=True):
+                if len((body or "").strip()) < least:
+                    rows.append((None, "too short"))
+                    continue
+                try:
+                    rows.append((with_retries(lambda body=body, name=name: extract(body, name)), None))
+                except Exception as e:  # one document must not end the job; its cause is kept
+                    rows.append((None, f"{type(e).__name__}: {e}"))
+            yield batch.assign(_answer=[x for x, _ in rows], error=[x for _, x in rows])
+
+    text_ = F.lit(None).cast("string")
+    answers = docs.mapInPandas(ask, docs.withColumns({"_answer": text_, "error": text_}).schema)
+    found = text.json_payload("_answer", "requirements array<struct<req_name: string, req_detail: string, req_type: string, strategy: string, source_loc: string>>")["requirements"]
+    return answers.withColumn("requirements", found).withColumn("error", F.coalesce("error", F.when(F.col("requirements").isNull(), "no JSON"))).drop("_text", "_answer")
+
+
 def items(extractions: DataFrame) -> DataFrame:
     """A row for each requirement of `extractions` (…, requirements: array of structs), with pos from 0."""
     others = [c for c in extractions.columns if c != "requirements"]

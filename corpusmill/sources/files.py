@@ -27,6 +27,12 @@ def scan(spark: SparkSession, root: str, extensions: list[str] = rules.TARGET_EX
     return files.withColumn("ext", text.suffix("path")).where(F.col("ext").isin(extensions)).select(*columns, "ext")
 
 
+def top_folders(files: DataFrame, root: str) -> DataFrame:
+    """The folders right below `root` that hold any of `files` (path), by name, with the number of files."""
+    inside = F.split(F.substring("path", len(root.rstrip("/")) + 2, 1 << 20), "/")
+    return files.where(F.size(inside) > 1).groupBy(inside[0].alias("folder")).agg(F.count("*").alias("files")).orderBy("folder")
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     schema = "project_slug string, project_title string, file_name string, ext string, size long, doc_key string, is_primary string, source_rel string, abs_path string"
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -75,17 +81,23 @@ def _joined(e: ElementTree.Element) -> str:
     return "".join(t.text or "" for t in e.iter() if _local(t) == "t")
 
 
-def _rows(table: ElementTree.Element) -> list[str]:
+def _rows(table: ElementTree.Element, between: str = "\t", merged: bool = False) -> list[str]:
+    """A table's rows; `merged` takes a cell once that repeats the one before it, as merged cells do."""
     cells = [[" ".join(_joined(c).split()) for c in row if _local(c) == "tc"] for row in table.iter() if _local(row) == "tr"]
-    return ["\t".join(c for c in row if c) for row in cells if any(row)]
+    if merged:
+        cells = [[c for k, c in enumerate(row) if not k or c != row[k - 1]] for row in cells]
+    return [between.join(c for c in row if c) for row in cells if any(row)]
 
 
-def docx(data: bytes) -> str:
-    """Paragraphs with text, then the rows of tables, cells joined by tabs."""
+def docx(data: bytes, title: str | None = None, between: str = "\t") -> str:
+    """Paragraphs with text, then the rows of tables. `title`, with {n}, heads each table and has merged cells once."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         body = _xml(z, "word/document.xml")[0]
     lines = [s for p in body if _local(p) == "p" and (s := _joined(p).strip())]
-    return "\n".join(lines + [r for t in body if _local(t) == "tbl" for r in _rows(t)])
+    for n, table in enumerate((t for t in body if _local(t) == "tbl"), 1):
+        rows = _rows(table, between, title is not None)
+        lines += [title.format(n=n), *rows] if title and rows else rows
+    return "\n".join(lines)
 
 
 def pptx(data: bytes) -> str:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions import rules, text
 from ..operators.chunking import chunked
@@ -33,3 +34,23 @@ def ingest(files: DataFrame, chunks_path: str, status_path: str, checkpoint: str
         docs.unpersist()
 
     return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes a line for each batch: its number, rows, and rows a second."""
+
+    def __init__(self, log: logging.Logger | None = None):
+        self.log = log or logging.getLogger(__name__)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.log.info("started %s", event.id)
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.log.info("batch %s: %s rows, %.1f a second", p.batchId, p.numInputRows, p.processedRowsPerSecond or 0.0)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.log.info("ended %s: %s", event.id, event.exception or "done")

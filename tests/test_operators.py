@@ -253,3 +253,40 @@ def test_requirement_names(spark):
     assert got.where("got <> want").isEmpty()
     assert one(spark, text.doc_key(F.lit("설계서_ver1.2b_20190412 (2)"))) == "설계서"
     assert one(spark, text.labels(F.lit("SSO 로그인 화면 API"))) == ["인증/로그인", "데이터연계/인터페이스"]
+
+
+def test_ingestion_run(spark, tmp_path):
+    from corpusmill.config import Settings
+    from corpusmill.operators import runs
+
+    root = tmp_path / "in"
+    (root / "Core 2012").mkdir(parents=True)
+    for k in range(12):
+        (root / "Core 2012" / f"report_{k:03d}.txt").write_text(f"sentence {k}. " * 150)
+    (root / "tiny.txt").write_text("x")
+    (root / "scan.pdf").write_bytes(b"%PDF")
+    store = state.StateStore(spark, f"file://{tmp_path}/state")
+    go = lambda **more: sorted((r.file_path.rsplit("/", 1)[1], r.status, r.reason) for r in runs.run(spark, str(root), store, f"{tmp_path}/vectors", lambda c: embedding.embedded(c, dimension=16), **more).collect())
+    first = {*go(max_files=13), *go(max_files=2)}
+    assert sorted(x for x in first if x[1] != "success") == [("scan.pdf", "skipped", "unsupported"), ("tiny.txt", "failed", "empty or too short")]
+    assert [x[0] for x in go()] == ["scan.pdf", "tiny.txt"]  # only what failed
+    (root / "Core 2012" / "report_003.txt").write_text("changed text that is short")
+    assert "report_003.txt" in [x[0] for x in go()]
+    rows = runs.current(spark, f"{tmp_path}/vectors")
+    assert rows.where("source_path like '%report_003.txt'").count() == 1 and rows.select("project", "year", "category").distinct().collect()[0] == ("Core 2012", "2012", "보고서")
+    assert state.dead_letters(state.processed_files(store.log())).count() == 2 and len(store.runs().collect()) == 4
+    assert len(go(resume=False)) == 14
+    assert Settings.from_env({"TOP_K": "3"}).top_k == 3
+    assert [r.folder for r in files.top_folders(files.scan(spark, str(root)), f"file:{root}").collect()] == ["Core 2012"]
+
+
+def test_extraction(spark):
+    docs = spark.createDataFrame([("a", "a.doc", "long enough " * 5), ("b", "b.doc", "short"), ("c", "c.doc", "no json here, but a text"  * 3), ("d", "d.doc", "known " * 9)], "source_rel string, source_file string, text string")
+    known = spark.createDataFrame([("d",)], "source_rel string")
+
+    def extract(body, name):
+        return "none" if name == "c.doc" else '```json\n{"requirements": [{"req_name": "n", "req_detail": "' + str(len(body)) + '"}]}\n```'
+
+    got = {r.source_rel: r for r in requirements.extracted(docs, extract, known, most=40).collect()}
+    assert set(got) == {"a", "b", "c"} and (got["b"].error, got["c"].error) == ("too short", "no JSON")
+    assert got["a"].requirements[0].req_detail == "40" and got["a"].error is None
