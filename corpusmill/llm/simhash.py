@@ -78,6 +78,14 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks:
     return hits.select("q_hi", "q_lo", "hi", "lo", F.col("distance").cast("int").alias("distance")).distinct()
 
 
+def neighbours(asked: DataFrame, prints: DataFrame, radius: int = 3) -> DataFrame:
+    """hi, lo, n_within for the distinct fingerprints of `asked`: how many other rows of `prints` have one within
+    `radius`. Copies are counted by their fingerprint, not paired."""
+    copies = prints.groupBy("hi", "lo").agg(F.count("*").alias("n"))
+    hits = within_radius(asked, copies, radius).join(copies, ["hi", "lo"])
+    return hits.groupBy(F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo")).agg((F.sum("n") - 1).alias("n_within"))
+
+
 def in_order(docs: DataFrame, per_bucket: int = 4000) -> tuple[DataFrame, DataFrame]:
     """`docs` (doc_id, text) with bucket, rn, next_text, and the table (bucket, next_bucket).
 
@@ -101,11 +109,12 @@ def in_order(docs: DataFrame, per_bucket: int = 4000) -> tuple[DataFrame, DataFr
     return rows, firsts.select("bucket", "next_bucket")
 
 
-def edited(docs: DataFrame) -> DataFrame:
+def edited(docs: DataFrame, radius: int = 3) -> DataFrame:
     """For each row of `docs` (doc_id, text): doc_id, n_chars, edited_sha256, fingerprint and
     edited_fingerprint of the text and of the text whose last half is replaced by the start of the next
     document, near_edited and near_next: the share of equal bits with the edited text's fingerprint and
-    the next document's. A lone document is its own next. Null texts count as empty. Repeated rows
+    the next document's; for ids divisible by 100 n_within, the number of other rows with a fingerprint within
+    `radius` (else null). A lone document is its own next. Null texts count as empty. Repeated rows
     give a row each. An empty table gives an empty one."""
     rows, order = in_order(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     half = F.floor(F.length("text") / 2).cast("int")
@@ -120,5 +129,9 @@ def edited(docs: DataFrame) -> DataFrame:
     prints = prints.withColumns({"_hi": F.lead("hi").over(w), "_lo": F.lead("lo").over(w)})
     met = order.join(prints.where(F.col("rn") == 1).select(F.col("bucket").alias("next_bucket"), F.col("hi").alias("m_hi"), F.col("lo").alias("m_lo")), "next_bucket")
     prints = prints.join(met.drop("next_bucket"), "bucket").withColumns({"_hi": F.coalesce("_hi", "m_hi"), "_lo": F.coalesce("_lo", "m_lo")})
+    asked = F.col("doc_id") % 100 == 0
+    found = neighbours(prints.where(asked), prints, radius)
+    rest = prints.where(~F.coalesce(asked, F.lit(False))).withColumn("n_within", F.lit(None).cast("long"))
+    prints = prints.where(asked).join(found, ["hi", "lo"]).unionByName(rest)
     near = lambda a, b: 1 - distance("hi", "lo", a, b) / F.lit(float(BITS))
-    return prints.select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), shown().alias("fingerprint"), shown("e_hi", "e_lo").alias("edited_fingerprint"), near("e_hi", "e_lo").alias("near_edited"), near("_hi", "_lo").alias("near_next"))
+    return prints.select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), shown().alias("fingerprint"), shown("e_hi", "e_lo").alias("edited_fingerprint"), near("e_hi", "e_lo").alias("near_edited"), near("_hi", "_lo").alias("near_next"), "n_within")
