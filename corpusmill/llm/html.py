@@ -34,36 +34,41 @@ _ATTR = re.compile(r"""(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+
 _RAW_SET, _BREAK_SET, _HOLDER_SET, _VOID_SET, _APART_SET, _ROLE_SET, _NAME_SET, _MAIN_SET = map(frozenset, (_RAW, _BREAKS, _HOLDERS, _VOID, _APART, _APART_ROLES, _APART_NAMES, _MAIN_NAMES))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-#: How a block stands in its page: within what is apart, in the page at large, or in a marked article.
-APART, OPEN, ARTICLE = 0, 1, 2
+_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 
+#: How a block stands in its page: within what is apart, in the page at large, in its marked main part; more
+#: than that: in the first, second, ... article of the page.
+APART, OPEN, MAIN = 0, 1, 2
 
-def _kind(tag: str, attrs: str, above: int) -> tuple[str, int]:
-    """The path step of an element and how its blocks stand, given how its parent's do."""
+
+def _kind(tag: str, attrs: str, above: int, articles: int) -> tuple[str, int, bool]:
+    """The path step of an element, how its blocks stand, given how its parent's do and how many articles
+    there were, and whether it is a header, of which an article keeps the headings."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTR.findall(attrs)} if attrs else {}
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
     step = f"{tag}.{'.'.join(found['class'].split())}" if found.get("class") else tag
-    if above == APART or tag in _APART_SET or found.get("role") in _ROLE_SET:
-        return step, APART
-    if tag not in ("html", "body", "article", "main") and any(n in _NAME_SET or not _NAME_SET.isdisjoint(re.split(r"[-_]+", n)) and n not in _MAIN_SET for n in names):
-        return step, APART
-    if tag == "article" and not {"comment", "comments", "reply"}.isdisjoint(w for n in names for w in re.split(r"[-_]+", n)):
-        return step, APART
-    if tag == "header":
-        return step, APART
+    if above == APART or tag in _APART_SET or found.get("role") in _ROLE_SET or attrs and _HIDDEN.search(attrs):
+        return step, APART, False
+    words = {w for n in names if n not in _MAIN_SET for w in (n, *re.split(r"[-_]+", n))} & _NAME_SET
+    if tag == "header" or words == {"header"} and tag not in ("html", "body", "article", "main"):
+        return step, APART, True
+    if words and (tag not in ("html", "body", "article", "main") or tag == "article" and words & {"comment", "comments", "reply"}):
+        return step, APART, False
+    if tag == "article" and above <= MAIN:
+        return step, MAIN + articles + 1, False
     if tag in ("article", "main") or found.get("role") in ("main", "article") or found.get("itemprop") == "articlebody" or not _MAIN_SET.isdisjoint(names):
-        return step, ARTICLE
-    return step, above
+        return step, max(above, MAIN), False
+    return step, above, False
 
 
 def blocks(html: str | None) -> list[tuple[str, int, str]]:
     """(path of the holding elements, standing, text) of each block with text, in page order. A header
     within an article keeps its headings. Markup that is cut off or left open ends with the page."""
     out: list[tuple[str, int, str]] = []
-    stack: list[tuple[str, str, int]] = []
+    stack: list[tuple[str, str, int, bool]] = []
     run: list[str] = []
     path, standing, heading = "", OPEN, ""
-    skip_to = 0
+    skip_to = articles = 0
     html = html or ""
 
     def flush() -> None:
@@ -71,8 +76,8 @@ def blocks(html: str | None) -> list[tuple[str, int, str]]:
             text = " ".join("".join(run).split())
             run.clear()
             if text:
-                inside = stack[-1][0] == "header" and heading and any(s[2] == ARTICLE for s in stack) if stack else False
-                out.append((path, ARTICLE if inside else standing, text))
+                around = stack[-2][2] if heading and len(stack) > 1 and stack[-1][3] else APART
+                out.append((path, around if around >= MAIN else standing, text))
 
     for m in _TOKEN.finditer(html):
         if m.start() < skip_to:
@@ -99,8 +104,9 @@ def blocks(html: str | None) -> list[tuple[str, int, str]]:
                     heading = tag
             if tag in _HOLDER_SET and tag not in _VOID_SET and not attrs.endswith("/"):
                 flush()
-                step, standing = _kind(tag, attrs, standing)
-                stack.append((tag, path, standing))
+                step, standing, header = _kind(tag, attrs, standing, articles)
+                articles = max(articles, standing - MAIN)
+                stack.append((tag, path, standing, header))
                 path = f"{path}/{step}"
         else:
             if tag in _BREAK_SET or tag in _HOLDER_SET:
@@ -109,7 +115,7 @@ def blocks(html: str | None) -> list[tuple[str, int, str]]:
                     heading = ""
             if tag in _HOLDER_SET and any(s[0] == tag for s in stack):
                 while stack:
-                    name, path, _ = stack.pop()
+                    name, path, *_ = stack.pop()
                     if name == tag:
                         break
                 standing = stack[-1][2] if stack else OPEN
@@ -168,11 +174,17 @@ def templates(pages: DataFrame, least_pages: int = 10, support: float = 0.95) ->
 
 def main_text(html: str | None, template: frozenset[int] = frozenset(), slot: str | None = None) -> str:
     """The page's main text: of what stands outside menus, forms and the like and is not in the host's
-    template, the blocks that a marked article holds; on a page that marks none, the host's main slot; where that is missing, all of it."""
+    template, the blocks of the article with the most text; without articles, of the marked main part; on a
+    page that marks none, of the host's main slot; where that is missing, all of it."""
     found = [b for b in blocks(html) if b[1] != APART and _hash(b[0], b[2]) not in template]
-    marked = [b for b in found if b[1] == ARTICLE]
-    if marked:
-        found = marked
+    sizes = Counter()
+    for _, standing, text in found:
+        sizes[standing] += len(text)
+    articles = [k for k in sizes if k > MAIN]
+    if articles:
+        found = [b for b in found if b[1] == max(articles, key=lambda k: (sizes[k], -k))]
+    elif sizes[MAIN]:
+        found = [b for b in found if b[1] == MAIN]
     elif slot and any(b[0].startswith(slot) for b in found):
         found = [b for b in found if b[0].startswith(slot)]
     return "\n".join(b[2] for b in found)

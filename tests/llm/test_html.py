@@ -17,6 +17,8 @@ CASES = [
     ("<div class='cookie-notice'>n</div><div id=\"main\"><p>1 < 2</p></div><div role='navigation'>m</div>", "1 < 2"),
     ("<main><p>m</p><div class='ad'>buy</div><ul><li>i<li>j</ul></main>", "m\ni\nj"),
     ("<!-- open <p>x</p>", ""),
+    ("<main><p>lead</p><article>a long story</article><article class='teaser'>short</article></main>", "a long story"),
+    ("<article><div class='post-header'><h1>T</h1><span>by X</span></div><p>x</p><div style='display: none'>no</div></article>", "T\nx"),
     ("<article>a<script>b", "a"),
 ]
 
