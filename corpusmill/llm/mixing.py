@@ -74,12 +74,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
 
     Null and empty texts have no words and take part in nothing; repeated rows count each; a null
     source is a source. An empty table gives empty tables. The shuffle hangs on values and `seed`
-    alone, so reruns agree. `keep_text` keeps the texts in `documents`, for `mixed_documents`."""
+    alone, so reruns agree. Columns of the names that `documents` adds are replaced. `keep_text` keeps the texts in `documents`, for `mixed_documents`."""
     names = [c for c in docs.columns if c not in ("uid", "source_no", "source_size", "target", "size", "taken") and (keep_text or c != "text")]
     docs = docs.select(*names, word_count().alias("size"), F.monotonically_increasing_id().alias("uid"))
     docs = written(docs)
     sources = written(targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, epochs))
-    docs = docs.withColumnRenamed("source", "_source").join(sources, F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
+    docs = docs.withColumnRenamed("source", "_mix_source").join(sources, F.col("_mix_source").eqNullSafe(F.col("source"))).drop("_mix_source")
     stream = docs.where(F.col("size") > 0).select("uid", "doc_id", "source_no", "source_size", "size", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     stream = stream.withColumn("_h", F.xxhash64(F.lit(seed), "epoch", "doc_id", "size"))
     buckets = max(1, -(-hottest(docs, ["source_no"]) // per_bucket))

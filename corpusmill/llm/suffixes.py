@@ -292,9 +292,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -
     the first is kept. A null doc_id comes first. An empty table gives an empty one.
 
     Only texts with repeats move: those whose key passes a sieve of fixed size meet their spans."""
-    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans").withColumn("uid", F.xxhash64("doc_id", "text"))
-    spans = written(repeats(docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "uid", "text"), length, keep))
-    sieve = docs.sparkSession.sparkContext.broadcast(_bitmap(spans.select(F.col("uid").alias("key"))))
+    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans").withColumn("_uid", F.xxhash64("doc_id", "text"))
+    spans = written(repeats(docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.col("_uid").alias("uid"), "text"), length, keep).withColumnsRenamed({"uid": "_uid", "spans": "_spans"}))
+    sieve = docs.sparkSession.sparkContext.broadcast(_bitmap(spans.select(F.col("_uid").alias("key"))))
 
     @F.pandas_udf("boolean")
     def may_repeat(uid: pd.Series) -> pd.Series:
@@ -303,7 +303,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _slices(batches):
             rows = []
-            for text, spans_ in zip(batch["text"], batch.pop("spans"), strict=True):
+            for text, spans_ in zip(batch["text"], batch.pop("_spans"), strict=True):
                 data = (text or "").encode()
                 runs = merged([(s["a"], s["b"]) for s in spans_]) if spans_ is not None else []
                 ends = [0, *(x for run in runs for x in run), len(data)]
@@ -312,9 +312,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -
             batch[["kept", "n_bytes", "n_removed", "n_spans"]] = pd.DataFrame(rows, columns=["kept", "n_bytes", "n_removed", "n_spans"], index=batch.index)
             yield batch
 
-    docs = docs.withColumn("_may", may_repeat("uid"))
-    moved = docs.where("_may").drop("_may").join(spans, "uid", "left").drop("uid")
-    moved = moved.mapInPandas(cut, moved.drop("spans").withColumns({"kept": F.lit(b""), "n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")}).schema)
+    docs = docs.withColumn("_may", may_repeat("_uid"))
+    moved = docs.where("_may").drop("_may").join(spans, "_uid", "left").drop("_uid")
+    moved = moved.mapInPandas(cut, moved.drop("_spans").withColumns({"kept": F.lit(b""), "n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")}).schema)
     whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    rest = docs.where(~F.col("_may")).drop("_may", "uid").withColumns({"kept": whole, "n_bytes": F.octet_length(whole).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")})
+    rest = docs.where(~F.col("_may")).drop("_may", "_uid").withColumns({"kept": whole, "n_bytes": F.octet_length(whole).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")})
     return moved.unionByName(rest)

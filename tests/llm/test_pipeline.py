@@ -48,3 +48,17 @@ def test_empty(spark, make):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, ""))
         assert docs.count() == 0
+
+
+def test_extra_columns_stay(spark, make):
+    from pyspark.sql import functions as F
+
+    docs = make([prose(k, 80, 10_000) for k in range(6)] + [prose(1, 80, 10_000), None])
+    names = ["uid", "score", "size", "kept", "taken", "spans", "_uid", "_h", "bucket", "source_no", "lang_pred", "component_id", "a b"]
+    docs = docs.select(*[F.lit(f"own {c}").alias(c) for c in names], *docs.columns)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = written(stage(spark, docs, ""))
+        assert docs.columns == columns
+        assert {tuple(r) for r in docs.select(*[f"`{c}`" for c in names]).collect()} == {tuple(f"own {c}" for c in names)}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0
