@@ -14,14 +14,23 @@ from corpusmill.llm.common import table, written
 LEAST_LIKENESS = 0.2
 
 
+def _apart(docs: DataFrame, *used: str) -> DataFrame:
+    """`docs` with its columns other than `used` under names that no operator uses."""
+    return docs.select(*used, *[F.col(f"`{c}`").alias(f"_other{i}") for i, c in enumerate(docs.columns) if c not in used])
+
+
+def _back(rows: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of `docs` out of what an operator made of `_apart`."""
+    return rows.select(*[F.col(c) if c in used else F.col(f"_other{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Goes: what has no letters, and what is like none of the languages learned from the documents' own
     lang (all but the held-out quarter). Clean texts in any of these languages stay, whatever their lang says."""
-    columns = docs.columns
     model = langid.learn(docs.where(~langid.held_out()))
-    found = langid.predict(docs.withColumn("_text", F.col("text")), model)
+    found = langid.predict(_apart(docs, "text").withColumn("_text", F.col("text")), model)
     rejected = (F.col("lang_pred") == langid.UNDETERMINED) | (F.col("score") < LEAST_LIKENESS)
-    return found.where(~rejected).withColumnRenamed("_text", "text").select(*columns)
+    return _back(found.where(~rejected).withColumnRenamed("_text", "text"), docs, "text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,15 +42,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 200 bytes or more that an earlier document (or place) has leave the text; characters that
     this cuts in two go, too. A document of which nothing is left goes."""
-    cut = suffixes.without_repeats(docs, keep="first")
+    used = ("doc_id", "text", "n_chars")
+    cut = suffixes.without_repeats(_apart(docs, *used), keep="first")
     text = F.when(F.col("n_removed") > 0, F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))).otherwise(F.col("text"))
     cut = cut.withColumn("text", text).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return _back(cut.withColumn("n_chars", F.length("text").cast("long")), docs, *used)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights: a row for each use of a document, at most two."""
-    return mixing.mixed_documents(mixing.mix(docs, keep_text=True), docs.columns)
+    used = ("doc_id", "source", "text", "n_chars")
+    apart = _apart(docs, *used)
+    return _back(mixing.mixed_documents(mixing.mix(apart, keep_text=True), apart.columns), docs, *used)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
