@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary one under a local
+    master where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not base:
+        base = tempfile.mkdtemp(prefix="corpusmill-")
+        atexit.register(shutil.rmtree, base, True)
+    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
 #: No table has files: each document stands in for one, with a name, folder and times made of its columns.
 EXTENSIONS = [".hwp", ".doc", ".docx", ".PPT", ".pptx", ".xls", ".xlsx", ".pdf", ".txt", ".sql", ".md", ".jpg"]
 NAMES = ["proposal v03", "design ver 1.2b", "report(final)", "src_20190412", "manual ver2.10", "meeting[2]", "latest", "contract-draft", "misc "]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from html import unescape
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +12,7 @@ from ..functions import text, vectors
 from ..operators import chunking, embedding, search
 from ..sources.files import converted
 from ..streaming.ingest import file_stream, ingest
-from .registry import query, strip_sql, table
+from .registry import query, shared_folder, strip_sql, table
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,8 +191,7 @@ def embed_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents written as text files by Spark, a file a source and task, and taken in by the stream: the
     outcomes by reason, and how many chunks they gave."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusmill-")
-    top = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    top = shared_folder(spark)
     _docs(spark, sf_dir).select("source", F.coalesce("text", F.lit("")).alias("value")).write.partitionBy("source").text(f"{top}/files")
     taken = ingest(file_stream(spark, f"{top}/files"), f"{top}/chunks", f"{top}/status", f"{top}/checkpoint")
     taken.awaitTermination()
