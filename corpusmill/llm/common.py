@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,6 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT} to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="corpusmill-")
+        atexit.register(shutil.rmtree, found, True)
         spark.conf.set(_CHECKPOINT, found)
     return found.rstrip("/")
 
@@ -47,12 +50,14 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Deletes the files of a table made by `written`."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of tables made by `written` that nothing will read any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getName().startswith("table-"):
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def hash_bucket(hashed: str, buckets: int) -> Column:

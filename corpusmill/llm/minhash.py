@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_bucket, hottest, running, small_batches, written
+from .common import dropped, hash_bucket, hottest, running, small_batches, written
 
 SHINGLE, PERCENT = 5, 85
 #: 24 bands of 5 coordinates miss a pair at the threshold with probability (1 - 0.85^5)^24 < 1e-6.
@@ -82,16 +82,18 @@ def components(edges: DataFrame) -> DataFrame:
     round takes the least label around a node and then that node's own; both are sums by key of rows,
     with a hot node summed before the shuffle. Rounds are written, as the next ones build on them."""
     both = written(edges.union(edges.select("b", "a")).where(F.col("a") != F.col("b")).distinct())
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label"))
-    labels = written(labels)
+    table = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.lit(None).cast("long").alias("was"), F.least("node", "m").alias("label")))
     while True:
+        labels = table.select("node", "label")
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         new = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "m").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
         new = written(new.join(up, "label").select("node", "was", F.least("label", "up").alias("label")))
-        labels = new.select("node", "label")
-        if new.where(F.col("was") != F.col("label")).isEmpty():
-            return labels
+        dropped(table)
+        table = new
+        if table.where(F.col("was") != F.col("label")).isEmpty():
+            dropped(both)
+            return table.select("node", "label")
 
 
 def _links(own: list[np.ndarray], other: list[np.ndarray] | None, percent: int) -> np.ndarray:
@@ -170,7 +172,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     """doc_id, n_shingles, component_id, kept for each row of `docs` (doc_id long, text; others ignored).
 
     Documents are linked whose sets have 100 * intersection >= percent * union; component_id is the least
-    doc_id that links lead to. Null and blank texts have empty sets and link with nothing; repeated rows
+    doc_id that links lead to. Rows with equal doc_id are taken to have equal texts. Null and blank texts have empty sets and link with nothing; repeated rows
     are copies, with a row each; a null doc_id is its own component (null, and kept). An empty table
     gives an empty one.
 
@@ -223,7 +225,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         task = lambda p, b: F.concat_ws("-", "cluster", p, b)
         asked = large.join(rest, ["cluster", "node"]).withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cluster", "node", "set", task("part", "_b").alias("task"), F.lit(0).alias("side"))
         met = large.join(parts, "cluster").withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("cluster", "node", "set", task("_p", "block").alias("task"), F.lit(1).alias("side"))
-        labels = components(first.union(written(_confirmed(asked.unionByName(met), percent))))
+        second = written(_confirmed(asked.unionByName(met), percent))
+        labels = components(first.union(second))
+        dropped(rest, second)
+    dropped(sets, clusters, first)
     found = nodes.join(labels, "node", "left").select("hi", "lo", F.coalesce("label", "node").alias("component_id"))
     out = sketched.where(F.col("doc_id").isNotNull()).drop("bands").join(found, ["hi", "lo"], "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import dropped, small_batches, written
 
 LENGTH, GRAM = 200, 48
 _CHUNK = 1 << 19
@@ -210,8 +210,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     segments = written(segments.select(*same, "times", "p.*"))
     groups = segments.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("times").alias("all"))
     groups = groups.where(F.col("kinds") > 1)
-    mixed = written(segments.join(groups.select("h", "kinds"), "h"))
-    wanted = mixed.select("uid", "first")
+    looked_up = written(segments.join(groups.select("h", "kinds"), "h"))
+    wanted = looked_up.select("uid", "first")
 
     def place_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -230,24 +230,27 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
             yield pd.DataFrame(out, columns=["uid", "first", "data"])
 
     data = docs.select("uid", "text").mapInPandas(cut_out, "uid long, first long, data binary").dropDuplicates(["uid", "first"])
-    mixed = written(mixed.join(data, ["uid", "first"]))
+    mixed = written(looked_up.join(data, ["uid", "first"]))
     sieve2.destroy()
     usual = mixed.where(F.col("kinds") <= hot)
     bins = max(1, -(-usual.count() // 4_000))
     by_order = usual.withColumn("bin", F.pmod("h", F.lit(bins))).drop("kinds").groupBy("bin").applyInPandas(lambda x: matched_windows(x, length, keep == "first"), "h long, s1 long, s2 long, lo long, hi long")
     by_content = _counted(mixed.where(F.col("kinds") > hot), length, keep == "first")
-    partly = written(by_order.unionByName(by_content)).groupBy(*same).agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
+    runs = written(by_order.unionByName(by_content))
+    partly = runs.groupBy(*same).agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
     known = segments.join(partly, same, "left").where((F.col("times") > 1) | F.col("parts").isNotNull())
     # Written, so that both sides of the join are dealt out for it and a hot segment's rows can be split.
     known = written(known.select(*same, "times", "parts", F.col("uid").alias("_uid"), F.col("first").alias("_first")))
-    found = found.join(known, same)
+    hits = found.join(known, same)
     full = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("m").alias("hi")))
     if keep == "first":
         parts = F.when((F.col("uid") == F.col("_uid")) & (F.col("first") == F.col("_first")), F.coalesce("parts", F.array().cast("array<struct<lo:long,hi:long>>"))).otherwise(full)
     else:
         parts = F.when(F.col("times") > 1, full).otherwise(F.col("parts"))
-    spans = found.select("uid", "first", F.explode(parts).alias("part")).select("uid", F.struct((F.col("first") + F.col("part.lo")).alias("a"), (F.col("first") + F.col("part.hi") + length - 1).alias("b")).alias("span"))
-    return spans.groupBy("uid").agg(F.sort_array(F.collect_set("span")).alias("spans"))
+    spans = hits.select("uid", "first", F.explode(parts).alias("part")).select("uid", F.struct((F.col("first") + F.col("part.lo")).alias("a"), (F.col("first") + F.col("part.hi") + length - 1).alias("b")).alias("span"))
+    spans = written(spans.groupBy("uid").agg(F.sort_array(F.collect_set("span")).alias("spans")))
+    dropped(found, segments, looked_up, mixed, runs, known)
+    return spans
 
 
 def _counted(segments: DataFrame, length: int, earlier: bool) -> DataFrame:
@@ -293,7 +296,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -
 
     Only texts with repeats move: those whose key passes a sieve of fixed size meet their spans."""
     docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans").withColumn("_uid", F.xxhash64("doc_id", "text"))
-    spans = written(repeats(docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.col("_uid").alias("uid"), "text"), length, keep).withColumnsRenamed({"uid": "_uid", "spans": "_spans"}))
+    spans = repeats(docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.col("_uid").alias("uid"), "text"), length, keep).withColumnsRenamed({"uid": "_uid", "spans": "_spans"})
     sieve = docs.sparkSession.sparkContext.broadcast(_bitmap(spans.select(F.col("_uid").alias("key"))))
 
     @F.pandas_udf("boolean")
