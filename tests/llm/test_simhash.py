@@ -42,7 +42,6 @@ def test_edited(spark, make):
     assert prints[5 + 3] == prints[5 + 33] and all(0 <= r.near_next <= 1 for r in got)
     halves = [r for r in got if r.n_chars > 100]
     assert sum(r.near_edited for r in halves) / len(halves) > sum(r.near_next for r in halves) / len(halves) + 0.1
-    assert all(r.n_within is None for r in got)
     assert simhash.edited(docs.limit(0)).count() == 0
     lone = simhash.edited(make(["abcd"])).first()
     assert lone.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and lone.near_next == 1.0
@@ -50,8 +49,9 @@ def test_edited(spark, make):
 
 def test_neighbours(make):
     docs = make([prose(1, 300), *[prose(1, 300)] * 3, prose(1, 300) + " more", *[prose(k, 50) for k in range(2, 6)]], first=100)
-    rows = simhash.edited(docs, radius=20).collect()
-    assert {r.doc_id: r.n_within for r in rows if r.n_within is not None} == {100: 4}
+    prints = written(simhash.fingerprints(docs, ["doc_id"]))
+    rows = simhash.neighbours(prints.where("doc_id % 100 = 0"), prints, radius=20).collect()
+    assert [r.n_within for r in rows] == [4]
 
 
 def test_buckets(make):
