@@ -117,7 +117,7 @@ def test_search(spark):
     assert {q: [r.chunk_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == q] for q in want} == want
     assert search.top_k_each(df, queries.limit(0), 5).count() == 0
     zero = F.array(*[F.lit(0.0)] * 8)
-    assert df.select(cosine("embedding" and F.col("embedding"), zero).alias("c")).distinct().collect()[0].c == 0.0
+    assert df.select(cosine(F.col("embedding"), zero).alias("c")).distinct().collect()[0].c == 0.0
     new = spark.createDataFrame([(7, [1.0] * 8), (99, [2.0] * 8)], "chunk_id long, embedding array<float>")
     once = search.upsert(df, new)
     assert once.count() == 62 and search.upsert(once, new).count() == 62
