@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +31,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(_BATCH, str(rows))
 
 
+def give_back() -> None:
+    """At the end of a task: returns what its Python worker has freed to the system, as workers live on."""
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is configured."""
     found = spark.conf.get(_CHECKPOINT, None) or spark.sparkContext.getConf().get(_CHECKPOINT)

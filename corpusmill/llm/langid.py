@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small_batches
+from .common import give_back, small_batches
 
 #: Returned where a text has nothing to tell a language by.
 UNDETERMINED = "und"
@@ -153,6 +153,7 @@ def predict(docs: DataFrame, model: Profiles) -> DataFrame:
         for batch in batches:
             found = [closest(x, shared.value) for x in batch.pop("text")]
             yield batch.assign(lang_pred=[x for x, _ in found], score=[x for _, x in found])
+        give_back()
 
     schema = docs.drop("text").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
     return docs.mapInPandas(run, schema)

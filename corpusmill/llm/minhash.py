@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, hash_bucket, hottest, running, small_batches, written
+from .common import dropped, give_back, hash_bucket, hottest, running, small_batches, written
 
 SHINGLE, PERCENT = 5, 85
 #: 24 bands of 5 coordinates miss a pair at the threshold with probability (1 - 0.85^5)^24 < 1e-6.
@@ -72,6 +72,7 @@ def _sketched(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 keys = _mixed((keys * _MANY[:rows]).sum(1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64) * _MANY[rows])
                 out.append((doc_id, len(s), (both >> 64) - (1 << 63), (both & (1 << 64) - 1) - (1 << 63), keys.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "n", "hi", "lo", "bands"])
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n long, hi long, lo long, bands array<long>")
@@ -201,6 +202,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500].copy()
                 yield part.assign(set=[shingles(t, size).tobytes() for t in part.pop("text")])
+        give_back()
 
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(clusters.join(whole, "cluster"), "node")
     sets = texts.mapInPandas(with_set, texts.drop("text").withColumn("set", F.lit(b"")).schema)

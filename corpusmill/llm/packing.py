@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_bucket, running, small_batches, written
+from .common import give_back, hash_bucket, running, small_batches, written
 
 #: Words that a worker keeps in one generation of its cache.
 _CACHED_WORDS = 250_000
@@ -106,6 +106,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) ->
                     rows += [(doc_id, k, s, min(capacity, n - s), zlib.crc32(ids[4 * s : 4 * (s + capacity)])) for k, s in enumerate(range(0, n, capacity))]
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
         encode.old = {}
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, small_batches, written
+from .common import dropped, give_back, small_batches, written
 
 LENGTH, GRAM = 200, 48
 _CHUNK = 1 << 19
@@ -185,6 +185,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
         for batch in _slices(batches):
             found = [a[0] for t in batch["text"] for a in anchors((t or "").encode(), length, gram)]
             yield pd.DataFrame({"key": np.concatenate([np.zeros(0, np.int64), *found])})
+        give_back()
 
     shared = docs.select("text").mapInPandas(keys, "key long").groupBy("key").count().where(F.col("count") > 1)
     sieve = spark.sparkContext.broadcast(_bitmap(shared))
@@ -202,6 +203,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
                     for column, values in zip(columns, (np.full(len(key), doc_id), np.full(len(key), uid), key, sides[0].view(np.int64), sides[1].view(np.int64), first, m), strict=True):
                         column.append(values)
             yield pd.DataFrame({name: np.concatenate(c) if c else [] for name, c in zip(["doc_id", "uid", "h", "s1", "s2", "first", "m"], columns, strict=True)})
+        give_back()
 
     found = written(docs.mapInPandas(candidates, f"doc_id {kind}, uid long, h long, s1 long, s2 long, first long, m long"))
     sieve.destroy()
@@ -228,6 +230,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
                     for i in np.flatnonzero(_passes(sieve2.value, _place_key(uid, first))).tolist():
                         out.append((uid, int(first[i]), data[first[i] : first[i] + m[i] + length - 1]))
             yield pd.DataFrame(out, columns=["uid", "first", "data"])
+        give_back()
 
     data = docs.select("uid", "text").mapInPandas(cut_out, "uid long, first long, data binary").dropDuplicates(["uid", "first"])
     mixed = written(looked_up.join(data, ["uid", "first"]))
