@@ -3,6 +3,7 @@ DataFrame functions only."""
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -52,37 +53,53 @@ def distance(hi1: str, lo1: str, hi2: str, lo2: str) -> Column:
     return F.bit_count(F.col(hi1).bitwiseXOR(F.col(hi2))) + F.bit_count(F.col(lo1).bitwiseXOR(F.col(lo2)))
 
 
-def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int | None = None) -> DataFrame:
-    """q_hi, q_lo, hi, lo, distance: the distinct fingerprints of `index` (hi, lo) within `radius` of
-    the distinct ones of `queries`; join either side back for its rows, of which equal ones need no
-    pairs. None is missed: the 128 bits are cut into `blocks` (radius + 2 if not given), a pair within
-    the radius agrees on at least blocks - radius of them, and there is a table for each choice of so
-    many blocks, permuted to the front as its key. A pair is kept by the first table that has it."""
+def _block(k: int, cuts: list[int], hi: Column, lo: Column) -> list[Column]:
+    """The bits of block `k`, in one or two longs."""
+    parts = []
+    for word, base in ((hi, 0), (lo, 64)):
+        a, b = max(cuts[k], base) - base, min(cuts[k + 1], base + 64) - base
+        if a < b:
+            parts.append(F.shiftrightunsigned(F.shiftleft(word, a), 64 - b + a))
+    return parts
+
+
+def _pairs(queries: DataFrame, index: DataFrame, radius: int, blocks: int | None) -> DataFrame:
+    """q_hi, q_lo, distance and the columns of `index`, for `queries` and `index` of distinct hi, lo."""
     blocks = blocks or radius + 2
     if not 0 <= radius < blocks <= 32:
         raise ValueError("radius < blocks <= 32")
     cuts = [round(k * BITS / blocks) for k in range(blocks + 1)]
+    tables = list(combinations(range(blocks), blocks - radius))
+    keys = F.array(*[F.xxhash64(F.lit(i), *[p for k in t for p in _block(k, cuts, F.col("hi"), F.col("lo"))]) for i, t in enumerate(tables)])
+    masks = F.array(*[F.struct(F.lit(sum(1 << k for k in t)).cast("long").alias("own"), F.lit((2 << t[-1]) - 1).cast("long").alias("upto")) for t in tables])
+    q = queries.select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), F.explode(F.arrays_zip(keys.alias("k"), masks.alias("m"))).alias("_q"))
+    q = q.select("q_hi", "q_lo", F.col("_q.k").alias("_k"), F.col("_q.m").alias("_m"))
+    met = q.join(index.select("*", F.explode(keys).alias("_k")), "_k").withColumn("distance", distance("q_hi", "q_lo", "hi", "lo").cast("int"))
+    differ = [_block(k, cuts, F.col("hi").bitwiseXOR(F.col("q_hi")), F.col("lo").bitwiseXOR(F.col("q_lo"))) for k in range(blocks)]
+    agreed = F.lit(0).cast("long")
+    for k, words in enumerate(differ):
+        agreed = agreed.bitwiseOR(F.when(reduce(Column.bitwiseOR, words) == 0, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
+    first = agreed.bitwiseAND(F.col("_m.upto")) == F.col("_m.own")
+    return met.where((F.col("distance") <= radius) & first).drop("_k", "_m")
 
-    def block(k: int) -> Column:
-        parts = []
-        for word, base in (("hi", 0), ("lo", 64)):
-            a, b = max(cuts[k], base) - base, min(cuts[k + 1], base + 64) - base
-            if a < b:
-                parts.append(F.shiftrightunsigned(F.shiftleft(word, a), 64 - b + a))
-        return F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)])
 
-    tables = list(combinations(range(blocks), blocks - radius))
-    keyed = lambda df: df.select("hi", "lo").distinct().select("hi", "lo", F.posexplode(F.array(*[F.xxhash64(*[block(k) for k in t]) for t in tables])).alias("_t", "_k"))
-    q = keyed(queries).withColumnsRenamed({"hi": "q_hi", "lo": "q_lo"})
-    hits = q.join(keyed(index), ["_t", "_k"]).withColumn("distance", distance("q_hi", "q_lo", "hi", "lo")).where(F.col("distance") <= radius)
-    return hits.select("q_hi", "q_lo", "hi", "lo", F.col("distance").cast("int").alias("distance")).distinct()
+def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int | None = None) -> DataFrame:
+    """q_hi, q_lo, hi, lo, distance: the distinct fingerprints of `index` (hi, lo) within `radius` of
+    the distinct ones of `queries`; join either side back for its rows, of which equal ones need no
+    pairs. None is missed: the 128 bits are cut into `blocks` (radius + 2 if not given), a pair within
+    the radius agrees on at least blocks - radius of them, and there is a table for each choice of so
+    many blocks, permuted to the front as its key. A pair is kept by the first table that has it."""
+    found = _pairs(queries.select("hi", "lo").distinct(), index.select("hi", "lo").distinct(), radius, blocks)
+    return found.select("q_hi", "q_lo", "hi", "lo", "distance")
 
 
 def neighbours(asked: DataFrame, prints: DataFrame, radius: int = 3) -> DataFrame:
     """hi, lo, n_within for the distinct fingerprints of `asked`: how many other rows of `prints` have one within
-    `radius`. Copies are counted by their fingerprint, not paired."""
-    copies = prints.groupBy("hi", "lo").agg(F.count("*").alias("n"))
-    hits = within_radius(asked, copies, radius).join(copies, ["hi", "lo"])
+    `radius`. Copies are counted by their fingerprint, not paired. Both sides are written first, so that the
+    tables are made of small rows alone and the side that asks is known to be small where it is."""
+    copies = written(prints.groupBy("hi", "lo").agg(F.count("*").alias("n")))
+    asked = written(asked.select("hi", "lo").distinct())
+    hits = _pairs(asked, copies, radius, None)
     return hits.groupBy(F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo")).agg((F.sum("n") - 1).alias("n_within"))
 
 
@@ -109,11 +126,12 @@ def in_order(docs: DataFrame, per_bucket: int = 4000) -> tuple[DataFrame, DataFr
     return rows, firsts.select("bucket", "next_bucket")
 
 
-def edited(docs: DataFrame) -> DataFrame:
+def edited(docs: DataFrame, radius: int = 3) -> DataFrame:
     """For each row of `docs` (doc_id, text): doc_id, n_chars, edited_sha256, fingerprint and
     edited_fingerprint of the text and of the text whose last half is replaced by the start of the next
     document, near_edited and near_next: the share of equal bits with the edited text's fingerprint and
-    the next document's. A lone document is its own next. Null texts count as empty. Repeated rows
+    the next document's; for ids divisible by 100 n_within, the number of other rows with a fingerprint within
+    `radius` (else null). A lone document is its own next. Null texts count as empty. Repeated rows
     give a row each. An empty table gives an empty one."""
     rows, order = in_order(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     half = F.floor(F.length("text") / 2).cast("int")
@@ -129,4 +147,9 @@ def edited(docs: DataFrame) -> DataFrame:
     met = order.join(prints.where(F.col("rn") == 1).select(F.col("bucket").alias("next_bucket"), F.col("hi").alias("m_hi"), F.col("lo").alias("m_lo")), "next_bucket")
     prints = prints.join(met.drop("next_bucket"), "bucket").withColumns({"_hi": F.coalesce("_hi", "m_hi"), "_lo": F.coalesce("_lo", "m_lo")})
     near = lambda a, b: 1 - distance("hi", "lo", a, b) / F.lit(float(BITS))
-    return prints.select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), shown().alias("fingerprint"), shown("e_hi", "e_lo").alias("edited_fingerprint"), near("e_hi", "e_lo").alias("near_edited"), near("_hi", "_lo").alias("near_next"))
+    prints = written(prints.select("hi", "lo", "doc_id", "n_chars", "sha", "e_hi", "e_lo", near("e_hi", "e_lo").alias("near_edited"), near("_hi", "_lo").alias("near_next")))
+    asked = F.col("doc_id") % 100 == 0
+    found = written(neighbours(prints.where(asked), prints, radius))
+    rest = prints.where(~F.coalesce(asked, F.lit(False))).withColumn("n_within", F.lit(None).cast("long"))
+    prints = prints.where(asked).join(found, ["hi", "lo"]).unionByName(rest)
+    return prints.select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), shown().alias("fingerprint"), shown("e_hi", "e_lo").alias("edited_fingerprint"), "near_edited", "near_next", "n_within")

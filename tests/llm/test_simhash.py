@@ -54,6 +54,15 @@ def test_neighbours(make):
     assert [r.n_within for r in rows] == [4]
 
 
+def test_edited_counts_neighbours(make):
+    docs = make([prose(1, 300), *[prose(1, 300)] * 3, prose(1, 300) + " more", *[prose(k, 50) for k in range(2, 6)]], first=100)
+    docs = docs.union(make([None, ""], first=200)).union(docs.where("doc_id = 100"))
+    got = [(r.doc_id, r.n_within) for r in simhash.edited(docs, radius=5).collect() if r.n_within is not None]
+    prints = [(r.doc_id, int(r.f, 16)) for r in simhash.fingerprints(docs.withColumn("at", F.monotonically_increasing_id()), ["doc_id", "at"]).select("doc_id", simhash.shown().alias("f")).collect()]
+    want = [(k, sum((f ^ g).bit_count() <= 5 for _, g in prints) - 1) for k, f in prints if k % 100 == 0]
+    assert sorted(got) == sorted(want) and max(n for _, n in got) >= 4
+
+
 def test_buckets(make):
     docs = make([f"t{k}" for k in range(50)])
     rows, _ = simhash.in_order(docs, per_bucket=7)
