@@ -13,6 +13,10 @@ from corpusmill.llm.common import table, written
 #: Below this likeness to the closest profile a text is in none of the languages.
 LEAST_LIKENESS = 0.2
 
+#: Near copies have this percentage of their shingles in common; 35 bands of 5 coordinates miss a pair at the
+#: threshold with probability (1 - 0.8^5)^35 < 1e-6.
+PERCENT, BANDS, ROWS = 80, 35, 5
+
 
 def _apart(docs: DataFrame, *used: str) -> DataFrame:
     """`docs` with its columns other than `used` under names that no operator uses."""
@@ -35,7 +39,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the least doc_id."""
-    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+    gone = minhash.near_duplicates(docs, percent=PERCENT, bands=BANDS, rows=ROWS).where(~F.col("kept")).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

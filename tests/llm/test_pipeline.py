@@ -62,3 +62,15 @@ def test_extra_columns_stay(spark, make):
         assert docs.columns == columns
         assert {tuple(r) for r in docs.select(*[f"`{c}`" for c in names]).collect()} == {tuple(f"own {c}" for c in names)}
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0
+
+
+def test_near_copies_from_80_percent(spark, make):
+    """Pairs of 100 shingles each that differ in k at the end: likeness 0.85 at k = 8 to 0.74 at 15."""
+    texts = []
+    for k in range(8, 16):
+        words = [f"t{k}w{i}" for i in range(104)]
+        texts += [" ".join(words), " ".join(words[:-k] + [f"t{k}v{i}" for i in range(k)])]
+    parts = brute_components(texts, percent=80)
+    assert parts != brute_components(texts, percent=85) and len({c for _, c in parts}) > len(texts) // 2
+    near = corpus_pipeline.near_duplicates(spark, make(texts), "").collect()
+    assert {r.doc_id for r in near} == {c for _, c in parts}
