@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import gcd, sqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import WORD, hash_bucket, hottest, running, written
 
-#: floor(2^31 / golden ratio), made odd: its multiples modulo 2^31 visit each residue once.
-_GOLDEN, _CIRCLE = 1327217885, 2**31
+#: Cells of the circle of slots by which slots find their sources, at least.
 _CELLS = 1024
 
 
@@ -50,27 +50,52 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     return s.select("source", "source_no", "source_size", target.alias("target"))
 
 
+def words_wanted() -> Column:
+    """The words that a source's target asks for."""
+    return F.round("target").cast("long")
+
+
+def golden_step(n: int) -> int:
+    """The number nearest to n / golden ratio that shares no factor with n."""
+    g = max(1, round(n * (sqrt(5) - 1) / 2))
+    return next(x for k in range(n + 2) for x in (g - k, g + k) if x > 0 and gcd(x, n) == 1)
+
+
+def golden_points(t: Column, n: int) -> Column:
+    """t * golden ratio on a circle of n places: of t = 0 to n - 1 each place has one. Where products would
+    not fit in a long, they are decimals."""
+    step = golden_step(n)
+    if n < 2**31:
+        return t * F.lit(step) % F.lit(n)
+    return (t.cast("decimal(19,0)") * F.lit(step).cast("decimal(19,0)") % F.lit(n).cast("decimal(19,0)")).cast("long")
+
+
 def schedule(sources: DataFrame, block: int, per_bucket: int = 2_000) -> DataFrame:
-    """Slots 0, 1, ...: slot t belongs to the source whose part of the cumulative targets holds the
-    point t * golden ratio mod 1, and is numbered within its source. Any run of slots so holds each
-    source in nearly its share. Sources are found by cells of the unit interval: an equality join."""
+    """Slots 0, 1, ...: slot, source_no, block. A source of `sources` (source_no, target) needs as many slots as
+    blocks of `block` words begin in its target. The circle has a place for each slot and its arcs are the
+    sources' needs, end to end; slot t belongs to the source whose arc holds the point t * golden ratio and
+    is numbered within its source. Each place is hit once, so each source, however small, has just the slots
+    that it needs, and any run of slots holds each source in nearly its share. Sources are found by cells of
+    the circle: an equality join."""
     spark = sources.sparkSession
-    total = sources.agg(F.sum("target")).first()[0] or 0.0
-    n = round(total / block)
-    cum = Window.orderBy("source_no")
-    parts = sources.where(F.col("target") > 0).select("source_no", (F.coalesce(F.sum("target").over(cum.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) / F.lit(total or 1.0)).alias("_lo"))
-    parts = parts.withColumn("_hi", F.lead("_lo", 1, 2.0).over(cum))
-    cell = lambda c: F.least(F.floor(F.col(c) * _CELLS), F.lit(_CELLS - 1)).cast("int")
-    parts = parts.withColumn("_cell", F.explode(F.sequence(cell("_lo"), cell("_hi"))))
-    slots = spark.range(n).select(F.col("id").alias("slot"), (F.pmod(F.col("id") % _CIRCLE * _GOLDEN, F.lit(_CIRCLE)) / F.lit(float(_CIRCLE))).alias("_p")).withColumn("_cell", cell("_p"))
-    slots = slots.join(parts, "_cell").where((F.col("_p") >= F.col("_lo")) & (F.col("_p") < F.col("_hi"))).select("slot", "source_no")
+    needs = sources.select("source_no", F.ceil(words_wanted() / F.lit(block)).alias("_need")).where(F.col("_need") > 0)
+    n, many = needs.agg(F.coalesce(F.sum("_need"), F.lit(0)), F.count("*")).first()
+    cells = max(1, min(n, max(_CELLS, 2 * many)))
+    width = max(1, -(-n // cells))
+    upto = F.sum("_need").over(Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0))
+    arcs = needs.withColumn("_to", upto).withColumn("_from", F.col("_to") - F.col("_need"))
+    cell = lambda c: F.floor(c / F.lit(width))
+    arcs = arcs.select("source_no", "_from", "_to", F.explode(F.sequence(cell(F.col("_from")), cell(F.col("_to") - 1))).alias("_cell"))
+    slots = spark.range(n).select(F.col("id").alias("slot"), golden_points(F.col("id"), max(n, 1)).alias("_p")).withColumn("_cell", cell(F.col("_p")))
+    slots = slots.join(arcs, "_cell").where((F.col("_p") >= F.col("_from")) & (F.col("_p") < F.col("_to"))).select("slot", "source_no")
     return running(slots, ["source_no"], F.floor(F.col("slot") / per_bucket), ["slot"], F.lit(1), "block")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2, block: int = 64, seed: int = 17, per_bucket: int = 2_000, keep_text: bool = False) -> Mix:
     """Mixes `docs` (doc_id, source, text and any others): each source's documents are shuffled once
-    for each epoch, joined end to end and cut into blocks of `block` words; the slots of the schedule
-    take a source's blocks in turn. No document is used more than `epochs` times.
+    for each epoch, joined end to end, ended at the source's target and cut into blocks of `block` words, of
+    which the last may be shorter; the slots of the schedule take a source's blocks in turn, so each source
+    gives its target, rounded to a word. No document is used more than `epochs` times.
 
     Null and empty texts have no words and take part in nothing; repeated rows count each; a null
     source is a source. An empty table gives empty tables. The shuffle hangs on values and `seed`
@@ -80,12 +105,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     docs = written(docs)
     sources = written(targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, epochs))
     docs = docs.withColumnRenamed("source", "_mix_source").join(sources, F.col("_mix_source").eqNullSafe(F.col("source"))).drop("_mix_source")
-    stream = docs.where(F.col("size") > 0).select("uid", "doc_id", "source_no", "source_size", "size", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
+    stream = docs.where(F.col("size") > 0).select("uid", "doc_id", "source_no", "source_size", "size", words_wanted().alias("_end"), F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     stream = stream.withColumn("_h", F.xxhash64(F.lit(seed), "epoch", "doc_id", "size"))
     buckets = max(1, -(-hottest(docs, ["source_no"]) // per_bucket))
     stream = running(stream, ["source_no", "epoch"], hash_bucket("_h", buckets), ["_h", "doc_id", "uid"], "size", "_from")
     first = F.col("_from") + F.col("epoch") * F.col("source_size")
-    stream = stream.select("uid", "source_no", "epoch", first.alias("_from"), (first + F.col("size")).alias("_to"))
+    stream = stream.where(first < F.col("_end")).select("uid", "source_no", "epoch", first.alias("_from"), F.least(first + F.col("size"), "_end").alias("_to"))
     pieces = stream.withColumn("block", F.explode(F.sequence(F.floor(F.col("_from") / block), F.floor((F.col("_to") - 1) / block))))
     words = F.least("_to", (F.col("block") + 1) * block) - F.greatest("_from", F.col("block") * block)
     return Mix(docs, sources, schedule(sources, block, per_bucket), pieces.select("source_no", "block", "uid", words.alias("words"), "epoch"))
