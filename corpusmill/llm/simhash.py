@@ -103,15 +103,32 @@ def neighbours(asked: DataFrame, prints: DataFrame, radius: int = 3) -> DataFram
     return hits.groupBy(F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo")).agg((F.sum("n") - 1).alias("n_within"))
 
 
-def in_order(docs: DataFrame, per_bucket: int = 4000) -> tuple[DataFrame, DataFrame]:
+def _below(cuts: list[int], strictly: bool) -> Column:
+    """How many of the sorted `cuts` are less than doc_id (or, if not `strictly`, equal to it), by halving."""
+    known = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    holds = (lambda x: x < F.col("doc_id")) if strictly else (lambda x: x <= F.col("doc_id"))
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(holds(F.get(known, at + step - 1)), step).otherwise(0))
+
+
+def in_order(docs: DataFrame, per_bucket: int = 1000, most: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
     """`docs` (doc_id, text) with bucket, rn, next_text, and the table (bucket, next_bucket).
 
-    Buckets are equal ranges of doc_id, so the next document is a window away within a bucket, where
-    the first row of the next bucket that has any (after the last: of the first) is a guest at the end.
-    Equal ids go by a hash of the text. A null doc_id comes before all others."""
-    least, most, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    width = max(1, -(-((most or 0) - (least or 0) + 1) // max(1, -(-n // per_bucket))))
-    docs = docs.select("doc_id", "text", F.coalesce(F.floor((F.col("doc_id") - F.lit(least or 0)) / F.lit(width)), F.lit(0)).cast("long").alias("bucket"), F.xxhash64("text").alias("_h"))
+    Buckets lie between quantiles of doc_id, so each has about as many rows (`per_bucket`, or more where that
+    took over `most` buckets), however the ids are spread; an id that several quantiles fall on has its rows
+    dealt out to the buckets there by a hash of the text. The next document is a window away within a bucket,
+    where the first row of the next bucket that has any (after the last: of the first) is a guest at the end.
+    Equal ids go by bucket and that hash. A null doc_id comes before all others, in buckets of its own."""
+    n, nulls = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    buckets, own = min(most, -(-(n - nulls) // per_bucket)), max(1, min(most, -(-nulls // per_bucket)))
+    cuts: list[int] = []
+    if buckets > 1:
+        shares = ",".join(str(k / buckets) for k in range(1, buckets))
+        cuts = docs.agg(F.expr(f"percentile_approx(doc_id, cast(split('{shares}', ',') as array<double>), {16 * buckets})")).first()[0]
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
+    part = lambda k: F.shiftright(F.shiftrightunsigned("_h", 33) * k, 31)  # noqa: E731  the hashes in k ranges
+    below, hot = (_below(cuts, True), _below(cuts, False) - _below(cuts, True)) if cuts else (F.lit(0), F.lit(0))
+    docs = docs.withColumn("bucket", F.when(F.col("doc_id").isNull(), part(F.lit(own)) - own).when(hot == 0, below).otherwise(below + part(hot + 1)).cast("long"))
     firsts = docs.groupBy("bucket").agg(F.min(F.struct("doc_id", "_h")).alias("_first"))
     after = Window.orderBy("bucket")
     firsts = firsts.withColumns({"next_bucket": F.lead("bucket").over(after), "_next": F.lead("_first").over(after)})

@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.llm import simhash
@@ -69,6 +70,35 @@ def test_buckets(make):
     assert {r.doc_id: r.next_text for r in rows.collect()} == {k: f"t{(k + 1) % 50}" for k in range(50)}
 
 
+IDS = {
+    "both ends of a long": [-(2**63), -(2**62) - 5, *range(-20, 20), 2**62 + 5, 2**63 - 1],
+    "an outlier": [*range(200), 2**60],
+    "all equal": [7] * 150,
+    "a hot one": [*range(60), *[30] * 90, *range(60, 90)],
+    "nulls": [*range(60), *[None] * 60],
+}
+
+
+@pytest.mark.parametrize("name", IDS)
+def test_buckets_of_any_ids(make, spark, name):
+    ids = IDS[name]
+    docs = spark.createDataFrame([(k, f"t{i}") for i, k in enumerate(ids)], "doc_id long, text string")
+    rows = simhash.in_order(docs, per_bucket=10)[0].collect()
+    assert sorted(r.text for r in rows) == sorted(f"t{i}" for i in range(len(ids)))
+    after, where = {r.text: r.next_text for r in rows}, {r.text: r for r in rows}
+    sizes = [n for n in Counter(r.bucket for r in rows).values()]
+    assert max(sizes) <= 45
+    order = sorted(rows, key=lambda r: (r.bucket, r.rn))
+    key = [(r.doc_id is not None, r.doc_id or 0) for r in order]
+    assert key == sorted(key)
+    assert all(after[a.text] == b.text for a, b in zip(order, order[1:] + order[:1], strict=True)) and len(where) == len(ids)
+
+
+def test_edited_of_ids_at_the_ends(make, spark):
+    docs = spark.createDataFrame([(k, prose(i, 20)) for i, k in enumerate(IDS["both ends of a long"])], "doc_id long, text string")
+    assert simhash.edited(docs).count() == len(IDS["both ends of a long"])
+
+
 def test_no_pair_within_the_radius_is_missed(spark):
     import random
 
