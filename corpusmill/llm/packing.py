@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
-from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import give_back, hash_bucket, running, small_batches, written
+from .common import give_back, hash_bucket, hottest, running, small_batches, written
 
 #: Words that a worker keeps in one generation of its cache.
 _CACHED_WORDS = 250_000
@@ -30,12 +32,17 @@ _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SH
 _WHOLE = "\0"
 
 
+# The rules of tokenizer files that cut words as `_WORDS` does.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_CUTTER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
 class _Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
-    The tokenizer knows no context beyond a word, so a distinct word is encoded once while it stays in one
-    of the two generations of the bounded cache: words used since the last change of generations outlive
-    the next."""
+    A tokenizer with the rules above knows no context beyond a word, so a distinct word is encoded once while it
+    stays in one of the two generations of the bounded cache: words used since the last change of generations
+    outlive the next. A tokenizer with other rules encodes each text whole."""
 
     def __init__(self, path: str):
         import os
@@ -44,10 +51,14 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(Path(path).read_text(encoding="utf-8"))
+        self.by_word = rules["normalizer"] == _NORMALIZER and rules["pre_tokenizer"] == _CUTTER and rules["model"]["type"] == "BPE" and all(x["content"].startswith("<|") and not x["normalized"] and not x["lstrip"] and not x["rstrip"] for x in rules["added_tokens"])
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         words = [self._words(x) for x in texts]
         if len(self.young) > _CACHED_WORDS:
             self.young, self.old = {}, self.young
@@ -112,72 +123,105 @@ def tokenized(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) ->
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def sweep(lengths: dict[int, int], capacity: int) -> np.ndarray:
-    """Best-fit in supersteps over sorted lengths and gaps. `lengths` has how many documents there are
-    of each length. A step takes all documents of one length, longest first; their successor is the
-    smallest gap that holds them, and the k-th document gets the k-th sequence with that gap; those
-    left over go to the next larger gap, and at last to new sequences; the gaps are updated.
-
-    Rows of (length, first rank, end rank, first sequence, offset), by length and first rank. At most
-    `capacity` lengths and gaps exist, so the work and the result do not grow with the documents."""
-    open_: dict[int, list[tuple[int, int]]] = {}
-    gaps: list[int] = []
-    out, fresh = [], 0
-
-    def put(gap: int, first: int, n: int) -> None:
-        if gap and n:
-            if gap not in open_:
-                open_[gap] = []
-                insort(gaps, gap)
-            open_[gap].append((first, n))
-
-    for length in sorted(lengths, reverse=True):
-        rank, left = 0, lengths[length]
-        while left:
-            at = bisect_left(gaps, length)
-            if at == len(gaps):
-                each = capacity // length
-                put(capacity, fresh, n := -(-left // each))
-                fresh += n
-                continue
-            gap = gaps[at]
-            first, n = open_[gap].pop()
-            if not open_[gap]:
-                del open_[gap]
-                gaps.pop(at)
-            used = min(n, left)
-            out.append((length, rank, rank + used, first, capacity - gap))
-            put(gap, first + used, n - used)
-            put(gap - length, first, used)
-            rank, left = rank + used, left - used
-    return np.array(sorted(out), np.int64).reshape(-1, 5)
+#: Documents are packed by phases of falling length: those up to the capacity over each of these numbers.
+_PHASES = (1, 2, 3, 4, 8, 16, 64, 256)
+
+
+def _own(pieces: DataFrame, first: int, capacity: int) -> DataFrame:
+    """length, rank and sequence_id of the `pieces` (length, rank) that get new sequences, from `first` on: of each
+    length as many as fill whole sequences, by rank; the few that are left have none."""
+    by = pieces.groupBy("length").agg(F.min("rank").alias("_least"), F.count("*").alias("_n")).withColumn("_each", F.floor(F.lit(capacity) / F.col("length")))
+    by = by.withColumn("_full", F.floor(F.col("_n") / F.col("_each")))
+    before = F.coalesce(F.sum("_full").over(Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    by = F.broadcast(by.select("length", "_least", "_each", "_full", before.alias("_before")))  # a row for each length
+    at = F.floor((F.col("rank") - F.col("_least")) / F.col("_each"))
+    return pieces.join(by, "length").select("length", "rank", F.when(at < F.col("_full"), first + F.col("_before") + at).alias("sequence_id"))
+
+
+def _matched(pieces: DataFrame, gaps: DataFrame, longest: int, per_bucket: int) -> DataFrame:
+    """One sweep: each of `pieces` (length, rank) is matched with the smallest gap of `gaps` (sequence_id, gap) that
+    holds it and that no longer one takes; a gap for several of length `longest` has a place for each.
+    Returns the pieces with their sequence_id, null where none is left, and the places (gap not null).
+
+    Places and pieces are sorted by size. In this order a piece closes the bracket that the last free
+    place before it opens, which is its successor among the gaps. A class of equal sizes takes as many levels of
+    nesting as it has rows, one for each rank, so the classes' running sums (a row for each size) give every row
+    its level, and on a level what closes is right after what opens it. Levels have at most a row of each
+    class, so neither a hot length nor a hot gap meets in one task."""
+    each = F.greatest(F.floor(F.col("gap") / longest), F.lit(1))
+    classes = gaps.groupBy(F.col("gap").alias("size")).agg(F.lit(0).alias("kind"), F.sum(each).alias("n"), F.lit(0).cast("long").alias("least"), F.ceil(F.count("*") / per_bucket).alias("buckets"))
+    classes = classes.union(pieces.groupBy(F.col("length").alias("size")).agg(F.lit(1).alias("kind"), F.count("*").alias("n"), F.min("rank").alias("least"), F.lit(1).cast("long").alias("buckets")))
+    signed = F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n"))
+    before = F.coalesce(F.sum(signed).over(Window.orderBy(F.desc("size"), "kind").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    classes = written(classes.select("size", "kind", "least", "buckets", before.alias("_before")))
+    of = lambda kind: F.broadcast(classes.where(F.col("kind") == kind).select(F.col("size").alias("_size"), "least", "buckets", "_before"))  # noqa: E731  at most a row for each size
+    places = gaps.join(of(0), F.col("gap") == F.col("_size")).withColumns({"_q": each, "_h": F.xxhash64("sequence_id")})
+    bucket = F.shiftright(F.shiftrightunsigned("_h", 33) * F.col("buckets"), 31)
+    places = running(places, ["gap"], bucket, ["_h", "sequence_id"], "_q", "_rank")
+    below = F.col("_before") + F.col("_rank")
+    places = places.select(F.explode(F.sequence(below + 1, below + F.col("_q"))).alias("level"), F.col("gap").alias("size"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("length"), F.lit(None).cast("long").alias("rank"), "sequence_id", "gap")
+    pieces = pieces.join(of(1), F.col("length") == F.col("_size"))
+    pieces = pieces.select((F.col("_before") - (F.col("rank") - F.col("least"))).alias("level"), F.col("length").alias("size"), F.lit(1).alias("kind"), "length", "rank", F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("gap"))
+    found = F.lag("sequence_id").over(Window.partitionBy("level").orderBy(F.desc("size"), "kind"))
+    return places.union(pieces).select("length", "rank", F.when(F.col("kind") == 0, F.col("sequence_id")).otherwise(found).alias("sequence_id"), "gap")
 
 
 def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket: int = 2_000) -> DataFrame:
     """Adds sequence_id and offset to `pieces` (doc_id, piece, length, any others), which are read
-    several times and so should be a written table.
-
-    Lengths are counted (at most `capacity` rows), the sweep matches lengths with gaps, and each piece
-    finds its place by its rank among those of its length; a hot length is ranked in buckets. Repeated
-    rows get places of their own. An empty table gives an empty one."""
+    several times and so should be a written table. Repeated rows get places of their own. An empty table gives
+    an empty one.
+
+    Best fit decreasing in bulk-synchronous supersteps. Pieces and gaps are ranked among those of their size; then,
+    phase by phase of falling length, a sweep matches all waiting pieces with gaps, the gaps are updated,
+    and so on until none moves; of what is left, each length fills whole new sequences, and for the few over
+    (less than a sequence of each length) as many empty ones are opened as they need at least, and they wait
+    for the next phase. Each step is a written table; the driver sees counts only."""
     pieces = pieces.drop("sequence_id", "offset")
-    counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
-    if counts and not 0 < min(counts) <= max(counts) <= capacity:
+    spark = pieces.sparkSession
+    least, most, hot = pieces.groupBy("length").count().agg(F.min("length"), F.max("length"), F.max("count")).first()
+    if most is not None and not 0 < least <= most <= capacity:
         raise ValueError(f"lengths must be from 1 to {capacity}")
-    plan = pieces.sparkSession.sparkContext.broadcast(sweep(counts, capacity))
     ranked = pieces.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "piece"))
-    buckets = max(1, -(-max(counts.values(), default=0) // per_bucket))
-    ranked = running(ranked, ["length"], hash_bucket("_h", buckets), ["_h", "doc_id", "piece"], F.lit(1), "_rank").drop("_h")
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = plan.value
-        key = p[:, 0] << 40 | p[:, 1]
-        for batch in batches:
-            rank = batch.pop("_rank").to_numpy(np.int64)
-            row = p[np.searchsorted(key, batch["length"].to_numpy(np.int64) << 40 | rank, "right") - 1] if len(batch) else p[:0]
-            yield batch.assign(sequence_id=row[:, 3] + rank - row[:, 1], offset=row[:, 4])
-
-    return ranked.mapInPandas(place, ranked.drop("_rank").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema)
+    ranked = written(running(ranked, ["length"], hash_bucket("_h", max(1, -(-(hot or 0) // per_bucket))), ["_h", "doc_id", "piece"], F.lit(1), "_rank").drop("_h"))
+    bounds = sorted({capacity // k for k in _PHASES if k <= capacity}, reverse=True)
+    phase = lambda lo, hi: (F.col("length") > lo) & (F.col("length") <= hi)
+    spans = list(zip(bounds, [*bounds[1:], 0], strict=True))
+    numbers = ranked.agg(*[F.count_if(phase(lo, hi)) for hi, lo in spans]).first()
+    gaps, waiting = (spark.range(0).select(F.col("id").alias(a), F.col("id").alias(b)) for a, b in (("sequence_id", "gap"), ("length", "rank")))
+    first, steps, over = 0, [], 0
+    for k, ((hi, lo), n) in enumerate(zip(spans, numbers, strict=True)):
+        if not n + over:
+            continue
+        waiting = waiting.union(ranked.where(phase(lo, hi)).select("length", F.col("_rank").alias("rank"))) if n else waiting
+        small, live = gaps.where(F.col("gap") <= lo), gaps.where(F.col("gap") > lo)
+        last, sweep = not any(numbers[k + 1 :]), first > 0
+        left, longest = n + over, waiting.agg(F.max("length")).first()[0]
+        while left:
+            if sweep:
+                step = written(_matched(waiting, live, longest, per_bucket))
+                places = step.where(F.col("sequence_id").isNotNull()).groupBy("sequence_id")
+                live = places.agg((F.max("gap") - F.coalesce(F.sum("length"), F.lit(0))).alias("gap")).where(F.col("gap") > 0)
+                step = step.where(F.col("length").isNotNull()).select("length", "rank", "sequence_id")
+            else:
+                step = written(_own(waiting, first, capacity))
+                new = step.where(F.col("sequence_id").isNotNull()).groupBy("sequence_id").agg((capacity - F.sum("length")).alias("gap")).where(F.col("gap") > 0)
+            waiting = step.where(F.col("sequence_id").isNull()).select("length", "rank")
+            steps.append(step.where(F.col("sequence_id").isNotNull()).withColumn("_step", F.lit(len(steps))))
+            over, longest, tokens, number = waiting.agg(F.count("*"), F.max("length"), F.sum("length"), F.lit(None)).first() if sweep else step.agg(F.count_if(F.col("sequence_id").isNull()), F.max(F.when(F.col("sequence_id").isNull(), F.col("length"))), F.sum(F.when(F.col("sequence_id").isNull(), F.col("length"))), F.max("sequence_id")).first()
+            if not sweep:
+                first = first if number is None else number + 1
+                more = -(-(tokens or 0) // capacity)
+                live = live.union(new).union(spark.range(first, first + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap")))
+                first += more
+            live = written(live)
+            if not sweep and over <= capacity and not last:
+                break
+            sweep, left = not sweep or over < left, over
+        gaps = small.union(live)
+    placed = reduce(DataFrame.union, steps) if steps else ranked.select("length", F.col("_rank").alias("rank"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).alias("_step"))
+    upto = Window.partitionBy("sequence_id").orderBy("_step", F.desc("length"), "rank").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.select("length", F.col("rank").alias("_rank"), "sequence_id", F.coalesce(F.sum("length").over(upto), F.lit(0)).alias("offset"))
+    return ranked.join(placed, ["length", "_rank"]).select(*pieces.columns, "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) -> DataFrame:

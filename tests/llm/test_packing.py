@@ -1,14 +1,15 @@
+import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusmill.llm import packing
+from corpusmill.llm.common import written
 
 from .conftest import prose
 
@@ -37,30 +38,63 @@ def test_cache_forgets_and_stays_right(monkeypatch):
         assert encode([text])[0] == np.array(ids(text)[:-1], "<u4").tobytes()
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(1, 30), max_size=120))
-def test_sweep(lengths):
-    counts = {x: lengths.count(x) for x in set(lengths)}
-    bins, ranks = {}, {}
-    for length, a, b, first, offset in packing.sweep(counts, 30).tolist():
-        ranks.setdefault(length, []).append((a, b))
-        for k in range(b - a):
-            bins.setdefault(first + k, []).append((offset, length))
-    assert {x: sorted(r) for x, r in ranks.items()} == {x: sorted(r) for x, r in ranks.items() if r[0][0] == 0}
-    assert all(r[-1][1] == counts[x] and all(p[1] == q[0] for p, q in zip(r[:-1], r[1:], strict=True)) for x, r in ranks.items()) and set(ranks) == set(counts)
+def test_other_tokenizers_encode_whole_texts():
+    for name in ("byte_bpe_50k.json",) if Path(public_tokenizers.path("byte_bpe_50k.json")).exists() else ():
+        other = public_tokenizers.path(name)
+        encode = packing._Encoder(other)
+        assert not encode.by_word
+        want = [Tokenizer.from_file(other).encode(t or "", add_special_tokens=False).ids for t in TEXTS]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode([t or "" for t in TEXTS])] == want
+    assert packing._Encoder(PATH).by_word
+
+
+def sequential(lengths, capacity):
+    """Best fit, one document after the other, from the longest on: the number of sequences."""
+    gaps = []
+    for x in sorted(lengths, reverse=True):
+        fits = [g for g in gaps if g >= x]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else capacity) - x)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("case", ["mixed", "equal", "pairs"])
+def test_best_fit(spark, case):
+    rng = random.Random(3)
+    lengths, capacity = {"mixed": ([rng.choice([rng.randint(1, 8), rng.randint(5, 30)]) for _ in range(150)], 30), "equal": ([7] * 90, 30), "pairs": ([rng.randint(40, 100) for _ in range(120)], 100)}[case]
+    pieces = written(spark.createDataFrame([(i, 0, x) for i, x in enumerate(lengths)], "doc_id long, piece int, length long"))
+    rows, bins = packing.best_fit(pieces, capacity, per_bucket=9).collect(), {}
+    assert sorted((r.doc_id, r.length) for r in rows) == list(enumerate(lengths))
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
     for parts in bins.values():
         at = 0
         for offset, length in sorted(parts):
             assert offset == at
             at += length
-        assert at <= 30
-    gaps = []  # best fit, one document after the other
-    for x in sorted(lengths, reverse=True):
-        fits = [g for g in gaps if g >= x]
-        if fits:
-            gaps.remove(min(fits))
-        gaps.append((min(fits) if fits else 30) - x)
-    assert len(bins) == len(gaps)
+        assert at <= capacity
+    assert len(bins) == sequential(lengths, capacity)
+
+
+def test_a_sweep_takes_the_smallest_gap_that_holds(spark):
+    """Against brackets matched one by one."""
+    rng = random.Random(5)
+    gaps = [(k, rng.randint(1, 40)) for k in range(80)]
+    lengths = [rng.randint(1, 25) for _ in range(90)]
+    ranks = [(x, 5 + sum(y == x for y in lengths[:i])) for i, x in enumerate(lengths)]
+    got = packing._matched(spark.createDataFrame(ranks, "length long, rank long"), spark.createDataFrame(gaps, "sequence_id long, gap long"), 40, 3).collect()
+    size = dict(gaps)
+    pairs = sorted((r.length, r.rank, size.get(r.sequence_id)) for r in got if r.length is not None)
+    free, want = sorted(size.values()), []
+    for x, rank in sorted(ranks, key=lambda p: (-p[0], p[1])):
+        fit = next((g for g in free if g >= x), None)
+        if fit is not None:
+            free.remove(fit)
+        want.append((x, rank, fit))
+    assert pairs == sorted(want)
+    used = [r.sequence_id for r in got if r.length is not None and r.sequence_id is not None]
+    assert len(used) == len(set(used)) and sum(r.gap is not None for r in got) == len(gaps)
 
 
 def test_pack(make):
