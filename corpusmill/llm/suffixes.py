@@ -101,7 +101,8 @@ def _runs(of: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 def matched_windows(segments: pd.DataFrame, length: int, earlier: bool) -> pd.DataFrame:
     """h, s1, s2, lo, hi: the runs of windows of each distinct segment (h, s1, s2, doc_id, uid, first, m,
     times, data) that occur in another one too (`earlier`: at a smaller position). The suffixes that start
-    at the windows are put in order to the depth of `length`."""
+    at the windows are put in order to the depth of `length`; their longest-previous-factor array has the
+    matches at smaller positions, and that of the positions in reverse those at larger ones."""
     segments = segments.sort_values(["h", "doc_id", "uid", "first"]).reset_index(drop=True)
     m = segments["m"].to_numpy(np.int64)
     text = np.frombuffer(b"".join(segments["data"]), np.uint8)
@@ -109,8 +110,8 @@ def matched_windows(segments: pd.DataFrame, length: int, earlier: bool) -> pd.Da
     segment = np.repeat(np.arange(len(m)), m)
     window = np.arange(len(segment)) - np.repeat(np.cumsum(m) - m, m)
     rank = np.empty(len(segment), np.int64)
-    place = [segments["doc_id"].to_numpy(np.int64)[segment], segments["uid"].to_numpy(np.int64)[segment], segments["first"].to_numpy(np.int64)[segment] + window]
-    rank[np.lexsort(place[::-1])] = np.arange(len(segment))
+    places = [segments["doc_id"].to_numpy(np.int64)[segment], segments["uid"].to_numpy(np.int64)[segment], segments["first"].to_numpy(np.int64)[segment] + window]
+    rank[np.lexsort(places[::-1])] = np.arange(len(segment))
     group = segments["h"].to_numpy(np.int64)
     cuts, last = [0], 0
     for k in np.flatnonzero(np.r_[group[1:] != group[:-1], True]) + 1:  # groups together, up to some number of windows
@@ -124,11 +125,10 @@ def matched_windows(segments: pd.DataFrame, length: int, earlier: bool) -> pd.Da
         order = np.argsort(np.ascontiguousarray(suffix).view(f"S{length}").ravel(), kind="stable")
         differs = suffix[order[1:]] != suffix[order[:-1]]
         common = np.r_[0, np.where(differs.any(1), differs.argmax(1), length)]
-        if earlier:
-            found = longest_previous(rank[a:b][order], common, length) >= length
-        else:
-            same = common >= length
-            found = same | np.r_[same[1:], False]
+        place = rank[a:b][order]
+        found = longest_previous(place, common, length) >= length
+        if not earlier:
+            found |= longest_previous(-place, common, length) >= length
         hit[a:b][order] = found
     which, lo, hi = _runs(segment[hit], window[hit])
     return segments.loc[which, ["h", "s1", "s2"]].assign(lo=lo, hi=hi)
@@ -164,7 +164,7 @@ def _place_key(uid: np.ndarray | int, first: np.ndarray) -> np.ndarray:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int = GRAM, hot: int = 4096) -> DataFrame:
-    """uid, spans (array of struct(a, b), sorted, byte offsets from 0, b not included) of what repeats in
+    """doc_id, uid, spans (array of struct(a, b), sorted, byte offsets from 0, b not included) of what repeats in
     `docs` (doc_id, uid, text): keep="none" has all bytes covered by strings of `length` bytes that start
     anywhere else too, keep="first" leaves the first of equal strings, by doc_id and place.
 
@@ -214,6 +214,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     groups = groups.where(F.col("kinds") > 1)
     looked_up = written(segments.join(groups.select("h", "kinds"), "h"))
     wanted = looked_up.select("uid", "first")
+    row = ["doc_id", "uid"]
 
     def place_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -224,16 +225,16 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _slices(batches):
             out = []
-            for uid, text in zip(batch["uid"], batch["text"], strict=True):
+            for doc_id, uid, text in zip(batch["doc_id"], batch["uid"], batch["text"], strict=True):
                 data = (text or "").encode()
                 for _, first, m, _ in anchors(data, length, gram):
                     for i in np.flatnonzero(_passes(sieve2.value, _place_key(uid, first))).tolist():
-                        out.append((uid, int(first[i]), data[first[i] : first[i] + m[i] + length - 1]))
-            yield pd.DataFrame(out, columns=["uid", "first", "data"])
+                        out.append((doc_id, uid, int(first[i]), data[first[i] : first[i] + m[i] + length - 1]))
+            yield pd.DataFrame(out, columns=["doc_id", "uid", "first", "data"])
         give_back()
 
-    data = docs.select("uid", "text").mapInPandas(cut_out, "uid long, first long, data binary").dropDuplicates(["uid", "first"])
-    mixed = written(looked_up.join(data, ["uid", "first"]))
+    data = docs.mapInPandas(cut_out, f"doc_id {kind}, uid long, first long, data binary").dropDuplicates([*row, "first"])
+    mixed = written(looked_up.join(data, [*row, "first"]))
     sieve2.destroy()
     usual = mixed.where(F.col("kinds") <= hot)
     bins = max(1, -(-usual.count() // 4_000))
@@ -243,15 +244,15 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     partly = runs.groupBy(*same).agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
     known = segments.join(partly, same, "left").where((F.col("times") > 1) | F.col("parts").isNotNull())
     # Written, so that both sides of the join are dealt out for it and a hot segment's rows can be split.
-    known = written(known.select(*same, "times", "parts", F.col("uid").alias("_uid"), F.col("first").alias("_first")))
+    known = written(known.select(*same, "times", "parts", F.struct(*row, "first").alias("_at")))
     hits = found.join(known, same)
     full = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("m").alias("hi")))
     if keep == "first":
-        parts = F.when((F.col("uid") == F.col("_uid")) & (F.col("first") == F.col("_first")), F.coalesce("parts", F.array().cast("array<struct<lo:long,hi:long>>"))).otherwise(full)
+        parts = F.when(F.struct(*row, "first") == F.col("_at"), F.coalesce("parts", F.array().cast("array<struct<lo:long,hi:long>>"))).otherwise(full)
     else:
         parts = F.when(F.col("times") > 1, full).otherwise(F.col("parts"))
-    spans = hits.select("uid", "first", F.explode(parts).alias("part")).select("uid", F.struct((F.col("first") + F.col("part.lo")).alias("a"), (F.col("first") + F.col("part.hi") + length - 1).alias("b")).alias("span"))
-    spans = written(spans.groupBy("uid").agg(F.sort_array(F.collect_set("span")).alias("spans")))
+    spans = hits.select(*row, "first", F.explode(parts).alias("part")).select(*row, F.struct((F.col("first") + F.col("part.lo")).alias("a"), (F.col("first") + F.col("part.hi") + length - 1).alias("b")).alias("span"))
+    spans = written(spans.groupBy(*row).agg(F.sort_array(F.collect_set("span")).alias("spans")))
     dropped(found, segments, looked_up, mixed, runs, known)
     return spans
 
@@ -289,17 +290,30 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -> DataFrame:
+def whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs, each grown to the borders of the UTF-8 characters that it begins or ends within."""
+    out = []
+    for a, b in runs:
+        while a > 0 and data[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(data) and data[b] & 0xC0 == 0x80:
+            b += 1
+        out.append((a, b))
+    return merged(out)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", whole: bool = False) -> DataFrame:
     """The columns of `docs` (doc_id, text and any others) with `kept` (binary: the bytes that stay),
-    n_bytes, n_removed, n_spans (columns of these names are replaced); for `keep` see `repeats`.
+    n_bytes, n_removed, n_spans (columns of these names are replaced); for `keep` see `repeats`. With
+    `whole`, characters that a removed run begins or ends within go with it, so `kept` is UTF-8 again.
 
     Texts are taken as UTF-8 and null as empty; matches stay within documents. Texts shorter than
     `length` never match. Rows with equal doc_id and text repeat each other, and are one document where
     the first is kept. A null doc_id comes first. An empty table gives an empty one.
 
     Only texts with repeats move: those whose key passes a sieve of fixed size meet their spans."""
-    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans").withColumn("_uid", F.xxhash64("doc_id", "text"))
-    spans = repeats(docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.col("_uid").alias("uid"), "text"), length, keep).withColumnsRenamed({"uid": "_uid", "spans": "_spans"})
+    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans").withColumns({"_uid": F.xxhash64("doc_id", "text"), "_doc": F.coalesce("doc_id", F.lit(-(2**63)))})
+    spans = repeats(docs.select(F.col("_doc").alias("doc_id"), F.col("_uid").alias("uid"), "text"), length, keep).withColumnsRenamed({"doc_id": "_doc", "uid": "_uid", "spans": "_spans"})
     sieve = docs.sparkSession.sparkContext.broadcast(_bitmap(spans.select(F.col("_uid").alias("key"))))
 
     @F.pandas_udf("boolean")
@@ -312,6 +326,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -
             for text, spans_ in zip(batch["text"], batch.pop("_spans"), strict=True):
                 data = (text or "").encode()
                 runs = merged([(s["a"], s["b"]) for s in spans_]) if spans_ is not None else []
+                runs = whole_characters(data, runs) if whole else runs
                 ends = [0, *(x for run in runs for x in run), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
                 rows.append((kept, len(data), len(data) - len(kept), len(runs)))
@@ -319,8 +334,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -
             yield batch
 
     docs = docs.withColumn("_may", may_repeat("_uid"))
-    moved = docs.where("_may").drop("_may").join(spans, "_uid", "left").drop("_uid")
+    moved = docs.where("_may").drop("_may").join(spans, ["_doc", "_uid"], "left").drop("_doc", "_uid")
     moved = moved.mapInPandas(cut, moved.drop("_spans").withColumns({"kept": F.lit(b""), "n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")}).schema)
-    whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    rest = docs.where(~F.col("_may")).drop("_may", "_uid").withColumns({"kept": whole, "n_bytes": F.octet_length(whole).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")})
+    every = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    rest = docs.where(~F.col("_may")).drop("_may", "_doc", "_uid").withColumns({"kept": every, "n_bytes": F.octet_length(every).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")})
     return moved.unionByName(rest)

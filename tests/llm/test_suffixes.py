@@ -55,6 +55,26 @@ def test_repeats(make, keep, hot, monkeypatch):
         assert got[k] == w, (k, texts[k])
 
 
+def test_both_modes_rest_on_longest_previous_factors(monkeypatch):
+    import pandas as pd
+
+    calls, original = [], suffixes.longest_previous
+    monkeypatch.setattr(suffixes, "longest_previous", lambda *a: calls.append(a) or original(*a))
+    datas = [b"0123456789abcdefghij", b"xx456789abcdyy", b"456789abzz"]
+    segments = pd.DataFrame({"h": 1, "s1": range(3), "s2": 0, "doc_id": [5, 6, 7], "uid": 0, "first": 0, "m": [len(d) - 7 for d in datas], "times": 1, "data": datas})
+    for earlier, want, n in ((False, {(0, 4, 7), (1, 2, 5), (2, 0, 1)}, 2), (True, {(1, 2, 5), (2, 0, 1)}, 1)):
+        calls.clear()
+        got = suffixes.matched_windows(segments, 8, earlier)
+        assert {(r.s1, r.lo, r.hi) for r in got.itertuples()} == want and len(calls) == n
+
+
+def test_whole_characters(make):
+    assert suffixes.whole_characters("aébé".encode(), [(2, 3), (4, 5)]) == [(1, 3), (4, 6)]
+    p = prose(8, 60, 10_000)
+    rows = suffixes.without_repeats(make([f"é{p} one", f"ĩ{p} two"]), keep="first", whole=True).collect()
+    assert {bytes(r.kept).decode() for r in rows} == {f"é{p} one", "two"}
+
+
 def test_repeated_rows_and_empty_tables(make):
     one = make([prose(1, 100), prose(2, 100)])
     twice = one.union(one)
