@@ -1,5 +1,5 @@
 import corpus_pipeline
-from corpusmill.llm.common import written
+from corpusmill.llm.common import dropped, written
 
 from .conftest import prose
 from .test_minhash import brute as brute_components
@@ -17,7 +17,7 @@ def test_stages_on_the_table(spark, sf_dir):
     language, near, cut, mixed, packed = (s.collect() for s in seen[1:])
     assert {r.doc_id for r in language} == ids
     order = sorted(language, key=lambda r: r.doc_id)
-    parts = brute_components([r.text for r in order])
+    parts = brute_components([r.text for r in order], percent=80)
     assert {r.doc_id for r in near} == {order[c].doc_id for _, c in parts}
     order = sorted(near, key=lambda r: r.doc_id)
     kept = {r.doc_id: k.decode("utf-8", "ignore") for r, (k, _, _) in zip(order, brute_repeats([r.text for r in order], 200, "first"), strict=True)}
@@ -43,6 +43,34 @@ def test_copies_and_passages(spark, make):
     assert passage in cut[2] and passage not in cut[3] and cut[3].endswith(prose(4, 50, 10_000)) and cut[0] == text
 
 
+def test_repeated_rows_go(spark, make):
+    docs = make([prose(k, 50, 10_000) for k in range(4)] + ["a b", None, ""])
+    nulls = make([prose(0, 50, 10_000), prose(9, 50, 10_000), prose(9, 50, 10_000)]).selectExpr("cast(null as long) doc_id", "text", "lang", "source", "n_chars")
+    near = corpus_pipeline.near_duplicates(spark, docs.union(docs.where("doc_id < 3")).union(nulls), "")
+    rows = [(r.doc_id, r.text) for r in near.collect()]
+    want = [(None, prose(0, 50, 10_000)), (None, prose(9, 50, 10_000)), *[(k, prose(k, 50, 10_000)) for k in (1, 2, 3)], (4, "a b"), (5, None), (6, "")]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+
+
+def test_replacement_characters_of_texts_stay(spark, make):
+    passage = prose(2, 60, 10_000)
+    docs = make([f"é{passage} one", f"good\ufffdtext ĩ{passage} end\ufffd"])
+    cut = {r.doc_id: r for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()}
+    assert cut[1].text == "good\ufffdtext end\ufffd" and cut[1].n_chars == len(cut[1].text) and cut[0].text == f"é{passage} one"
+
+
+def test_stage_tables_are_deleted(spark, sf_dir, monkeypatch):
+    from pathlib import Path
+
+    made = []
+    monkeypatch.setattr(corpus_pipeline, "written", lambda df: made.append(written(df)) or made[-1])
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(k), lambda spark, docs, sf_dir: docs.where("doc_id > 5")) for k in range(3)] + [("last", lambda spark, docs, sf_dir: written(docs))])
+    files = []
+    monkeypatch.setattr(corpus_pipeline, "dropped", lambda df: (files.extend(df.inputFiles()), dropped(df)))
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+    assert len(made) == 3 and files and not any(Path(f.removeprefix("file://")).exists() for f in files)
+
+
 def test_empty(spark, make):
     docs = make([])
     for _, stage in corpus_pipeline.STAGES:
