@@ -19,128 +19,218 @@ _RAW = "script style noscript template title textarea iframe noembed noframes xm
 _BREAKS = "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 _HOLDERS = "article aside blockquote body center details dialog div dl fieldset figure footer form header main menu nav ol section select table ul button head label".split()
 _VOID = "area base br col embed hr img input link meta param source track wbr".split()
-# What is not the article, by element, role, and words of class or id.
-_APART = "nav aside footer form head menu button select dialog label".split()
-_APART_ROLES = "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split()
-_APART_NAMES = (
-    "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside rail widget ad ads adv advert adverts advertisement adsense sponsor sponsored promo promoted banner "
-    "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login paywall social share sharing related recommended trending pagination pager toolbar "
-    "comment comments commentlist disqus respond reply replies form search skip hidden"
-).split()
-_MAIN_NAMES = "article-body articlebody post-content entry-content article-content story-body post-body main-content".split()
+# Elements that may be the region of an article, and those that mark one.
+_REGIONS = "article body center details dialog div fieldset form main section table td".split()
+_MARKS = "article main".split()
+# Fixed values, used within the region only, and to weigh what may be the region: what is not the article's text, by element, by
+# role, by words of class or id (also as part of a hyphenated name), and by whole names of class or id.
+_APART = "nav aside footer menu".split()
+_APART_LATER = "form button select dialog label".split()
+_APART_ROLES = "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split()
+_APART_WORDS = "nav navbar breadcrumb breadcrumbs footer sidebar ad ads adv advert adverts advertisement adsense sponsor sponsored promo cookie cookies consent gdpr newsletter subscribe paywall pagination pager comment comments commentlist disqus".split()
+_APART_NAMES = "navigation menu masthead topbar aside rail widget promoted banner notice alert popup modal overlay subscription signup login social share sharing related recommended trending toolbar respond reply replies form search skip hidden".split()
+#: Names that begin so tell of a holder of the article, not of what is apart.
+_HOLDER_NAMES = ("no-", "has-", "with-", "without-", "is-")
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z|<|[^<]+""", re.DOTALL)
-_ATTR = re.compile(r"""(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
-_RAW_SET, _BREAK_SET, _HOLDER_SET, _VOID_SET, _APART_SET, _ROLE_SET, _NAME_SET, _MAIN_SET = map(frozenset, (_RAW, _BREAKS, _HOLDERS, _VOID, _APART, _APART_ROLES, _APART_NAMES, _MAIN_NAMES))
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_HIDING = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+_RAW_SET, _BREAK_SET, _HOLDER_SET, _VOID_SET, _REGION_SET, _MARK_SET = map(frozenset, (_RAW, _BREAKS, _HOLDERS, _VOID, _REGIONS, _MARKS))
+_APART_SET, _LATER_SET, _ROLE_SET, _WORD_SET, _NAME_SET = map(frozenset, (_APART, _APART_LATER, _APART_ROLES, _APART_WORDS, _APART_NAMES))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+#: How an element stands by its marks: not apart; a header, of which headings stay; apart; apart unless that would leave
+#: too little of the page.
+PLAIN, HEADER, APART, LATER = 0, 1, 2, 3
+#: Text within a marked article or main part weighs so many times as much as other text where the region is chosen.
+_MARKED = 4
 
-#: How a block stands in its page: within what is apart, in the page at large, in its marked main part; more
-#: than that: in the first, second, ... article of the page.
-APART, OPEN, MAIN = 0, 1, 2
 
-
-def _kind(tag: str, attrs: str, above: int, articles: int) -> tuple[str, int, bool]:
-    """The path step of an element, how its blocks stand, given how its parent's do and how many articles
-    there were, and whether it is a header, of which an article keeps the headings."""
-    found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTR.findall(attrs)} if attrs else {}
-    names = f"{found.get('class', '')} {found.get('id', '')}".split()
-    step = f"{tag}.{'.'.join(found['class'].split())}" if found.get("class") else tag
-    if above == APART or tag in _APART_SET or found.get("role") in _ROLE_SET or attrs and _HIDDEN.search(attrs):
+def _kind(tag: str, attrs: str) -> tuple[str, int, bool]:
+    """The path step of an element (its name and classes), how it stands, and whether it marks an article."""
+    found = {}
+    for name, value in _ATTR.findall(attrs) if attrs else ():
+        found.setdefault(name.lower(), value.strip("\"'").lower())
+    classes = found.get("class", "").split()
+    step, role = ".".join([tag, *classes]), found.get("role")
+    mark = tag in _MARK_SET or role in ("main", "article") or found.get("itemprop") == "articlebody"
+    if "hidden" in found or found.get("aria-hidden") == "true" or _HIDING.search(found.get("style", "")) or tag in _APART_SET or role in _ROLE_SET:
         return step, APART, False
-    words = {w for n in names if n not in _MAIN_SET for w in (n, *re.split(r"[-_]+", n))} & _NAME_SET
-    if tag == "header" or words == {"header"} and tag not in ("html", "body", "article", "main"):
-        return step, APART, True
-    if words and (tag not in ("html", "body", "article", "main") or tag == "article" and words & {"comment", "comments", "reply"}):
+    if tag in ("html", "body", "main"):
+        return step, PLAIN, mark
+    names = [n for n in (*classes, *found.get("id", "").split()) if not n.startswith(_HOLDER_NAMES)]
+    words = {w for n in names for w in re.split(r"[-_]+", n)}
+    if tag == "article":
+        return step, APART if words & {"comment", "comments", "reply"} else PLAIN, mark
+    if words & _WORD_SET:
         return step, APART, False
-    if tag == "article" and above <= MAIN:
-        return step, MAIN + articles + 1, False
-    if tag in ("article", "main") or found.get("role") in ("main", "article") or found.get("itemprop") == "articlebody" or not _MAIN_SET.isdisjoint(names):
-        return step, max(above, MAIN), False
-    return step, above, False
-
-
-def blocks(html: str | None) -> list[tuple[str, int, str]]:
-    """(path of the holding elements, standing, text) of each block with text, in page order. A header
-    within an article keeps its headings. Markup that is cut off or left open ends with the page."""
-    out: list[tuple[str, int, str]] = []
-    stack: list[tuple[str, str, int, bool]] = []
-    run: list[str] = []
-    path, standing, heading = "", OPEN, ""
-    skip_to = articles = 0
-    html = html or ""
-
-    def flush() -> None:
-        if run:
-            text = " ".join("".join(run).split())
-            run.clear()
-            if text:
-                around = stack[-2][2] if heading and len(stack) > 1 and stack[-1][3] else APART
-                out.append((path, around if around >= MAIN else standing, text))
-
-    for m in _TOKEN.finditer(html):
-        if m.start() < skip_to:
-            continue
-        tag = m[2] or m[5]
-        if tag is None:
-            token = m[0]
-            if token[0] != "<" or token == "<":
-                run.append(unescape(token))
-            continue
-        tag = tag.lower()
-        if not (m[1] or m[4]):
-            attrs = m[3] if m[2] else m[6]
-            if tag in _RAW_SET:
-                if not attrs.endswith("/"):
-                    end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, m.end())
-                    skip_to = end.end() if end else len(html)
+    if tag == "header" or "header" in words:
+        return step, HEADER, False
+    return step, LATER if tag in _LATER_SET or not _NAME_SET.isdisjoint(names) else PLAIN, mark
+
+
+def _hash(*parts: object) -> int:
+    return xxhash.xxh3_64_intdigest("\0".join(map(str, parts))) - (1 << 63)
+
+
+class Page:
+    """A page's tree of holding elements, in page order, and its blocks of text. Element 0 is the page itself. An element
+    has its name, the hash of its path, its parent, how it stands, whether it marks an article, and the number of the
+    first element after it; a block has its element, whether it is a heading, how many of its characters
+    are in links, and its text. Markup that is cut off or left open ends with the page. One step of the path
+    is kept for each open element, so memory is in proportion to the page, however deep it is."""
+
+    def __init__(self, html: str | None):
+        self.tags, self.paths, self.parents, self.depths, self.kinds, self.marks = [""], [_hash("page")], [0], [0], [PLAIN], [False]
+        self.ends: list[int] = [0]
+        self.blocks: list[tuple[int, bool, int, str]] = []
+        self._read(html or "")
+
+    def _read(self, html: str) -> None:
+        stack, opened = [0], Counter()
+        run: list[str] = []
+        linked, link, heading, skip_to = 0, False, "", 0
+
+        def flush() -> None:
+            nonlocal linked
+            if run:
+                text = " ".join("".join(run).split())
+                run.clear()
+                if text:
+                    self.blocks.append((stack[-1], bool(heading), min(linked, len(text)), text))
+            linked = 0
+
+        for m in _TOKEN.finditer(html):
+            if m.start() < skip_to:
                 continue
-            if tag == "br":
-                run.append(" ")
-            if tag in _BREAK_SET:
-                flush()
-                if tag in _HEADINGS:
-                    heading = tag
-            if tag in _HOLDER_SET and tag not in _VOID_SET and not attrs.endswith("/"):
-                flush()
-                step, standing, header = _kind(tag, attrs, standing, articles)
-                articles = max(articles, standing - MAIN)
-                stack.append((tag, path, standing, header))
-                path = f"{path}/{step}"
-        else:
-            if tag in _BREAK_SET or tag in _HOLDER_SET:
-                flush()
-                if tag in _HEADINGS:
-                    heading = ""
-            if tag in _HOLDER_SET and any(s[0] == tag for s in stack):
-                while stack:
-                    name, path, *_ = stack.pop()
-                    if name == tag:
-                        break
-                standing = stack[-1][2] if stack else OPEN
-    flush()
-    return out
-
-
-def _hash(*parts: str) -> int:
-    return xxhash.xxh3_64_intdigest("\0".join(parts)) - (1 << 63)
+            tag = m[2] or m[5]
+            if tag is None:
+                token = m[0]
+                if token[0] != "<" or token == "<":
+                    run.append(token := unescape(token))
+                    linked += len(token) if link else 0
+                continue
+            tag = tag.lower()
+            if not (m[1] or m[4]):
+                attrs = m[3] if m[2] else m[6]
+                if tag in _RAW_SET:
+                    if not attrs.endswith("/"):
+                        end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, m.end())
+                        skip_to = end.end() if end else len(html)
+                    continue
+                if tag == "a":
+                    link = True
+                if tag == "br":
+                    run.append(" ")
+                if tag in _BREAK_SET or tag in _HOLDER_SET:
+                    flush()
+                    if tag in _HEADINGS:
+                        heading = tag
+                if tag in _HOLDER_SET and not attrs.endswith("/"):
+                    step, kind, mark = _kind(tag, attrs)
+                    up = stack[-1]
+                    stack.append(len(self.tags))
+                    opened[tag] += 1
+                    for column, value in ((self.tags, tag), (self.paths, _hash(self.paths[up], step)), (self.parents, up), (self.depths, self.depths[up] + 1), (self.kinds, kind), (self.marks, mark), (self.ends, 0)):
+                        column.append(value)
+            else:
+                if tag == "a":
+                    link = False
+                if tag in _BREAK_SET or tag in _HOLDER_SET:
+                    flush()
+                    if tag in _HEADINGS:
+                        heading = ""
+                if opened[tag] and tag in _HOLDER_SET:
+                    while True:
+                        at = stack.pop()
+                        self.ends[at] = len(self.tags)
+                        opened[self.tags[at]] -= 1
+                        if self.tags[at] == tag:
+                            break
+        flush()
+        for at in stack:
+            self.ends[at] = len(self.tags)
+
+    def cuts(self, root: int, later: bool = True) -> list[int]:
+        """For the elements from `root` to its end how far marks at or above them, but below `root`, cut them off."""
+        out = [PLAIN]
+        for i in range(root + 1, self.ends[root]):
+            kind = self.kinds[i]
+            kind = (APART if later else PLAIN) if kind == LATER else kind
+            out.append(max(out[self.parents[i] - root], kind))
+        return out
+
+    def slots(self) -> tuple[list[tuple[int, int, int, int]], int]:
+        """(path, how many elements of the page have it, depth, weight of the text within) of the paths that may be an
+        article's region, and the weight of all. Links, and what marks set apart, weigh nothing; if nearly all
+        is apart only by marks that holders of articles have, too, then these do not count."""
+        sums = []
+        for later in (True, False):
+            cut, weight, marked = self.cuts(0, later), [0] * len(self.tags), [False]
+            for i in range(1, len(self.tags)):
+                marked.append(self.marks[i] or marked[self.parents[i]])
+            for at, heading, linked, text in self.blocks:
+                if cut[at] == PLAIN or heading and cut[at] == HEADER:
+                    weight[at] += (len(text) - linked) * (_MARKED if marked[at] else 1)
+            for i in range(len(self.tags) - 1, 0, -1):
+                weight[self.parents[i]] += weight[i]
+            sums.append((cut, weight))
+        cut, weight = sums[0] if sums[0][1][0] * 4 >= sums[1][1][0] else sums[1]
+        out: dict[int, tuple[int, int, int]] = {self.paths[0]: (1, 0, weight[0])}
+        for i in range(1, len(self.tags)):
+            if self.tags[i] in _REGION_SET and cut[i] == PLAIN:
+                n, _, w = out.get(self.paths[i], (0, 0, 0))
+                out[self.paths[i]] = n + 1, self.depths[i], w + weight[i]
+        return [(path, *x) for path, x in out.items()], weight[0]
+
+    def region(self, path: int) -> int:
+        """The element of the page at `path`, or one above: as far up as what an element has beside it is only
+        headings, or is part of an inner element without marked frame parts and with less text in links than
+        outside of them. An article is never left."""
+        root = self.paths.index(path) if path in self.paths else 0
+        held: dict[int, list[tuple[bool, int, int]]] = {}
+        for at, heading, linked, text in self.blocks:
+            held.setdefault(at, []).append((heading, linked, len(text)))
+        while root and self.tags[root] != "article":
+            up = self.parents[root]
+            around = (*range(up + 1, root), *range(self.ends[root], self.ends[up]))
+            cut, framed = {up: PLAIN}, self.tags[up] in ("", "html", "body")
+            for i in around:  # each element is around one root only
+                kind = APART if self.kinds[i] == LATER else self.kinds[i]
+                cut[i] = max(cut[self.parents[i]], kind)
+                framed = framed or kind == APART
+            beside = [x for i in cut for x in held.get(i, ()) if cut[i] == PLAIN or x[0] and cut[i] == HEADER]
+            framed = framed or 2 * sum(x[1] for x in beside) > sum(x[2] for x in beside)
+            if framed and not (beside and all(x[0] for x in beside)):
+                break
+            root = up
+        return root
+
+    def text(self, path: int | None = None, fixed: frozenset[int] = frozenset()) -> str:
+        """The blocks within the region at `path` that no mark in it sets apart and that are not `fixed`."""
+        root = self.region(self.paths[0] if path is None else path)
+        cut, out = self.cuts(root), []
+        for at, heading, _, text in self.blocks:
+            if root <= at < self.ends[root] and (cut[at - root] == PLAIN or heading and cut[at - root] == HEADER) and not (fixed and self.token(at, text) in fixed):
+                out.append(text)
+        return "\n".join(out)
+
+    def token(self, at: int, text: str) -> int:
+        return _hash(self.paths[at], text)
 
 
 def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each page its template candidates: paths (with the length of their text) and blocks of
-    text, with how often they occur on the page."""
+    """For each page its tokens, with how often each occurs: paths that may be a region (depth not null), with the weight of
+    the text within them and of all the page's, and blocks of text at their paths."""
     for batch in batches:
         rows = []
-        for host, html in zip(batch["host"], batch["html"], strict=True):
-            page = _hash(html or "")
-            texts, paths = Counter(), Counter()
-            for path, _, text in blocks(html):
-                texts[_hash(path, text)] += 1
-                paths[path] += len(text)
-            rows += [(host, t, page, n, None, 0) for t, n in texts.items()]
-            rows += [(host, _hash(p), page, 1, p, n) for p, n in paths.items()]
-        yield pd.DataFrame(rows, columns=["host", "token", "page", "n", "path", "size"])
+        for host, page, html in zip(batch["host"], batch["page"], batch["html"], strict=True):
+            tree = Page(html)
+            slots, total = tree.slots()
+            rows += [(host, page, path, n, depth, weight, total) for path, n, depth, weight in slots]
+            rows += [(host, page, token, n, None, 0, 0) for token, n in Counter(tree.token(at, text) for at, _, _, text in tree.blocks).items()]
+        out = pd.DataFrame(rows, columns=["host", "page", "token", "n", "depth", "weight", "total"])
+        yield out.astype({"depth": "Int64"})
 
 
 def host_of(url: str = "url"):
@@ -149,60 +239,50 @@ def host_of(url: str = "url"):
     return F.when(host != "", host).otherwise(F.col(url))
 
 
-def templates(pages: DataFrame, least_pages: int = 10, support: float = 0.95) -> DataFrame:
-    """host, template (hashes of the blocks of text that belong to the host's template), slot (the path
-    that holds most of the text that varies) from `pages` (host, html).
-
-    A token's occurrence vector has its count on each page of the host; equal pages count as one.
-    Tokens with equal vectors are an equivalence class. A class is valid if it occurs once on each of
-    its pages and has a path among its tokens, so that it nests in the page's tree. The template is made
-    of the valid classes that are on `support` of at least `least_pages` different pages. A vector is
-    held as the xor of a hash of each page and count, so no group of pages is gathered."""
-    schema = "host string, token long, page long, n int, path string, size long"
-    seen = pages.select("host", "html").mapInPandas(_tokens, schema)
-    seen = seen.groupBy("host", "token", "page").agg(F.max("n").alias("n"), F.max("size").alias("size"), F.min("path").alias("path"))
-    classes = seen.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.max("n").alias("most"), F.sum("size").alias("size"), F.min("path").alias("path"))
-    classes = written(classes.where((F.col("pages") > 1) | F.col("path").isNotNull()))
-    whole = classes.groupBy("host").agg(F.max("pages").alias("whole"))
-    often = F.struct("size", "path")
-    slots = classes.where(F.col("path").isNotNull()).groupBy("host").agg(F.max(often)["path"].alias("slot"))
-    valid = classes.join(whole, "host").where((F.col("most") == 1) & (F.col("pages") >= least_pages) & (F.col("pages") >= F.col("whole") * support))
-    nested = valid.where(F.col("path").isNotNull()).select("host", "vector").distinct()
-    fixed = valid.where(F.col("path").isNull()).join(nested, ["host", "vector"]).groupBy("host").agg(F.collect_set("token").alias("template"))
-    return slots.join(fixed, "host", "left")
-
-
-def main_text(html: str | None, template: frozenset[int] = frozenset(), slot: str | None = None) -> str:
-    """The page's main text: of what stands outside menus, forms and the like and is not in the host's
-    template, the blocks of the article with the most text; without articles, of the marked main part; on a
-    page that marks none, of the host's main slot; where that is missing, all of it."""
-    found = [b for b in blocks(html) if b[1] != APART and _hash(b[0], b[2]) not in template]
-    sizes = Counter()
-    for _, standing, text in found:
-        sizes[standing] += len(text)
-    articles = [k for k in sizes if k > MAIN]
-    if articles:
-        found = [b for b in found if b[1] == max(articles, key=lambda k: (sizes[k], -k))]
-    elif sizes[MAIN]:
-        found = [b for b in found if b[1] == MAIN]
-    elif slot and any(b[0].startswith(slot) for b in found):
-        found = [b for b in found if b[0].startswith(slot)]
-    return "\n".join(b[2] for b in found)
+def templates(pages: DataFrame, least_pages: int = 3, share: float = 0.5) -> DataFrame:
+    """host, page, region (a path), fixed (hashes of blocks of text): what the host's template says of each different
+    page of `pages` (host, page, html), where `page` is a hash of html and equal pages count as one.
+
+    A token's occurrence vector has its count on each page of the host. Tokens with equal vectors are an
+    equivalence class; a vector is held as the xor of a hash of each page and count, so no group of pages is
+    gathered. A class is valid if it occurs once on each of its pages. Its paths are nodes of the template
+    and nest in each other as the page's elements do; what a node holds beside the nodes in it is its slot. The
+    region is the deepest node of the page that has at least `share` of the text on the pages of its class:
+    nodes that do are nested, so this is where the slots of the article begin. Blocks of text of a valid class that has
+    a node, too, and is on `least_pages` pages or more, are the template's own and fixed."""
+    seen = pages.mapInPandas(_tokens, "host string, page long, token long, n int, depth int, weight long, total long")
+    seen = written(seen.groupBy("host", "token", "page").agg(*[F.max(c).alias(c) for c in ("n", "depth", "weight", "total")]))
+    classes = seen.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.max("n").alias("most"), F.sum("weight").alias("weight"), F.sum("total").alias("total"), F.max("depth").alias("depth"))
+    valid = written(classes.where((F.col("most") == 1) & ((F.col("pages") >= least_pages) | F.col("depth").isNotNull())))
+    nodes = valid.where(F.col("depth").isNotNull())
+    fixed = valid.where(F.col("depth").isNull()).join(nodes.select("host", "vector").distinct(), ["host", "vector"], "left_semi")
+    wide = nodes.where((F.col("weight") >= F.col("total") * F.lit(share)) | (F.col("depth") == 0))
+    used = written(wide.select("host", "token", F.lit(True).alias("node")).union(fixed.select("host", "token", F.lit(False).alias("node"))))
+    found = seen.select("host", "token", "page", "depth").join(used, ["host", "token"])
+    return found.groupBy("host", "page").agg(F.max_by("token", F.when(F.col("node"), F.struct("depth", "token"))).alias("region"), F.collect_list(F.when(~F.col("node"), F.col("token"))).alias("fixed"))
+
+
+def main_text(html: str | None) -> str:
+    """The main text of a page that stands alone: every path that occurs once is a node."""
+    tree = Page(html)
+    slots, total = tree.slots()
+    return tree.text(max((depth, path) for path, n, depth, weight in slots if not depth or n == 1 and 2 * weight >= total)[1])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of `pages` (page_id, url, html; others are ignored).
 
     Null or empty html gives an empty text. Repeated rows give a row each. Pages of unknown host (a null
-    url) have no template. An empty table gives an empty one. Each page is parsed whole in its task."""
+    url) stand alone. An empty table gives an empty one. Each page is parsed whole in its task."""
     small_batches(pages.sparkSession)
-    pages = pages.select("page_id", "url", "html", host_of().alias("host"))
-    known = written(templates(pages.where(F.col("host").isNotNull())))
-    pages = pages.join(known, "host", "left").select("page_id", "url", "html", "template", "slot")
+    page = F.xxhash64("html")
+    pages = pages.select("page_id", "url", "html", F.coalesce(host_of(), F.concat(F.lit("\n"), page.cast("string"))).alias("host"), page.alias("page"))
+    known = written(templates(pages.select("host", "page", "html")))
+    pages = pages.join(known, ["host", "page"], "left").select("page_id", "url", "html", "region", "fixed")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [main_text(h, frozenset(t) if t is not None else frozenset(), s) for h, t, s in zip(batch["html"], batch["template"], batch["slot"], strict=True)]
+            texts = [Page(h).text(r, frozenset(f)) for h, r, f in zip(batch["html"], batch["region"], batch["fixed"], strict=True)]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     return pages.mapInPandas(run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")

@@ -52,3 +52,77 @@ def test_tables_pages(spark, sf_dir):
         article = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
         cut = (" ".join(unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", article))
         assert got[r.page_id] == "\n".join(b for b in cut if b)
+
+
+def layout(i, lead, rest):
+    """A page without article tags or telling classes: two layouts, each with frames of its own."""
+    if i % 3:
+        return f"<body><div class='u1'><p>Our site {i % 2}</p></div><div class='u2'><h1>{lead}</h1><div class='u3'>{''.join(f'<p>{x}</p>' for x in rest)}</div></div><div class='u4'><p>All rights</p></div></body>"
+    return f"<body><table><tr><td class='v1'><p>Menu of a kind</p></td><td class='v2'>{''.join(f'<div>{x}</div>' for x in rest)}<p>Read more of this</p></td></tr></table></body>"
+
+
+def brute_templates(pages, least_pages=3, share=0.5):
+    """The classes and slots of one host, from whole occurrence vectors."""
+    trees = {html: html_page(html) for html in pages}
+    vectors, weights, depths = {}, {}, {}
+    for page, tree in trees.items():
+        slots, total = tree.slots()
+        for path, n, depth, weight in slots:
+            vectors.setdefault(path, {})[page] = n
+            depths[path] = depth
+            weights.setdefault(path, []).append((weight, total))
+        for at, _, _, text in tree.blocks:
+            mine = vectors.setdefault(tree.token(at, text), {})
+            mine[page] = mine.get(page, 0) + 1
+    valid = {t: frozenset(v) for t, v in vectors.items() if set(v.values()) == {1}}
+    nodes = {t: v for t, v in valid.items() if t in depths}
+    out = {}
+    for page in trees:
+        mine = [t for t, v in nodes.items() if page in v and (not depths[t] or sum(w for w, _ in weights[t]) >= share * sum(a for _, a in weights[t]))]
+        fixed = {t for t, v in valid.items() if t not in depths and page in v and len(v) >= least_pages and v in nodes.values()}
+        out[page] = max(mine, key=lambda t: (depths[t], t)), fixed
+    return out
+
+
+def html_page(text):
+    return html.Page(text)
+
+
+def test_classes_and_slots_by_brute_force(spark):
+    story = lambda i, k: f"story {i} part {k} " + "words of it " * (3 + (i * 7 + k) % 5)
+    pages = [layout(i, f"Title {i}", [story(i, k) for k in range(1 + i % 4)]) for i in range(24)]
+    rows = [(i, f"https://c.org/{i}", p) for i, p in enumerate([*pages, pages[3]])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html.templates(df.selectExpr("'c.org' host", "xxhash64(html) page", "html")).collect()
+    where = {r.page: r.html for r in df.selectExpr("xxhash64(html) page", "html").collect()}
+    want = brute_templates(set(pages))
+    assert {where[r.page]: (r.region, set(r.fixed)) for r in got} == want and len(got) == len(set(pages))
+    texts = {r.page_id: r.text for r in html.extract(df).collect()}
+    for i in range(24):
+        rest = [" ".join(story(i, k).split()) for k in range(1 + i % 4)]
+        assert texts[i] == "\n".join([f"Title {i}", *rest] if i % 3 else rest)
+
+
+ODD = [
+    ("<form><div class='menu-free'><article><p>a</p></article></div></form>", "a"),
+    ("<article><div title='the hidden door'><p>kept?</p></div><section class='search-results'>and this</section></article>", "kept?\nand this"),
+    ("<div class='content no-sidebar has-comments'><p>whole</p></div>", "whole"),
+    ("<article>a<div hidden>b</div><div aria-hidden=true>c</div></article>", "a"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), ODD)
+def test_marks_that_holders_have(page, want):
+    assert html.main_text(page) == want
+
+
+def test_deep_pages_take_little_memory():
+    import time
+    import tracemalloc
+
+    for page in ("<div class='a b'>" * 50_000 + "x", "<div>" * 500 + "</p></span></section>" * 20_000 + "x"):
+        tracemalloc.start()
+        began = time.perf_counter()
+        assert html.main_text(page) == "x"
+        assert tracemalloc.get_traced_memory()[1] < 100e6 and time.perf_counter() - began < 20
+        tracemalloc.stop()
