@@ -48,9 +48,10 @@ THEMES = [
 REQUIREMENT_WORD = "요구사항"
 REQUIREMENT_INCLUDE = ["요구사항정의", "요구사항 정의", "요구사항분석", "요구사항 분석", "요구사항리스트", "요구사항 리스트", "요구사항목록", "요구사항 목록"]
 REQUIREMENT_PREFIX = "요구사항정의"
-REQUIREMENT_EXCLUDE = "작성법 작성방법 양식 템플릿 표준 질의서 결과서 설명서 샘플 내부검토 검토계획 검토준비 검토팀 검토결과 계획서 준비서 점검 체크 회의록 예시".split()
+REQUIREMENT_EXCLUDE = ["작성법", "작성방법", "양식", "템플릿", "표준", "질의서", "결과서", "설명서", "샘플", "내부검토", "검토계획", "검토준비", "검토팀", "검토결과", "계획서", "준비서", "점검", "체크", "회의록", "예시"]
 REQUIREMENT_EXCLUDE_FOLDERS = ["양식", "템플릿", "표준", "샘플"]
 
+# Patterns.
 YEAR = r"(19\d{2}|20\d{2})"
 PERIOD_FOLDER = r"^\((\d{4})\.(\d{1,2})[ \t]*-[ \t]*(\d{4})\.(\d{1,2})\)[ \t]*(.+)$"
 YEARLY_FOLDER = r"^(\d{4})년$"

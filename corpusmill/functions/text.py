@@ -11,12 +11,17 @@ from . import rules
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
+#: The same characters, one by one.
+SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 def strip(x: Column | str) -> Column:
-    return F.regexp_replace(col(x), f"^{SPACE}+|{SPACE}+$", "")
+    """Without the white space at both ends, in one pass over the ends."""
+    return F.btrim(col(x), F.lit(SPACES))
 
 
 def suffix(path: Column | str) -> Column:
@@ -38,7 +43,7 @@ def stat_hash(path: Column | str, length: Column | str, micros: Column | str) ->
 
 def project_name(x: Column | str) -> Column:
     """White space at the ends goes first, then _ and -, then runs inside become one space."""
-    return F.regexp_replace(F.regexp_replace(strip(x), r"^[_-]+|[_-]+$", ""), f"{SPACE}+", " ")
+    return F.regexp_replace(F.btrim(strip(x), F.lit("_-")), f"{SPACE}+", " ")
 
 
 def year_in(parts: Column, fallback: Column) -> Column:
@@ -71,7 +76,7 @@ def labels(text: Column, table: list[tuple[str, list[str]]] = rules.THEMES) -> C
 
 def slugify(x: Column | str, empty: str = "unknown") -> Column:
     dashed = F.regexp_replace(F.regexp_replace(strip(x), f"(?:{SPACE}|_)+", "-"), "[^0-9A-Za-z가-힣-]", "")
-    return F.coalesce(F.nullif(F.lower(F.regexp_replace(dashed, "^-+|-+$", "")), F.lit("")), F.lit(empty))
+    return F.coalesce(F.nullif(F.lower(F.btrim(dashed, F.lit("-"))), F.lit("")), F.lit(empty))
 
 
 def folder_fields(name: Column | str) -> Column:

@@ -154,7 +154,11 @@ def theme_examples(tagged: DataFrame, n: int = 5, key: list[str] = ["source_file
 
 def theme_projects(tagged: DataFrame, shown: int = 8, project: str = "project_slug") -> DataFrame:
     """theme, projects (text): the first names, and how many more there are."""
-    names = F.sort_array(F.collect_set(project))
-    out = tagged.groupBy("theme").agg(names.alias("_names"))
-    more = F.when(F.size("_names") > shown, F.concat(F.lit(" + "), (F.size("_names") - shown).cast("string"), F.lit(" more"))).otherwise("")
-    return out.select("theme", F.concat(F.array_join(F.slice("_names", 1, shown), ", "), more).alias("projects"))
+    each = tagged.where(F.col(project).isNotNull()).select("theme", project).distinct()
+    many = tagged.groupBy("theme").agg(F.count_distinct(project).alias("_n"))
+    # Each task keeps the first names only.
+    first = each.withColumn("_place", F.row_number().over(Window.partitionBy("theme").orderBy(project))).where(F.col("_place") <= shown)
+    first = first.groupBy("theme").agg(F.sort_array(F.collect_list(project)).alias("_names"))
+    more = F.when(F.col("_n") > shown, F.concat(F.lit(" + "), (F.col("_n") - shown).cast("string"), F.lit(" more"))).otherwise("")
+    out = many.join(first, "theme", "left")
+    return out.select("theme", F.concat(F.array_join(F.coalesce("_names", F.array().cast("array<string>")), ", "), more).alias("projects"))

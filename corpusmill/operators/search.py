@@ -16,9 +16,13 @@ _TEMPLATE = "## Context\n\n{context}\n\n---\n\n## Question\n\n{query}\n"
 NOTHING_FOUND = "No documents were found for this question."
 
 
-def upsert(existing: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """`existing` with the rows of `new` in place of those with the same key; write it to a new folder."""
-    return existing.join(new.select(key), key, "left_anti").select(*existing.columns).unionByName(new.select(*existing.columns))
+def upsert(existing: DataFrame, new: DataFrame, key: str = "chunk_id", order: str | None = None) -> DataFrame:
+    """`existing` with the rows of `new` in place of those with the same key; write it to a new folder. Of the rows of
+    `new` with one key the last write wins: that with the greatest `order`, or the last in the table."""
+    names = existing.columns
+    last = new.select(*names, (F.col(order) if order else F.monotonically_increasing_id()).alias("_order"))
+    last = last.groupBy(key).agg(F.max_by(F.struct(*names), "_order").alias("_row")).select("_row.*")
+    return existing.join(new.select(key), key, "left_anti").select(*names).unionByName(last)
 
 
 def replace_sources(existing: DataFrame, new: DataFrame, source: str = "source_path") -> DataFrame:

@@ -290,3 +290,23 @@ def test_extraction(spark):
     got = {r.source_rel: r for r in requirements.extracted(docs, extract, known, most=40).collect()}
     assert set(got) == {"a", "b", "c"} and (got["b"].error, got["c"].error) == ("too short", "no JSON")
     assert got["a"].requirements[0].req_detail == "40" and got["a"].error is None
+
+
+def test_strip_is_linear(spark):
+    import time
+
+    from corpusmill.functions import text
+
+    rows = [("a" + " " * 1_000_000 + "b",), ("\u3000 x\x85\n",), (" ",), (None,), ("",)]
+    df = spark.createDataFrame(rows, "t string").cache()
+    df.count()
+    began = time.perf_counter()
+    got = [r[0] for r in df.select(text.strip("t")).collect()]
+    assert time.perf_counter() - began < 5 and got == [t if t is None else t.strip() for (t,) in rows]
+
+
+def test_upsert_keeps_the_last_write(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 1)], "chunk_id string, v int")
+    new = spark.createDataFrame([("b", 2), ("c", 9), ("b", 3), ("c", 4)], "chunk_id string, v int").coalesce(1)
+    assert {tuple(r) for r in search.upsert(old, new).collect()} == {("a", 1), ("b", 3), ("c", 4)}
+    assert {tuple(r) for r in search.upsert(old, new, order="v").collect()} == {("a", 1), ("b", 3), ("c", 9)}
