@@ -183,6 +183,12 @@ class Page:
                 out[self.paths[i]] = n + 1, self.depths[i], w + weight[i]
         return [(path, *x) for path, x in out.items()], weight[0]
 
+    def node(self, good: frozenset[int] = frozenset(), bad: frozenset[int] = frozenset(), share: float = 0.5) -> int:
+        """The path of the deepest node that holds the article: one of the `good` of the page's host, or a path that
+        no other page of the host has, occurs once and has `share` of the page's text."""
+        slots, total = self.slots()
+        return max((depth, path) for path, n, depth, weight in slots if not depth or path in good or path not in bad and n == 1 and weight >= share * total)[1]
+
     def region(self, path: int) -> int:
         """The element of the page at `path`, or one above: as far up as what an element has beside it is only
         headings, or is part of an inner element without marked frame parts and with less text in links than
@@ -240,49 +246,54 @@ def host_of(url: str = "url"):
 
 
 def templates(pages: DataFrame, least_pages: int = 3, share: float = 0.5) -> DataFrame:
-    """host, page, region (a path), fixed (hashes of blocks of text): what the host's template says of each different
-    page of `pages` (host, page, html), where `page` is a hash of html and equal pages count as one.
+    """host, good, bad (hashes of paths), fixed (hashes of blocks of text) from `pages` (host, page, html), where `page` is
+    a hash of html and equal pages count as one: the host's template.
 
     A token's occurrence vector has its count on each page of the host. Tokens with equal vectors are an
     equivalence class; a vector is held as the xor of a hash of each page and count, so no group of pages is
     gathered. A class is valid if it occurs once on each of its pages. Its paths are nodes of the template
     and nest in each other as the page's elements do; what a node holds beside the nodes in it is its slot. The
-    region is the deepest node of the page that has at least `share` of the text on the pages of its class:
-    nodes that do are nested, so this is where the slots of the article begin. Blocks of text of a valid class that has
-    a node, too, and is on `least_pages` pages or more, are the template's own and fixed."""
+    nodes with at least `share` of the text on the pages of their class are `good`: they are nested, so in the deepest
+    on a page begin the slots of its article. `bad` are all other paths of several pages; what only one page
+    has is left to that page. Blocks of text of a valid class that has a node, too, and is on `least_pages` pages or
+    more, are the template's own and `fixed`. A host's row grows with the variety of its pages' structure, not with
+    their number."""
     seen = pages.mapInPandas(_tokens, "host string, page long, token long, n int, depth int, weight long, total long")
-    seen = written(seen.groupBy("host", "token", "page").agg(*[F.max(c).alias(c) for c in ("n", "depth", "weight", "total")]))
+    seen = seen.groupBy("host", "token", "page").agg(*[F.max(c).alias(c) for c in ("n", "depth", "weight", "total")])
     classes = seen.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.max("n").alias("most"), F.sum("weight").alias("weight"), F.sum("total").alias("total"), F.max("depth").alias("depth"))
-    valid = written(classes.where((F.col("most") == 1) & ((F.col("pages") >= least_pages) | F.col("depth").isNotNull())))
-    nodes = valid.where(F.col("depth").isNotNull())
-    fixed = valid.where(F.col("depth").isNull()).join(nodes.select("host", "vector").distinct(), ["host", "vector"], "left_semi")
-    wide = nodes.where((F.col("weight") >= F.col("total") * F.lit(share)) | (F.col("depth") == 0))
-    used = written(wide.select("host", "token", F.lit(True).alias("node")).union(fixed.select("host", "token", F.lit(False).alias("node"))))
-    found = seen.select("host", "token", "page", "depth").join(used, ["host", "token"])
-    return found.groupBy("host", "page").agg(F.max_by("token", F.when(F.col("node"), F.struct("depth", "token"))).alias("region"), F.collect_list(F.when(~F.col("node"), F.col("token"))).alias("fixed"))
+    classes = written(classes.where((F.col("pages") > 1) | F.col("depth").isNotNull()))
+    valid, node = F.col("most") == 1, F.col("depth").isNotNull()
+    good = node & valid & (F.col("weight") >= F.col("total") * F.lit(share))
+    paths = classes.where(node & (F.col("pages") > 1)).groupBy("host").agg(F.collect_list(F.when(good, F.col("token"))).alias("good"), F.collect_list(F.when(~good, F.col("token"))).alias("bad"))
+    nodes = classes.where(node & valid).select("host", "vector").distinct()
+    fixed = classes.where(~node & valid & (F.col("pages") >= least_pages)).join(nodes, ["host", "vector"], "left_semi")
+    return paths.join(fixed.groupBy("host").agg(F.collect_list("token").alias("fixed")), "host", "left")
 
 
 def main_text(html: str | None) -> str:
     """The main text of a page that stands alone: every path that occurs once is a node."""
     tree = Page(html)
-    slots, total = tree.slots()
-    return tree.text(max((depth, path) for path, n, depth, weight in slots if not depth or n == 1 and 2 * weight >= total)[1])
+    return tree.text(tree.node())
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of `pages` (page_id, url, html; others are ignored).
 
     Null or empty html gives an empty text. Repeated rows give a row each. Pages of unknown host (a null
-    url) stand alone. An empty table gives an empty one. Each page is parsed whole in its task."""
+    url) stand alone. An empty table gives an empty one. Each page is parsed whole in its task; html moves only
+    where the hosts' templates are too large for Spark to broadcast."""
     small_batches(pages.sparkSession)
-    page = F.xxhash64("html")
-    pages = pages.select("page_id", "url", "html", F.coalesce(host_of(), F.concat(F.lit("\n"), page.cast("string"))).alias("host"), page.alias("page"))
-    known = written(templates(pages.select("host", "page", "html")))
-    pages = pages.join(known, ["host", "page"], "left").select("page_id", "url", "html", "region", "fixed")
+    pages = pages.select("page_id", "url", "html", host_of().alias("host"))
+    known = written(templates(pages.where(F.col("host").isNotNull()).select("host", F.xxhash64("html").alias("page"), "html")))
+    pages = pages.join(known, "host", "left").select("page_id", "url", "html", "good", "bad", "fixed")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        some = lambda x: frozenset(x) if x is not None else frozenset()
         for batch in batches:
-            texts = [Page(h).text(r, frozenset(f)) for h, r, f in zip(batch["html"], batch["region"], batch["fixed"], strict=True)]
+            texts = []
+            for html, good, bad, fixed in zip(batch["html"], batch["good"], batch["bad"], batch["fixed"], strict=True):
+                tree = Page(html)
+                texts.append(tree.text(tree.node(some(good), some(bad)), some(fixed)))
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     return pages.mapInPandas(run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
