@@ -173,20 +173,21 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket
 
     Best fit decreasing in bulk-synchronous supersteps. Pieces and gaps are ranked among those of their size; then,
     phase by phase of falling length, a sweep matches all waiting pieces with gaps, the gaps are updated,
-    and so on until none moves; of what is left, each length fills whole new sequences, and for the few over
-    (less than a sequence of each length) as many empty ones are opened as they need at least, and they wait
-    for the next phase. Each step is a written table; the driver sees counts only."""
+    and so on as long as a gap holds a piece that waits; of what is left, each length fills whole new
+    sequences, and for the few over (less than a sequence of each length) as many empty ones are opened as
+    they need at least, and they wait for the next phase. Each step is a written table; the driver sees
+    counts and extremes only."""
     pieces = pieces.drop("sequence_id", "offset")
     spark = pieces.sparkSession
-    least, most, hot = pieces.groupBy("length").count().agg(F.min("length"), F.max("length"), F.max("count")).first()
+    phase = lambda lo, hi: (F.col("length") > lo) & (F.col("length") <= hi)
+    bounds = sorted({capacity // k for k in _PHASES if k <= capacity}, reverse=True)
+    spans = list(zip(bounds, [*bounds[1:], 0], strict=True))
+    in_phase = [F.coalesce(F.sum(F.when(phase(lo, hi), F.col("count"))), F.lit(0)) for hi, lo in spans]
+    least, most, hot, *numbers = pieces.groupBy("length").count().agg(F.min("length"), F.max("length"), F.max("count"), *in_phase).first()
     if most is not None and not 0 < least <= most <= capacity:
         raise ValueError(f"lengths must be from 1 to {capacity}")
     ranked = pieces.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "piece"))
     ranked = written(running(ranked, ["length"], hash_bucket("_h", max(1, -(-(hot or 0) // per_bucket))), ["_h", "doc_id", "piece"], F.lit(1), "_rank").drop("_h"))
-    bounds = sorted({capacity // k for k in _PHASES if k <= capacity}, reverse=True)
-    phase = lambda lo, hi: (F.col("length") > lo) & (F.col("length") <= hi)
-    spans = list(zip(bounds, [*bounds[1:], 0], strict=True))
-    numbers = ranked.agg(*[F.count_if(phase(lo, hi)) for hi, lo in spans]).first()
     gaps, waiting = (spark.range(0).select(F.col("id").alias(a), F.col("id").alias(b)) for a, b in (("sequence_id", "gap"), ("length", "rank")))
     first, steps, over = 0, [], 0
     for k, ((hi, lo), n) in enumerate(zip(spans, numbers, strict=True)):
@@ -200,23 +201,27 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket
             if sweep:
                 step = written(_matched(waiting, live, longest, per_bucket))
                 places = step.where(F.col("sequence_id").isNotNull()).groupBy("sequence_id")
-                live = places.agg((F.max("gap") - F.coalesce(F.sum("length"), F.lit(0))).alias("gap")).where(F.col("gap") > 0)
-                step = step.where(F.col("length").isNotNull()).select("length", "rank", "sequence_id")
+                live = written(places.agg((F.max("gap") - F.coalesce(F.sum("length"), F.lit(0))).alias("gap")).where(F.col("gap") > 0))
+                waiting = step.where(F.col("sequence_id").isNull()).select("length", "rank")
+                sizes = waiting.select("length", F.lit(None).cast("long").alias("gap")).union(live.select(F.lit(None).cast("long"), "gap"))
+                left, shortest, longest, widest = sizes.agg(F.count("length"), F.min("length"), F.max("length"), F.max("gap")).first()
             else:
                 step = written(_own(waiting, first, capacity))
+                alone = F.when(F.col("sequence_id").isNull(), F.col("length"))
+                left, shortest, longest, tokens, number = step.agg(F.count(alone), F.min(alone), F.max(alone), F.sum(alone), F.max("sequence_id")).first()
                 new = step.where(F.col("sequence_id").isNotNull()).groupBy("sequence_id").agg((capacity - F.sum("length")).alias("gap")).where(F.col("gap") > 0)
-            waiting = step.where(F.col("sequence_id").isNull()).select("length", "rank")
-            steps.append(step.where(F.col("sequence_id").isNotNull()).withColumn("_step", F.lit(len(steps))))
-            over, longest, tokens, number = waiting.agg(F.count("*"), F.max("length"), F.sum("length"), F.lit(None)).first() if sweep else step.agg(F.count_if(F.col("sequence_id").isNull()), F.max(F.when(F.col("sequence_id").isNull(), F.col("length"))), F.sum(F.when(F.col("sequence_id").isNull(), F.col("length"))), F.max("sequence_id")).first()
-            if not sweep:
                 first = first if number is None else number + 1
-                more = -(-(tokens or 0) // capacity)
-                live = live.union(new).union(spark.range(first, first + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap")))
+                more, widest = -(-(tokens or 0) // capacity), capacity
+                live = written(live.union(new).union(spark.range(first, first + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"))))
                 first += more
-            live = written(live)
-            if not sweep and over <= capacity and not last:
+                waiting = step.where(F.col("sequence_id").isNull()).select("length", "rank")
+            placed = step.where(F.col("length").isNotNull() & F.col("sequence_id").isNotNull())
+            steps.append(placed.select("length", "rank", "sequence_id", F.lit(len(steps)).alias("_step")))
+            if not sweep and left <= capacity and not last:
                 break
-            sweep, left = not sweep or over < left, over
+            # The next sweep moves something if any gap holds any piece that waits.
+            sweep = bool(left) and widest is not None and widest >= shortest
+        over = left
         gaps = small.union(live)
     placed = reduce(DataFrame.union, steps) if steps else ranked.select("length", F.col("_rank").alias("rank"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).alias("_step"))
     upto = Window.partitionBy("sequence_id").orderBy("_step", F.desc("length"), "rank").rowsBetween(Window.unboundedPreceding, -1)
