@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, chroma, html, langid, minhash, mixing, packing, simhash, suffixes, toxicity
+from . import chat, chroma, html, langid, merkle, minhash, mixing, packing, simhash, suffixes, tokencount, toxicity, treaps
 from .common import table
 
 
@@ -64,8 +64,23 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return treaps.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose doc_id has an even crc32 lose their line breaks after the manifest is made."""
+    broken = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered={"text": broken})
+
+
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chroma": op1_chroma, "op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op6_toxicity": op6_toxicity, "op7_suffix_dedup": op7_suffix_dedup, "op8_pack": op8_pack, "op9_minhash": op9_minhash, "op10_langid": op10_langid}
+    return {"op1_chroma": op1_chroma, "op2_simhash": op2_simhash, "op4_html": op4_html, "op5_chat": op5_chat, "op3_mix": op3_mix, "op6_toxicity": op6_toxicity, "op7_suffix_dedup": op7_suffix_dedup, "op8_pack": op8_pack, "op9_minhash": op9_minhash, "op10_langid": op10_langid, "op11_search": op11_search, "op12_manifest": op12_manifest, "op13_tokens": op13_tokens}
 
 
 _OP5 = r"""
@@ -122,6 +137,58 @@ SELECT doc_id, held_out, coalesce(b.lang, 'und') AS lang_pred, coalesce(1 - away
 """
 
 
+_OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), sizes AS (SELECT r, doc_id, len(t)::BIGINT AS n FROM docs WHERE len(t) > 0
+), whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS length FROM sizes
+), tfs AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM docs) GROUP BY ALL
+), dfs AS (SELECT term, count(*)::BIGINT AS df FROM tfs GROUP BY term
+), items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weights AS (SELECT item_id, term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM items JOIN dfs USING (term), whole
+), scores AS (
+  SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // length)))))::BIGINT AS score
+  FROM weights JOIN tfs USING (term) JOIN sizes USING (r), whole GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
+_OP12 = r"""
+WITH RECURSIVE told AS (
+  SELECT doc_id, source, crc, text, concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+      coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+    CASE WHEN crc THEN replace(text, chr(10), '') ELSE text END AS other
+  FROM (SELECT *, xor(list_reduce(list_transform(split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, b)), 4294967295), 4294967295) % 2 = 0 AS crc FROM documents)
+), leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS other FROM told
+), placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+), trees AS (
+  SELECT source, 0 AS level, list(leaf ORDER BY i) AS nodes FROM placed GROUP BY source
+  UNION ALL
+  SELECT source, level + 1, list_transform(range((len(nodes) + 2) // 3), lambda k: sha256(array_to_string(nodes[3 * k + 1:3 * k + 3], ''))) FROM trees WHERE len(nodes) > 1
+), subroots AS (
+  SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM trees WHERE len(nodes) = 1
+), top AS (
+  SELECT 0 AS level, list(subroot ORDER BY i) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range((len(nodes) + 2) // 3), lambda k: sha256(array_to_string(nodes[3 * k + 1:3 * k + 3], ''))) FROM top WHERE len(nodes) > 1
+), steps AS (
+  SELECT p.doc_id, p.source, p.i, t.level, p.i // (3 ** t.level)::BIGINT AS pos, t.nodes FROM placed p JOIN trees t ON t.source IS NOT DISTINCT FROM p.source WHERE len(t.nodes) > 1
+  UNION ALL
+  SELECT p.doc_id, p.source, p.i, 1000 + t.level, s.i // (3 ** t.level)::BIGINT, t.nodes FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source, top t WHERE len(t.nodes) > 1
+), sides AS (
+  SELECT source, i, level, array_to_string(nodes[pos - pos % 3 + 1:pos], '') AS l, array_to_string(nodes[pos + 2:pos - pos % 3 + 3], '') AS r FROM steps
+), proofs AS (SELECT source, i, string_agg(l || r, '' ORDER BY level) AS proof, list(l || '|' || r ORDER BY level) AS path FROM sides GROUP BY source, i
+), done AS (
+  SELECT p.doc_id, p.leaf, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(coalesce(path, []), lambda h, x: sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2)), p.other) AS folded_root
+  FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source LEFT JOIN proofs q ON q.source IS NOT DISTINCT FROM p.source AND q.i = p.i
+)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL that DuckDB can run whole. The others hang on hashes, tokens or parsers: see tests/llm."""
-    return {"op5_chat": _OP5, "op9_minhash": _OP9, "op10_langid": _OP10}
+    return {"op5_chat": _OP5, "op9_minhash": _OP9, "op10_langid": _OP10, "op11_search": _OP11, "op12_manifest": _OP12}
