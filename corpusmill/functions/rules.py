@@ -7,13 +7,13 @@ TEXT_EXTENSIONS = [".txt", ".sql", ".md", ".csv", ".log"]
 TRACKED_EXTENSIONS = [".hwp", ".hwpx", ".doc", ".docx", ".ppt", ".pptx", ".xls", ".xlsx", ".pdf", ".txt", ".md"]
 
 CATEGORIES = [
-    ("제안서", ["제안서", "제안", "proposal", "rfp"]),
+    ("제안서", ["제안서", "제안", "proposal", "RFP"]),
     ("설계서", ["설계서", "설계", "design", "아키텍처", "architecture"]),
     ("보고서", ["보고서", "보고", "report", "결과보고", "중간보고", "최종보고"]),
     ("소스코드", ["소스", "source", "src", "코드", "code", "개발"]),
     ("매뉴얼", ["매뉴얼", "manual", "가이드", "guide", "사용법", "운영"]),
     ("회의록", ["회의록", "회의", "meeting", "minutes", "협의"]),
-    ("시험", ["시험", "테스트", "test", "검수", "검증", "qa"]),
+    ("시험", ["시험", "테스트", "test", "검수", "검증", "QA"]),
     ("계약", ["계약", "contract", "계약서", "견적", "발주"]),
     ("교육", ["교육", "training", "학습", "과정"]),
 ]
@@ -51,13 +51,13 @@ REQUIREMENT_PREFIX = "요구사항정의"
 REQUIREMENT_EXCLUDE = ["작성법", "작성방법", "양식", "템플릿", "표준", "질의서", "결과서", "설명서", "샘플", "내부검토", "검토계획", "검토준비", "검토팀", "검토결과", "계획서", "준비서", "점검", "체크", "회의록", "예시"]
 REQUIREMENT_EXCLUDE_FOLDERS = ["양식", "템플릿", "표준", "샘플"]
 
-# Patterns.
-YEAR = r"(19\d{2}|20\d{2})"
-PERIOD_FOLDER = r"^\((\d{4})\.(\d{1,2})[ \t]*-[ \t]*(\d{4})\.(\d{1,2})\)[ \t]*(.+)$"
+# Patterns. `text.java` gives them the flags that they need here.
+YEAR = r"((?:19|20)\d{2})"
+PERIOD_FOLDER = r"^\((\d{4})\.(\d{1,2})\s*-\s*(\d{4})\.(\d{1,2})\)\s*(.+)$"
 YEARLY_FOLDER = r"^(\d{4})년$"
 YEARLY_PREFIX = r"^(\d{4})년"
-VERSION = r"(?i)ver\.?[ \t]*(\d+(?:\.\d+)*)[ \t]*([a-z]?)"
-VERSION_NUMBER = r"(?i)[_ \t-]v(\d{2,})"
+VERSION = r"ver\.?\s*(\d+(?:\.\d+)*)\s*([a-z]?)"
+VERSION_NUMBER = r"[_\-\s]v(\d{2,})"
 DATE = r"(20\d{6}|\d{6})"
 
 # Text in a binary file.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +22,22 @@ def col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def java(pattern: str, any_case: bool = False) -> str:
+    """A pattern of `rules` for Java: digits, case and white space are Unicode's, and only a line feed ends a line."""
+    return ("(?Udi)" if any_case else "(?Ud)") + pattern.replace(r"\s", SPACE)
+
+
+@cache
+def _decimals() -> tuple[str, str]:
+    """All decimal digits of Unicode but ASCII's, and what they stand for."""
+    found = [c for c in map(chr, range(0x80, 0x110000)) if c.isdecimal()]
+    return "".join(found), "".join(str(unicodedata.decimal(c)) for c in found)
+
+
+def ascii_digits(x: Column | str) -> Column:
+    return F.translate(col(x), *_decimals())
+
+
 def strip(x: Column | str) -> Column:
     """Without the white space at both ends, in one pass over the ends."""
     return F.btrim(col(x), F.lit(SPACES))
@@ -48,7 +67,7 @@ def project_name(x: Column | str) -> Column:
 
 def year_in(parts: Column, fallback: Column) -> Column:
     """The first part whose first year is from 1990 to 2030, else `fallback`. Strings."""
-    years = F.filter(F.transform(parts, lambda p: F.regexp_extract(p, rules.YEAR, 1)), lambda y: (y >= "1990") & (y <= "2030"))
+    years = F.filter(F.transform(parts, lambda p: ascii_digits(F.regexp_extract(p, java(rules.YEAR), 1))), lambda y: (y >= "1990") & (y <= "2030"))
     return F.coalesce(F.get(years, F.lit(0)), fallback)
 
 
@@ -58,7 +77,7 @@ def classified(text: Column, table: list[tuple[str, list[str]]] = rules.CATEGORI
     for label, words in table:
         hit = F.lit(False)
         for w in words:
-            hit = hit | low.contains(w)
+            hit = hit | low.contains(w.lower())
         out = F.when(hit, label) if out is None else out.when(hit, label)
     return out.otherwise(other) if out is not None else F.lit(other)
 
@@ -69,7 +88,7 @@ def labels(text: Column, table: list[tuple[str, list[str]]] = rules.THEMES) -> C
     for label, words in table:
         hit = F.lit(False)
         for w in words:
-            hit = hit | low.contains(w)
+            hit = hit | low.contains(w.lower())
         found.append(F.when(hit, F.lit(label)))
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
@@ -82,9 +101,9 @@ def slugify(x: Column | str, empty: str = "unknown") -> Column:
 def folder_fields(name: Column | str) -> Column:
     """struct(period_start, period_end, title, is_yearly, yearly) of a project folder's name."""
     name = col(name)
-    part = lambda k: F.regexp_extract(name, rules.PERIOD_FOLDER, k)
-    period, year = part(1) != "", F.regexp_extract(name, rules.YEARLY_FOLDER, 1)
-    month = lambda y, m: F.when(period, F.concat(part(y), F.lit("-"), F.lpad(part(m), 2, "0")))
+    part = lambda k: F.regexp_extract(name, java(rules.PERIOD_FOLDER), k)
+    period, year = part(1) != "", F.regexp_extract(name, java(rules.YEARLY_FOLDER), 1)
+    month = lambda y, m: F.when(period, F.concat(part(y), F.lit("-"), F.lpad(ascii_digits(part(m)), 2, "0")))
     return F.struct(month(1, 2).alias("period_start"), month(3, 4).alias("period_end"), F.when(period, strip(part(5))).otherwise(name).alias("title"), (~period & (year != "")).alias("is_yearly"), F.when(~period & (year != ""), year).alias("yearly"))
 
 
@@ -100,22 +119,29 @@ def doc_key(stem_: Column | str) -> Column:
     """A document's name without version, date and copy marks."""
     stem_ = col(stem_)
     s = F.substring_index(stem_, "(", 1)
-    for pattern in (rules.VERSION, rules.VERSION_NUMBER, rules.DATE, r"\[\d+\]", r"[_\-\s.]+$"):
-        s = F.regexp_replace(s, pattern, "")
-    s = F.regexp_replace(F.regexp_replace(s, r"\s+", " "), r"^[ \-_.]+|[ \-_.]+$", "")
+    for pattern, any_case in ((rules.VERSION, True), (rules.VERSION_NUMBER, True), (rules.DATE, False), (r"\[\d+\]", False), (r"[_\-\s.]+$", False)):
+        s = F.regexp_replace(s, java(pattern, any_case), "")
+    s = F.btrim(F.regexp_replace(s, f"{SPACE}+", " "), F.lit(" -_."))
     return F.coalesce(F.nullif(F.lower(s), F.lit("")), F.lower(stem_))
 
 
+def _number(digits: Column) -> Column:
+    """A whole number of any length, as what compares like it: how many digits it has, and these."""
+    bare = F.coalesce(F.nullif(F.ltrim(ascii_digits(digits), F.lit("0")), F.lit("")), F.lit("0"))
+    return F.struct(F.length(bare).alias("digits"), bare.alias("number"))
+
+
 def version_numbers(stem_: Column | str) -> Column:
-    """array<int>: the version's numbers, a letter after it as one more; [0] without a version."""
-    stem_ = col(stem_)
-    numbers, letter = F.regexp_extract(stem_, rules.VERSION, 1), F.lower(F.regexp_extract(stem_, rules.VERSION, 2))
-    found = F.split(numbers, r"\.").cast("array<int>")
-    return F.when(numbers == "", F.array(F.lit(0))).when(letter == "", found).otherwise(F.concat(found, F.array(F.ascii(letter) - 96)))
+    """array<struct<digits, number>>, which compares as the list of the version's numbers does, a letter after them as one
+    more; 0 alone without a version."""
+    part = lambda k: F.regexp_extract(col(stem_), java(rules.VERSION, True), k)
+    letter = F.lower(part(2))
+    found = F.transform(F.split(part(1), r"\."), _number)
+    return F.when(part(1) == "", F.array(_number(F.lit("0")))).when(letter == "", found).otherwise(F.concat(found, F.array(_number((F.ascii(letter) - 96).cast("string")))))
 
 
 def version_date(stem_: Column | str) -> Column:
-    return F.coalesce(F.nullif(F.regexp_extract(col(stem_), rules.DATE, 1), F.lit("")).cast("int"), F.lit(0))
+    return F.coalesce(F.nullif(ascii_digits(F.regexp_extract(col(stem_), java(rules.DATE), 1)), F.lit("")).cast("int"), F.lit(0))
 
 
 def md_escape(x: Column | str) -> Column:

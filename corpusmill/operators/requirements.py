@@ -30,7 +30,7 @@ def is_requirement_document(parts: Column, word: str = rules.REQUIREMENT_WORD, i
 
 def primary(manifest: DataFrame, group: list[str] = ["project_slug", "doc_key"]) -> DataFrame:  # noqa: B006
     """Adds is_primary: the newest of each logical document by version, date, modification time, size; ties by
-    source_rel. `manifest` has version (array<int>), date, mtime, size. The best of a group is a maximum,
+    source_rel. `manifest` has version (as text.version_numbers), date, mtime, size. The best of a group is a maximum,
     summed before the shuffle, so a group may be large."""
     rank = F.struct("version", "date", "mtime", "size")
     best = manifest.groupBy(*group).agg(F.max(rank).alias("_rank"))
@@ -46,10 +46,10 @@ def with_project(files: DataFrame, slugs: DataFrame, parts: str = "parts") -> Da
     known = slugs.select(F.col("raw_name").alias("_top"), F.col("slug").alias("_slug"), F.col("title").alias("_title"), F.coalesce("is_yearly", F.lit(False)).alias("_yearly"))
     rows = files.withColumn("_top", F.element_at(parts, 1)).join(known, "_top", "left")
     sub = F.get(F.col(parts), F.lit(1))
-    year, name = F.regexp_extract(sub, rules.PERIOD_FOLDER, 1), text.strip(F.regexp_extract(sub, rules.PERIOD_FOLDER, 5))
+    year, name = F.regexp_extract(sub, text.java(rules.PERIOD_FOLDER), 1), text.strip(F.regexp_extract(sub, text.java(rules.PERIOD_FOLDER), 5))
     own = text.slugify("_top")
     named = F.col("_slug").isNotNull() & ~F.col("_yearly")
-    yearly = F.coalesce(F.col("_yearly"), F.lit(False)) | F.col("_top").rlike(rules.YEARLY_PREFIX)
+    yearly = F.coalesce(F.col("_yearly"), F.lit(False)) | F.col("_top").rlike(text.java(rules.YEARLY_PREFIX))
     inner = yearly & (F.size(parts) >= 2)
     slug = F.when(named, F.col("_slug")).when(inner & (year != ""), F.concat_ws("-", year, text.slugify(name))).when(inner, F.concat_ws("-", own, text.slugify(sub))).otherwise(own)
     title = F.when(named, F.coalesce("_title", "_top")).when(inner & (year != ""), name).when(inner, sub).otherwise(F.col("_top"))
@@ -113,7 +113,7 @@ def synthesized(rows: DataFrame) -> DataFrame:
     strategy = F.when(has_strategy(), F.concat(F.lit("\n[strategy] "), F.col("strategy"))).otherwise("")
     body = F.concat(F.lit("["), F.col("project_title"), F.lit("] "), F.col("name"), F.lit(" — "), F.col("detail"), F.lit(" ("), F.col("type"), F.lit(")"), strategy)
     number = F.format_string("%03d", F.col("pos") + 1)
-    return rows.select(F.concat(F.col("project_slug"), F.lit("#R-"), number, F.lit("__"), text.stem("source_file")).alias("chunk_id"), body.alias("text"), F.coalesce(F.nullif(F.regexp_extract(F.concat_ws(" ", "project_slug", "source_file"), rules.YEAR, 0), F.lit("")), F.lit("")).alias("year"))
+    return rows.select(F.concat(F.col("project_slug"), F.lit("#R-"), number, F.lit("__"), text.stem("source_file")).alias("chunk_id"), body.alias("text"), F.coalesce(F.nullif(F.regexp_extract(F.concat_ws(" ", "project_slug", "source_file"), text.java(rules.YEAR), 0), F.lit("")), F.lit("")).alias("year"))
 
 
 def type_rollup(rows: DataFrame, project: str = "project_slug", kind: str = "type") -> DataFrame:

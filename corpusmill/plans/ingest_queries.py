@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, text
 from ..operators import ingest, state
-from .registry import FILES, LOG, ROOT, files, log, query, strip_sql, table
+from .registry import FILES, LOG, ROOT, SPACE, files, log, query, strip_sql, table
 
 _TARGET = ", ".join(f"'{e}'" for e in rules.TARGET_EXTENSIONS)
-_CATEGORY = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(low, {w!r})' for w in words)} THEN '{label}'" for label, words in rules.CATEGORIES) + f" ELSE '{rules.OTHER_CATEGORY}' END"
+_CATEGORY = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(low, {w.lower()!r})' for w in words)} THEN '{label}'" for label, words in rules.CATEGORIES) + f" ELSE '{rules.OTHER_CATEGORY}' END"
 _META = f"""WITH {FILES}, parts AS (
   SELECT *, split(substr(path, {len(ROOT) + 2}), '/') AS p FROM named
 ), meta AS (
@@ -31,7 +31,7 @@ def stat_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{_META} SELECT path AS source_path, name AS file_name, ext AS file_type, length AS file_size,
-  regexp_replace(regexp_replace({strip_sql('p[1]')}, '^[_-]+|[_-]+$', '', 'g'), '\\s+', ' ', 'g') AS project,
+  regexp_replace(regexp_replace({strip_sql('p[1]')}, '^[_-]+|[_-]+$', '', 'g'), '{SPACE}+', ' ', 'g') AS project,
   array_to_string(p[2:len(p) - 1], '/') AS sub_path, year, {_CATEGORY} AS category FROM meta""")
 def normalize_path_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["source_path", "file_name", "file_type", "file_size", "project", "sub_path", "year", "category"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, text
 from ..operators import reports, requirements
-from .registry import FILES, ROOT, files, query, table
+from .registry import FILES, ROOT, SPACE, files, query, strip_sql, table
 
 _WORD, _INCLUDE, _PREFIX, _EXCLUDE, _FOLDERS = "ver", ["ver 1", "ver2"], "manual", ["meeting", "draft"], ["team", "1999"]
 
@@ -27,8 +27,11 @@ def manifest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STEM = f"WITH {FILES}, s AS (SELECT *, regexp_replace(name, '([^.])\\.[^./]+$', '\\1') AS stem FROM named)"
-_KEY = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(split(stem, '(')[1],
-  '(?i)ver\\.?[ \\t]*(\\d+(?:\\.\\d+)*)[ \\t]*([a-z]?)', '', 'g'), '(?i)[_ \\t-]v(\\d{2,})', '', 'g'), '(20\\d{6}|\\d{6})', '', 'g'), '\\[\\d+\\]', '', 'g'), '[_\\-\\s.]+$', '', 'g'), '\\s+', ' ', 'g'), '^[ \\-_.]+|[ \\-_.]+$', '', 'g')"""
+#: White space in this SQL, alone and within a class; written out, as the engine's own is ASCII only.
+_S, _IN = SPACE, SPACE[1:-1]
+_VERSION = rf"(?i)ver[.]?{_S}*([0-9]+(?:[.][0-9]+)*){_S}*([a-z]?)"
+_KEY = rf"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(split(stem, '(')[1],
+  '{_VERSION}', '', 'g'), '(?i)[{_IN}_-]v[0-9][0-9]+', '', 'g'), '20[0-9]{{6}}|[0-9]{{6}}', '', 'g'), '[[][0-9]+[]]', '', 'g'), '[{_IN}_.-]+$', '', 'g'), '{_S}+', ' ', 'g'), ' -_.')"""
 
 
 @query(f"{_STEM} SELECT doc_id, coalesce(nullif(lower({_KEY}), ''), lower(stem)) AS doc_key FROM s")
@@ -36,16 +39,15 @@ def doc_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _manifest(spark, sf_dir).select("doc_id", text.doc_key("stem").alias("doc_key"))
 
 
-_VERSION = "(?i)ver\\.?[ \\t]*(\\d+(?:\\.\\d+)*)[ \\t]*([a-z]?)"
 _SCORED = f"""{_STEM}, v AS (SELECT *, regexp_extract(stem, '{_VERSION}', 1) AS num, lower(regexp_extract(stem, '{_VERSION}', 2)) AS letter,
-  coalesce(nullif(regexp_extract(stem, '(20\\d{{6}}|\\d{{6}})', 1), '')::INT, 0) AS date, coalesce(nullif(lower({_KEY}), ''), lower(stem)) AS doc_key FROM s
-), w AS (SELECT *, CASE WHEN num = '' THEN [0] WHEN letter = '' THEN split(num, '.')::INT[] ELSE list_append(split(num, '.')::INT[], ascii(letter) - 96) END AS version FROM v)"""
+  coalesce(nullif(regexp_extract(stem, '20[0-9]{{6}}|[0-9]{{6}}'), '')::INT, 0) AS date, coalesce(nullif(lower({_KEY}), ''), lower(stem)) AS doc_key FROM s
+), w AS (SELECT *, CASE WHEN num = '' THEN [0::HUGEINT] WHEN letter = '' THEN split(num, '.')::HUGEINT[] ELSE list_append(split(num, '.')::HUGEINT[], ascii(letter) - 96) END AS version FROM v)"""
 
 
 @query(f"{_SCORED} SELECT doc_id, array_to_string(version, '.') AS version, date FROM w")
 def version_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _manifest(spark, sf_dir)
-    return rows.select("doc_id", F.array_join(text.version_numbers("stem").cast("array<string>"), ".").alias("version"), text.version_date("stem").alias("date"))
+    return rows.select("doc_id", F.array_join(F.transform(text.version_numbers("stem"), lambda x: x["number"]), ".").alias("version"), text.version_date("stem").alias("date"))
 
 
 @query(f"""{_SCORED}, g AS (SELECT *, split(split(path, '/')[4], ' ')[5] AS slug FROM w),
@@ -63,7 +65,7 @@ def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _slug_sql(x: str) -> str:
-    return f"coalesce(nullif(lower(regexp_replace(regexp_replace(regexp_replace(trim({x}), '[\\s_]+', '-', 'g'), '[^0-9A-Za-z가-힣-]', '', 'g'), '^-+|-+$', '', 'g')), ''), 'unknown')"
+    return f"coalesce(nullif(lower(regexp_replace(regexp_replace(regexp_replace({strip_sql(x)}, '[{_IN}_]+', '-', 'g'), '[^0-9A-Za-z가-힣-]', '', 'g'), '^-+|-+$', '', 'g')), ''), 'unknown')"
 
 
 @query(f"WITH {FILES} SELECT doc_id, {_slug_sql('name')} AS slug FROM named")
@@ -71,10 +73,10 @@ def slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files(spark, sf_dir).select("doc_id", text.slugify(text.file_name("path")).alias("slug"))
 
 
-_PERIOD = "^\\((\\d{4})\\.(\\d{1,2})[ \\t]*-[ \\t]*(\\d{4})\\.(\\d{1,2})\\)[ \\t]*(.+)$"
+_PERIOD = rf"^[(]([0-9]{{4}})[.]([0-9]{{1,2}}){_S}*-{_S}*([0-9]{{4}})[.]([0-9]{{1,2}})[)]{_S}*(.+)$"
 _FOLDER = f"""WITH {FILES}, f AS (SELECT DISTINCT unnest([split(path, '/')[3], split(path, '/')[4]]) AS folder FROM named),
 p AS (SELECT *, regexp_extract(folder, '{_PERIOD}', 1) AS y1, regexp_extract(folder, '{_PERIOD}', 2) AS m1, regexp_extract(folder, '{_PERIOD}', 3) AS y2, regexp_extract(folder, '{_PERIOD}', 4) AS m2,
-  trim(regexp_extract(folder, '{_PERIOD}', 5)) AS t, regexp_extract(folder, '^(\\d{{4}})년$', 1) AS y FROM f)"""
+  {strip_sql(f"regexp_extract(folder, '{_PERIOD}', 5)")} AS t, regexp_extract(folder, '^(\\d{{4}})년$', 1) AS y FROM f)"""
 
 
 def _folders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +97,7 @@ def auto_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {FILES}, r AS (SELECT 'Portal Renewal' AS raw_name, 'portal' AS slug, 'The portal' AS title, false AS is_yearly UNION ALL SELECT 'plan 1987 to 2031', 'plans', 'Plans', true),
-j AS (SELECT n.*, r.*, split(path, '/')[3] AS top, split(path, '/')[4] AS sub, regexp_extract(split(path, '/')[4], '{_PERIOD}', 1) AS y, trim(regexp_extract(split(path, '/')[4], '{_PERIOD}', 5)) AS t FROM named n LEFT JOIN r ON raw_name = split(path, '/')[3])
+j AS (SELECT n.*, r.*, split(path, '/')[3] AS top, split(path, '/')[4] AS sub, regexp_extract(split(path, '/')[4], '{_PERIOD}', 1) AS y, {strip_sql(f"regexp_extract(split(path, '/')[4], '{_PERIOD}', 5)")} AS t FROM named n LEFT JOIN r ON raw_name = split(path, '/')[3])
 SELECT doc_id, CASE WHEN slug IS NOT NULL AND NOT is_yearly THEN slug WHEN coalesce(is_yearly, false) OR regexp_matches(top, '^\\d{{4}}년') THEN y || '-' || {_slug_sql('t')} ELSE {_slug_sql('top')} END AS project_slug,
   CASE WHEN slug IS NOT NULL AND NOT is_yearly THEN title WHEN coalesce(is_yearly, false) OR regexp_matches(top, '^\\d{{4}}년') THEN t ELSE top END AS project_title FROM j""")
 def resolve_project(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,14 +46,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 #: No table has files: each document stands in for one, with a name, folder and times made of its columns.
 EXTENSIONS = [".hwp", ".doc", ".docx", ".PPT", ".pptx", ".xls", ".xlsx", ".pdf", ".txt", ".sql", ".md", ".jpg"]
-NAMES = ["proposal v03", "design ver 1.2b", "report(final)", "src_20190412", "manual ver2.10", "meeting[2]", "latest", "contract-draft", "misc "]
-FOLDERS = ["(2015.3 - 2016.11) Core  System", "2004년", "__team-", "Portal Renewal", "plan 1987 to 2031"]
+NAMES = ["proposal v03", "design ver 1.2b", "report(final)", "src_20190412", "manual ver2.10", "meeting[2]", "latest", "contract-draft", "misc ", "report ver20230101120000", "plan\u3000ver\u30002.1", "guide Ver\u00a03.07c", "notes\u2003v12"]
+FOLDERS = ["(2015.3 - 2016.11) Core  System", "2004년", "__team-", "Portal Renewal", "plan 1987 to 2031", "(2015.3\u00a0- 2016.11)\u3000Core"]
 ROOT = "/corpus"
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = lambda xs, k: F.element_at(F.array(*map(F.lit, xs)), (F.col("doc_id") % k + 1).cast("int"))
-    path = F.concat_ws("/", F.lit(ROOT), pick(FOLDERS, 5), F.concat(F.lit("(2011.1 - 2012.2) "), F.col("source"), F.lit(" "), (F.col("doc_id") % 50 + 1985).cast("string")), F.col("lang"), F.concat(pick(NAMES, 9), F.lit("_"), F.col("doc_id").cast("string"), pick(EXTENSIONS, 12)))
+    path = F.concat_ws("/", F.lit(ROOT), pick(FOLDERS, len(FOLDERS)), F.concat(F.lit("(2011.1 - 2012.2) "), F.col("source"), F.lit(" "), (F.col("doc_id") % 50 + 1985).cast("string")), F.col("lang"), F.concat(pick(NAMES, len(NAMES)), F.lit("_"), F.col("doc_id").cast("string"), pick(EXTENSIONS, 12)))
     return table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), F.col("n_chars").alias("length"), (F.lit(1_600_000_000_000_000) + F.col("doc_id") * 3_600_000_000).alias("modificationTime"))
 
 
@@ -62,8 +62,8 @@ def _list(xs: list[str]) -> str:
 
 
 FILES = f"""files AS (
-  SELECT doc_id, '{ROOT}/' || {_list(FOLDERS)}[doc_id % 5 + 1] || '/(2011.1 - 2012.2) ' || source || ' ' || (doc_id % 50 + 1985)::VARCHAR || '/' || lang || '/'
-    || {_list(NAMES)}[doc_id % 9 + 1] || '_' || doc_id::VARCHAR || {_list(EXTENSIONS)}[doc_id % 12 + 1] AS path,
+  SELECT doc_id, '{ROOT}/' || {_list(FOLDERS)}[doc_id % {len(FOLDERS)} + 1] || '/(2011.1 - 2012.2) ' || source || ' ' || (doc_id % 50 + 1985)::VARCHAR || '/' || lang || '/'
+    || {_list(NAMES)}[doc_id % {len(NAMES)} + 1] || '_' || doc_id::VARCHAR || {_list(EXTENSIONS)}[doc_id % 12 + 1] AS path,
     n_chars AS length, 1600000000000000 + doc_id * 3600000000 AS mtime
   FROM documents
 ), named AS (SELECT *, split(path, '/')[-1] AS name, lower(regexp_extract(path, '[^/.][^/]*?(\\.[^./]+)$', 1)) AS ext FROM files)"""
