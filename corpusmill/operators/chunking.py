@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .tables import dropped, placed, written
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
@@ -77,20 +80,83 @@ def chunk_id(source: str) -> Column:
     return F.md5(F.concat_ws(":", F.coalesce(F.col(source), F.lit("unknown")), F.col("chunk_index").cast("string"), F.substring("text", 1, 50)))
 
 
+#: Items in a segment, in multiples of the most items that a batch holds.
+_SEGMENT = 16
+
+
+def _next_starts(tokens: np.ndarray, max_tokens: int, max_items: int) -> np.ndarray:
+    """For each item, where the batch that begins with it ends and the next begins."""
+    sums = np.concatenate([[0], np.cumsum(tokens)])
+    i = np.arange(len(tokens))
+    return np.clip(np.searchsorted(sums, sums[:-1] + max_tokens, "right") - 1, i + 1, i + max_items)
+
+
+def _ways(table: pa.Table, size: int, max_tokens: int, max_items: int) -> pa.Table:
+    """For each place where a batch may begin among a segment's first items: where the first batch of the next segment
+    begins if one begins here (an offset in that segment), and how many batches begin before it."""
+    at, tokens = table.column("_at").to_numpy(), table.column("_tokens").to_numpy()
+    order = np.argsort(at)
+    at, tokens = at[order], tokens[order]
+    n, entries = int((at < size).sum()), min(int((at < size).sum()), max_items)
+    to, begun = np.minimum(_next_starts(tokens, max_tokens, max_items), len(tokens)), np.ones(len(tokens), np.int64)
+    here = np.flatnonzero(to[:n] < n)
+    while here.size:  # pointers are doubled until all lead out of the segment
+        begun[here] += begun[to[here]]
+        to[here] = to[to[here]]
+        here = here[to[here] < n]
+    g, segment = table.column("_g")[0].as_py(), table.column("_segment")[0].as_py()
+    return pa.table({"_g": [g] * entries, "_segment": [segment] * entries, "_entry": np.arange(entries), "_exit": to[:entries] - n, "_begun": begun[:entries]})
+
+
+def _numbered(table: pa.Table, max_tokens: int, max_items: int) -> pa.Table:
+    """Adds batch to a segment's rows, which know their segment's first start and the batches begun before it."""
+    order = np.argsort(table.column("_i").to_numpy())
+    table = table.take(pa.array(order))
+    to = _next_starts(table.column("_tokens").to_numpy(), max_tokens, max_items)
+    entry, before = table.column("_entry")[0].as_py(), table.column("_begun")[0].as_py()
+    starts, at = np.zeros(len(order), np.int64), entry
+    while at < len(order):
+        starts[at] = 1
+        at = int(to[at])
+    return table.append_column("batch", pa.array(before - 1 + np.cumsum(starts)))
+
+
 def token_batches(items: DataFrame, group: list[str], order: list[str], tokens: str, max_tokens: int = 8000, max_items: int = 2048) -> DataFrame:
     """Adds batch (from 0 in each group): in order, an item begins a new batch if it would bring the one before
-    it over `max_tokens` or `max_items`. What comes next hangs on all before, so a group is a row while it
-    is cut: group by something that bounds it, such as a file and a part of it."""
-    fields = [c for c in items.columns if c not in group]
-    item = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in fields if c not in order])
-    start = F.struct(F.lit(0).cast("long").alias("batch"), F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("n"), F.array().cast("array<long>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        full = (acc["n"] > 0) & ((acc["sum"] + x[tokens] > max_tokens) | (acc["n"] >= max_items))
-        batch = acc["batch"] + F.when(full, 1).otherwise(0)
-        return F.struct(batch.alias("batch"), (F.when(full, 0).otherwise(acc["sum"]) + x[tokens]).cast("long").alias("sum"), (F.when(full, 0).otherwise(acc["n"]) + 1).cast("long").alias("n"), F.concat(acc["out"], F.array(batch)).alias("out"))
-
-    rows = items.groupBy(*group).agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    rows = rows.withColumn("_batches", F.aggregate("_items", start, step)["out"])
-    rows = rows.select(*group, F.explode(F.arrays_zip(F.col("_items").alias("item"), F.col("_batches").alias("batch"))).alias("_x"))
-    return rows.select(*group, *[F.col("_x.item")[c].alias(c) for c in fields], F.col("_x.batch").alias("batch"))
+    it over `max_tokens` or `max_items`. An item over `max_tokens` is a batch of its own; null tokens are none; rows that
+    are equal in `order` come in any order; a null group is a group.
+
+    What comes next hangs on all before, yet no task holds a group: it is cut into segments of a fixed number of items. A
+    batch that begins at one of a segment's first `max_items` items leads to one start in the next segment. These pointers
+    are doubled, joined with themselves over 2, 4, 8... segments, and followed from the group's first item to the first
+    start of each segment, within which starts follow from each other."""
+    size = _SEGMENT * max_items
+    names = [*items.columns, "batch"]
+    laid = placed(items.withColumn("_tokens", F.coalesce(F.col(tokens), F.lit(0)).cast("long")), group, order)
+    rows = written(laid.withColumn("_segment", F.floor(F.col("_i") / size)))
+    dropped(laid)
+    at = F.col("_i") - F.col("_segment") * size
+    # A segment also sees the items that its last batch may take of the next.
+    own, more = rows.select("_g", "_segment", at.alias("_at"), "_tokens"), rows.where((at < max_items) & (F.col("_segment") > 0))
+    seen = own.unionByName(more.select("_g", (F.col("_segment") - 1).alias("_segment"), (at + size).alias("_at"), "_tokens"))
+    ways = seen.groupBy("_g", "_segment").applyInArrow(lambda t: _ways(t, size, max_tokens, max_items), "_g string, _segment long, _entry long, _exit long, _begun long")
+    step, last = written(ways), rows.agg(F.max("_segment")).first()[0] or 0
+    # Only starts that some start of the segment before leads to can ever be met.
+    met = step.select("_g", (F.col("_segment") + 1).alias("_segment"), F.col("_exit").alias("_entry")).distinct()
+    steps = [step, written(step.where("_segment = 0 AND _entry = 0").unionByName(step.where("_segment > 0").join(met, ["_g", "_segment", "_entry"], "left_semi")))]
+    levels, span = [steps[1]], 1
+    while span * 2 <= last:
+        a = levels[-1].where(F.col("_segment") % (2 * span) == 0)
+        b = levels[-1].select("_g", (F.col("_segment") - span).alias("_segment"), F.col("_entry").alias("_exit"), F.col("_exit").alias("_to"), F.col("_begun").alias("_more"))
+        levels.append(written(a.join(b, ["_g", "_segment", "_exit"]).select("_g", "_segment", "_entry", F.col("_to").alias("_exit"), (F.col("_begun") + F.col("_more")).alias("_begun"))))
+        span *= 2
+    reached = [written(step.where("_segment = 0 AND _entry = 0").select("_g", "_segment", "_entry", F.lit(0).cast("long").alias("_begun")))]
+    for level in reversed(levels) if last else ():
+        ahead = reached[-1].join(level.withColumnRenamed("_begun", "_more"), ["_g", "_segment", "_entry"])
+        ahead = ahead.select("_g", (F.col("_segment") + span).alias("_segment"), F.col("_exit").alias("_entry"), (F.col("_begun") + F.col("_more")).alias("_begun"))
+        reached.append(written(reached[-1].unionByName(ahead)))
+        span //= 2
+    held = rows.join(reached[-1], ["_g", "_segment"])
+    out = written(held.groupBy("_g", "_segment").applyInArrow(lambda t: _numbered(t, max_tokens, max_items), held.withColumn("batch", F.lit(0).cast("long")).schema).select(*names))
+    dropped(rows, *steps, *levels[1:], *reached)
+    return out

@@ -51,17 +51,20 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH RECURSIVE items AS (
-  SELECT source, doc_id // 1000 AS part, doc_id, ceil(strlen(coalesce(text, '')) / 4.0)::BIGINT AS tokens, row_number() OVER (PARTITION BY source, doc_id // 1000 ORDER BY doc_id) AS k FROM documents
+  SELECT CASE WHEN doc_id % 10 > 0 THEN 'hot' ELSE source END AS source, doc_id, ceil(strlen(coalesce(text, '')) / 4.0)::BIGINT AS tokens FROM documents
+), placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM items
 ), fold AS (
-  SELECT source, part, doc_id, tokens, k, 0::BIGINT AS batch, tokens AS s, 1::BIGINT AS n FROM items WHERE k = 1
+  SELECT source, doc_id, tokens, k, 0::BIGINT AS batch, tokens AS s, 1::BIGINT AS n FROM placed WHERE k = 1
   UNION ALL
-  SELECT i.source, i.part, i.doc_id, i.tokens, i.k, CASE WHEN f.s + i.tokens > 8000 OR f.n >= 16 THEN f.batch + 1 ELSE f.batch END,
+  SELECT i.source, i.doc_id, i.tokens, i.k, CASE WHEN f.s + i.tokens > 8000 OR f.n >= 16 THEN f.batch + 1 ELSE f.batch END,
     CASE WHEN f.s + i.tokens > 8000 OR f.n >= 16 THEN i.tokens ELSE f.s + i.tokens END, CASE WHEN f.s + i.tokens > 8000 OR f.n >= 16 THEN 1 ELSE f.n + 1 END
-  FROM fold f JOIN items i ON i.source = f.source AND i.part = f.part AND i.k = f.k + 1
-) SELECT source, part, doc_id, tokens, batch FROM fold""")
+  FROM fold f JOIN placed i ON i.source = f.source AND i.k = f.k + 1
+) SELECT source, doc_id, tokens, batch FROM fold""")
 def token_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = _docs(spark, sf_dir).select("source", F.floor(F.col("doc_id") / 1000).alias("part"), "doc_id", text.estimated_tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
-    return chunking.token_batches(items, ["source", "part"], ["doc_id"], "tokens", 8000, 16)
+    """Whole sources; one of them has nine rows of ten."""
+    source = F.when(F.col("doc_id") % 10 > 0, "hot").otherwise(F.col("source"))
+    items = _docs(spark, sf_dir).select(source.alias("source"), "doc_id", text.estimated_tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
+    return chunking.token_batches(items, ["source"], ["doc_id"], "tokens", 8000, 16)
 
 
 @query("SELECT source, sum(ceil(strlen(coalesce(text, '')) / 4.0))::BIGINT AS tokens FROM documents GROUP BY source")
