@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ingest_queries, record_queries, text_queries  # noqa: F401  they register their queries
+from . import ingest_queries, record_queries, stream_queries, text_queries  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, Query
 
 
