@@ -11,13 +11,13 @@ from corpusmill.llm import queries
 
 def test_names():
     names = set(entry.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     df = queries.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
