@@ -36,8 +36,8 @@ def with_retries(call: Callable[[], T], retries: int = 3, base: float = 1.0, mos
 
 
 class RateLimiter:
-    """Requests and tokens a minute, with a second's budget at first and ten seconds' at most. One serves a
-    task, with the service's rate divided by the number of tasks. What could never be granted is an error."""
+    """Requests and tokens a minute, with a second's budget at first and ten seconds' at most. What could never be granted
+    is an error. Tasks that share a rate each keep one and acquire what all of them send, in one order."""
 
     def __init__(self, requests: float = 3000, tokens: float = 900_000, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
         self.rates, self.clock, self.sleep = (requests / 60, tokens / 60), clock, sleep

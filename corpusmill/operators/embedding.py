@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.resilience import RateLimiter, with_retries
+from .chunking import token_batches
+from .tables import dropped, written
 
 Provider = Callable[[list[str]], np.ndarray]
 
@@ -66,3 +73,64 @@ def embedded(chunks: DataFrame, provider: Callable[[], Provider] | None = None,
 
     chunks = chunks.drop("embedding")
     return chunks.mapInPandas(run, chunks.withColumn("embedding", F.array().cast("array<float>")).schema)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        yield from batch.to_pylist()
+
+
+def in_rounds(mine: Iterator[tuple[int, Callable[[], object]]], gather: Callable[[str], list[str]], place: int, limiter: RateLimiter) -> Iterator[object]:
+    """What the calls of `mine` (tokens, call) return, one a round. In each round all workers tell what they are about to send; each acquires the
+    tokens of all, in the order of the workers, and sends when its own turn has come. So all keep the same account of one
+    rate, whoever has more left to do, and go on until nobody has."""
+    while True:
+        tokens, call = next(mine, (None, None))
+        told = [json.loads(x) for x in gather(json.dumps(tokens))]
+        if all(x is None for x in told):
+            return
+        for k, n in enumerate(told):
+            if n is not None:
+                limiter.acquire(n)
+            if k == place and call is not None:
+                yield call()
+
+
+def embedded_by_budget(chunks: DataFrame, order: list[str], tokens: str, provider: Callable[[], Provider] | None = None, dimension: int = 384, max_tokens: int = 8000, max_items: int = 2048, rate: float = 900_000, requests: float = 3000, workers: int | None = None) -> DataFrame:
+    """Adds batch and `embedding` (array<float>) to `chunks` (text, `tokens`, others), written: the provider gets the batches of `token_batches` in
+    the order of `order`, one request each, and all `workers` (barrier tasks, by default one for each core) together make no more than
+    `rate` tokens and `requests` a minute. A vector stays with its row. A batch that fails goes on one by one, and a text that fails alone
+    gets zeros; a text with more tokens than ten seconds of the rate is an error. If a worker is lost, all begin anew."""
+    provider = provider or hashing(dimension)
+    workers = workers or chunks.sparkSession.sparkContext.defaultParallelism
+    rows = token_batches(chunks.drop("embedding", "batch"), [], order, tokens, max_tokens, max_items)
+    schema = rows.withColumn("embedding", F.array().cast("array<float>")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, model = BarrierTaskContext.get(), provider()
+
+        def vectors(texts: list[str]) -> np.ndarray:
+            try:
+                return with_retries(lambda: model(texts))
+            except Exception:
+                if len(texts) == 1:
+                    return np.zeros((1, dimension), np.float32)
+                return np.concatenate([vectors([t]) for t in texts])
+
+        def call(part: list[dict]) -> Callable[[], list[dict]]:
+            texts = [(r["text"] or "").replace("\0", "").strip() or " " for r in part]
+            return lambda: [{**r, "embedding": v.tolist()} for r, v in zip(part, np.asarray(vectors(texts), np.float32), strict=True)]
+
+        parts = (list(p) for _, p in groupby(_rows(batches), lambda r: r["batch"]))
+        mine = ((sum(r[tokens] or 0 for r in p), call(p)) for p in parts)
+        limiter = RateLimiter(requests, rate, time.monotonic, time.sleep)
+        for found in in_rounds(mine, context.allGather, context.partitionId(), limiter):
+            yield pa.RecordBatch.from_pylist(found, arrow)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(schema)
+    dealt = rows.repartition(workers, "batch").sortWithinPartitions("batch", *order)
+    out = written(dealt.mapInArrow(run, schema, barrier=True))
+    dropped(rows)
+    return out

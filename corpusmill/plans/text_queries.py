@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from html import unescape
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import text, vectors
+from ..functions import bpe, text, vectors
 from ..operators import chunking, embedding, search
 from ..sources.files import converted
 from ..streaming.ingest import file_stream, ingest
@@ -67,6 +68,37 @@ def token_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.token_batches(items, ["source"], ["doc_id"], "tokens", 8000, 16)
 
 
+def _counter(spark: SparkSession):
+    return bpe.token_counter(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query()
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-pair tokens: beyond SQL, so the tests hold them against the library of the vocabulary."""
+    return _docs(spark, sf_dir).select("doc_id", "source", _counter(spark)("text").alias("tokens"))
+
+
+@query()
+def token_batches_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _docs(spark, sf_dir).select("source", "doc_id", _counter(spark)("text").alias("tokens"))
+    return chunking.token_batches(items, ["source"], ["doc_id"], "tokens")
+
+
+@query("""WITH RECURSIVE items AS (SELECT doc_id, ceil(strlen(coalesce(text, '')) / 4.0)::BIGINT AS tokens, row_number() OVER (ORDER BY doc_id) AS k FROM documents
+), fold AS (
+  SELECT doc_id, tokens, k, 0::BIGINT AS batch, tokens AS s, 1::BIGINT AS n FROM items WHERE k = 1
+  UNION ALL
+  SELECT i.doc_id, i.tokens, i.k, CASE WHEN f.s + i.tokens > 8000 OR f.n >= 64 THEN f.batch + 1 ELSE f.batch END,
+    CASE WHEN f.s + i.tokens > 8000 OR f.n >= 64 THEN i.tokens ELSE f.s + i.tokens END, CASE WHEN f.s + i.tokens > 8000 OR f.n >= 64 THEN 1 ELSE f.n + 1 END
+  FROM fold f JOIN items i ON i.k = f.k + 1
+) SELECT doc_id, tokens, batch, 64 AS dimension FROM fold""")
+def embed_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches and vectors of all documents under one rate (high, as no service is asked)."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text", text.estimated_tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
+    made = embedding.embedded_by_budget(docs, ["doc_id"], "tokens", dimension=64, max_items=64, rate=6e9, requests=6e6)
+    return made.select("doc_id", "tokens", "batch", F.size("embedding").alias("dimension"))
+
+
 @query("SELECT source, sum(ceil(strlen(coalesce(text, '')) / 4.0))::BIGINT AS tokens FROM documents GROUP BY source")
 def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).groupBy("source").agg(F.sum(text.estimated_tokens(F.coalesce("text", F.lit("")))).alias("tokens"))
