@@ -49,13 +49,13 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def postings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """row, doc_id, n (the document's terms with repeats), term, tf: for each row and each term of `wanted` in its text, and
-    the empty term, whose tf is n, for each text that has terms. `row` is new and tells rows with one doc_id apart."""
+    """row, doc_id, n (the document's terms with repeats), term, tf: for each row and each term of `wanted` (each once) in its
+    text; the empty term's tf is n, in each text that has terms. `row` is new and tells rows with one doc_id apart."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
     bags = rows.mapInArrow(_bags, "row long, doc_id long, terms array<string>, times array<long>")
     each = bags.select("row", "doc_id", F.get("times", F.lit(0)).alias("n"), F.inline(F.arrays_zip("terms", "times")).alias("term", "tf"))
-    return each.join(wanted.select("term").unionByName(docs.sparkSession.createDataFrame([("",)], "term string")).distinct(), "term")
+    return each.join(wanted, "term")
 
 
 def treap(impacts: list[int]) -> tuple[list[int], list[int]]:
@@ -225,7 +225,9 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 50, shard: int = SHARD,
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = queries.select(name.alias("query"), F.explode(F.regexp_extract_all(lower, F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"))).alias("term"))
     words = written(words.distinct())
-    found = written(postings(docs, words))
+    # As a table its size is known beforehand, so that a small one is sent to where the texts are.
+    wanted = written(words.select("term").unionByName(docs.sparkSession.createDataFrame([("",)], "term string")).distinct())
+    found = written(postings(docs, wanted))
     held = found.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("times"))
     n_docs, length = held.where(F.col("term") == "").select("df", "times").first() or (0, 1)
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2) / (2 * F.col("df") + 1)))
@@ -236,7 +238,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 50, shard: int = SHARD,
     best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
     top = lambda x: x.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     early = -(-shards // first)
-    tables, rest = [words, found, known, treaps], None
+    tables, rest = [words, wanted, found, known, treaps], None
     parts = written(top(_part(treaps.where(F.col("shard") < early), known, F.sequence(F.lit(0).cast("long"), F.lit(early - 1).cast("long")), None, k)).drop("rank"))
     tables.append(parts)
     if early < shards:
