@@ -15,9 +15,9 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity; 0 where either vector is 0."""
+    """Cosine similarity; 0 where either vector is null, 0 or has a null, or their lengths differ."""
     n = norm(a) * norm(b)
-    return F.when(n > 0, dot(a, b) / n).otherwise(0.0)
+    return F.when(n > 0, F.coalesce(dot(a, b) / n, F.lit(0.0))).otherwise(0.0)
 
 
 def unit(a: Column) -> Column:

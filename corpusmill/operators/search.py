@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -44,60 +44,60 @@ def top_k(vectors: DataFrame, query: list[float], k: int = 10, key: str = "chunk
     return vectors.withColumn("score", cosine(F.col("embedding"), literal)).orderBy(F.desc("score"), key).limit(k)
 
 
-def top_k_each(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "chunk_id", query_key: str = "query_id", block: int = 1024) -> DataFrame:
-    """query_key, key, score, rank: the k rows of `vectors` nearest to each query by cosine (ties by key).
-
-    Queries go in blocks of bounded size to every task; a task holds one batch of vectors against each
-    block with a matrix product and passes on at most k rows a query. Wider query sets mean more passes
-    over the vectors, never a larger broadcast."""
-    spark = vectors.sparkSession
-    kinds = {**dict(vectors.dtypes), **{query_key: dict(queries.dtypes)[query_key]}}
-    schema = f"{query_key} {kinds[query_key]}, {key} {kinds[key]}, score double"
-    found = None
-    for part in _blocks(queries.select(query_key, "embedding"), query_key, block):
-        ids = part[query_key].to_numpy()
-        shared = spark.sparkContext.broadcast((ids, _units(part["embedding"])))
-
-        def nearest(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, q = shared.value
-            best: pd.DataFrame | None = None
-            for batch in batches:
-                if not len(batch):
-                    continue
-                scores = q @ _units(batch["embedding"]).T
-                n = min(k, scores.shape[1])
-                least = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
-                i, j = np.nonzero(scores >= least[:, None])
-                rows = pd.DataFrame({query_key: ids[i], key: batch[key].to_numpy()[j], "score": scores[i, j]})
-                rows = rows if best is None else pd.concat([best, rows])
-                best = rows.sort_values([query_key, "score", key], ascending=[True, False, True]).groupby(query_key).head(k)
-            if best is not None:
-                yield best
-
-        rows = vectors.select(key, "embedding").mapInPandas(nearest, schema)
-        found = rows if found is None else found.unionByName(rows)
-    if found is None:
-        found = spark.createDataFrame([], schema)
+#: Rows of vectors, and queries, that a task holds against each other, about.
+PART_ROWS, BLOCK_QUERIES = 1 << 16, 1 << 12
+
+
+def top_k_each(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "chunk_id", query_key: str = "query_id", block: int = BLOCK_QUERIES, part_rows: int = PART_ROWS) -> DataFrame:
+    """query_key, key, score, rank: the k rows of `vectors` nearest to each query by cosine (ties by key), all of them
+    compared. As in `top_k`, the score is 0 where either vector is null, all zeros, has a null or another length.
+
+    Vectors and queries are dealt by hash into parts and blocks of bounded size; each part meets each block in a task, with a matrix
+    product, and passes on at most k rows a query. Nothing goes through the driver."""
+    parts = max(1, -(-vectors.count() // part_rows))
+    dealt = vectors.select(F.lit(0).alias("list"), F.pmod(F.xxhash64(key), F.lit(parts)).alias("part"), key, "embedding")
+    asked = queries.select(F.lit(0).alias("list"), query_key, "embedding")
+    return best_of_parts(dealt, asked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))), k, key, query_key, max(1, -(-queries.count() // block)))
+
+
+def best_of_parts(vectors: DataFrame, asked: DataFrame, k: int, key: str, query_key: str, blocks: int) -> DataFrame:
+    """The k nearest for each query: `vectors` (list, part, key, embedding) against the rows of `asked` (list, part, query_key, embedding) with
+    the same list and part. Queries are dealt into `blocks`, and each part of vectors goes to each of them."""
+    kinds = {**dict(vectors.dtypes), query_key: dict(asked.dtypes)[query_key]}
+    schema = f"`{query_key}` {kinds[query_key]}, `{key}` {kinds[key]}, score double"
+    left = vectors.withColumn("side", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    right = asked.select(F.col("list").alias("_list"), F.col("part").alias("_part"), F.col(query_key).alias("_query"), F.col("embedding").alias("_wanted"), F.pmod(F.xxhash64(query_key), F.lit(blocks)).alias("_block"))
+
+    def nearest(rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(wanted):
+            return pd.DataFrame({query_key: [], key: [], "score": []})
+        size = next((len(v) for v in wanted["_wanted"] if v is not None), 0)
+        ids, places, v, found = wanted["_query"].to_numpy(), rows[key].to_numpy(), _units(rows["embedding"], size), []
+        q = _units(wanted["_wanted"], size)
+        for at in range(0, len(q), 256):
+            scores = q[at : at + 256] @ v.T
+            n = min(k, scores.shape[1])
+            least = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
+            i, j = np.nonzero(scores >= least[:, None])
+            best = pd.DataFrame({query_key: ids[at + i], key: places[j], "score": scores[i, j]})
+            found.append(best.sort_values([query_key, "score", key], ascending=[True, False, True]).groupby(query_key, dropna=False).head(k))
+        return pd.concat(found)
+
+    found = left.groupBy("list", "part", "side").cogroup(right.groupBy("_list", "_part", "_block")).applyInPandas(nearest, schema)
     rank = F.row_number().over(Window.partitionBy(query_key).orderBy(F.desc("score"), key))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def _units(vectors: pd.Series) -> np.ndarray:
-    m = np.stack([np.asarray(v, np.float64) for v in vectors])
+def _units(vectors: pd.Series, size: int) -> np.ndarray:
+    """Rows of length 1, or of zeros for what is no vector of `size` numbers."""
+    m = np.zeros((len(vectors), size))
+    for row, v in zip(m, vectors, strict=True):
+        if v is not None and len(v) == size:
+            row[:] = np.asarray(v, np.float64)
+    m[~np.isfinite(m).all(1)] = 0
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
 
-def _blocks(queries: DataFrame, key: str, block: int) -> Iterator[pd.DataFrame]:
-    rows, n = [], 0
-    for row in queries.orderBy(key).toLocalIterator():
-        rows.append(row)
-        if len(rows) == block:
-            yield pd.DataFrame(rows, columns=queries.columns)
-            rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=queries.columns)
-
-
 def shown(found: DataFrame, *names: str, preview: int = 500) -> DataFrame:
     """Search results for display: the text's start, the score to four places, '' for missing metadata."""
     return found.select("chunk_id", F.substring("text", 1, preview).alias("text"), F.round("score", 4).alias("score"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in names])

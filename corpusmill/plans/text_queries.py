@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import bpe, text, vectors
-from ..operators import chunking, embedding, search
+from ..operators import chunking, embedding, search, vector_index
 from ..sources.files import converted
 from ..streaming.ingest import file_stream, ingest
 from .registry import query, shared_folder, strip_sql, table
@@ -139,6 +139,31 @@ def vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k_each(rows, queries).withColumn("score", F.round("score", 6))
 
 
+_EACH = """WITH s AS (SELECT q.vec_id AS query_id, v.vec_id AS chunk_id, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS s FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, chunk_id) AS rank FROM s)
+SELECT query_id, chunk_id, round(s, 6) AS score, rank::INT AS rank FROM r WHERE rank <= 10"""
+
+
+def _indexed(spark: SparkSession, sf_dir: str, exact: bool) -> DataFrame:
+    rows = _vectors(spark, sf_dir)
+    queries = rows.where("chunk_id % 100 = 0").select(F.col("chunk_id").alias("query_id"), "embedding")
+    held = vector_index.built(rows.select("chunk_id", "embedding"), vector_index.centres(rows, 32))
+    probe = None if exact else vector_index.probe_for(held, queries, 0.95)
+    return vector_index.search(held, queries, probe=probe).withColumn("score", F.round("score", 6))
+
+
+@query(_EACH)
+def vector_index_all_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index with all its lists is exact."""
+    return _indexed(spark, sf_dir, True)
+
+
+@query()
+def vector_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many of the nearest lists as a recall of 0.95 takes."""
+    return _indexed(spark, sf_dir, False)
+
+
 @query(f"{_SCORED} SELECT chunk_id, substr(text, 1, 500) AS text, round(s, 4) AS score, coalesce(project, '') AS project, file_name FROM scored ORDER BY s DESC, chunk_id LIMIT 25")
 def search_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.shown(search.top_k(_vectors(spark, sf_dir), _query_vector(spark, sf_dir), 25), "project", "file_name")

@@ -113,7 +113,7 @@ def test_search(spark):
     want = {q: sorted(range(61), key=lambda i: (-round(float(units[q] @ units[i]), 12), i))[:5] for q in (0, 7, 20)}
     assert [r.chunk_id for r in search.top_k(df, vectors[7][1], 5).collect()] == want[7]
     queries = df.where(F.col("chunk_id").isin(0, 7, 20)).withColumnRenamed("chunk_id", "query_id")
-    rows = search.top_k_each(df, queries, 5, block=2).collect()
+    rows = search.top_k_each(df, queries, 5, block=2, part_rows=7).collect()
     assert {q: [r.chunk_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == q] for q in want} == want
     assert search.top_k_each(df, queries.limit(0), 5).count() == 0
     zero = F.array(*[F.lit(0.0)] * 8)
