@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
-from ..operators import reports, requirements
+from ..operators import pages, reports, requirements
+from ..operators.tables import deleted, new_folder, written
 from .registry import FILES, ROOT, SPACE, files, query, strip_sql, table
 
 _WORD, _INCLUDE, _PREFIX, _EXCLUDE, _FOLDERS = "ver", ["ver 1", "ver2"], "manual", ["meeting", "draft"], ["team", "1999"]
@@ -227,3 +228,73 @@ SELECT project_slug, (k + 2)::INT AS place, '| ' || source_file || ' | ' || cell
 UNION ALL SELECT DISTINCT project_slug, 1, '| File | Name | Type |' FROM items UNION ALL SELECT DISTINCT project_slug, 2, '|---|---|---|' FROM items""")
 def project_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_lines(_items(spark, sf_dir), ["project_slug"], ["source_file", "pos"], ["source_file", "name", "type"], ["File", "Name", "Type"])
+
+
+_HOT = _ITEMS.replace("'project-' || (conv_id % 12)::VARCHAR AS project_slug", "CASE WHEN conv_id % 10 > 0 THEN 'project-hot' ELSE 'project-' || (conv_id % 12)::VARCHAR END AS project_slug").replace("'Project ' || (conv_id % 12)::VARCHAR AS project_title", "CASE WHEN conv_id % 10 > 0 THEN 'Project hot' ELSE 'Project ' || (conv_id % 12)::VARCHAR END AS project_title")
+
+
+def _hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items, nine conversations of ten in one project."""
+    hot = F.regexp_extract("source_file", "([0-9]+)", 1).cast("long") % 10 > 0
+    return _items(spark, sf_dir).withColumns({"project_slug": F.when(hot, "project-hot").otherwise(F.col("project_slug")), "project_title": F.when(hot, "Project hot").otherwise(F.col("project_title"))})
+
+
+def _as_files(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Lines as pages on disk, and what is then read from there."""
+    top = new_folder(spark)
+    pages.write_pages(lines, top)
+    out = written(spark.read.option("recursiveFileLookup", True).text(top, wholetext=True).select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("text")))
+    deleted(spark, top)
+    return out
+
+
+def _esc(x: str) -> str:
+    return strip_sql(f"replace(replace(coalesce({x}, ''), '|', chr(92) || '|'), chr(10), ' ')")
+
+
+@query(f"""{_HOT}, rows AS (SELECT *, project_slug || '.md' AS page, row_number() OVER (PARTITION BY project_slug ORDER BY source_file, pos) AS k FROM items
+), totals AS (SELECT page, max(project_slug) AS slug, max(project_title) AS title, count(DISTINCT source_file) AS files, count(*) AS n FROM rows GROUP BY page
+), types AS (SELECT page, string_agg(type || ' ' || n, ', ' ORDER BY n DESC, type || ' ' || n) AS types FROM (SELECT page, type, count(*) AS n FROM rows GROUP BY ALL) GROUP BY page
+), sources AS (SELECT page, string_agg('- `' || source_file || '`', chr(10) ORDER BY source_file) AS sources FROM (SELECT DISTINCT page, source_file FROM rows) GROUP BY page
+), tables AS (SELECT page, string_agg('| ' || printf('R-%03d', k) || ' | ' || {_esc('name')} || ' | ' || {_esc('detail')} || ' | ' || {_esc('type')} || ' | ' || {_esc('strategy')} || ' | ' || {_esc('source_file')} || ' |', chr(10) ORDER BY k) AS body FROM rows GROUP BY page)
+SELECT page AS name, concat_ws(chr(10), '---', 'project: "' || slug || '"', 'title: "' || title || '"', 'sources: ' || files, 'requirements: ' || n, '---', '', '# ' || title, '', '- Sources: ' || files, '- Requirements: ' || n, '- Types: ' || types,
+  '', '## Sources', '', sources, '', '## Requirements', '', '| ID | Name | Requirement | Type | Strategy | Source |', '|---|---|---|---|---|---|', body, '') AS text FROM totals JOIN types USING (page) JOIN sources USING (page) JOIN tables USING (page)""")
+def project_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_files(spark, pages.project_pages(_hot_items(spark, sf_dir)))
+
+
+@query(f"""{_HOT}, types AS (SELECT type, count(*) AS n FROM items GROUP BY type
+), own AS (SELECT project_slug, type || '(' || count(*) || ')' AS shown, count(*) AS n FROM items GROUP BY project_slug, type
+), best AS (SELECT project_slug, string_agg(shown, ', ' ORDER BY n DESC, shown) AS top FROM (SELECT * FROM own QUALIFY row_number() OVER (PARTITION BY project_slug ORDER BY n DESC, shown) <= 3) GROUP BY project_slug
+), projects AS (SELECT project_slug, max(project_title) AS title, count(DISTINCT source_file) AS files, count(*) AS n FROM items GROUP BY project_slug)
+SELECT 'index.md' AS name, concat_ws(chr(10), '# Requirements', '', (SELECT '- Projects: ' || count(*) FROM projects), (SELECT '- Sources: ' || sum(files) FROM projects), (SELECT '- Requirements: ' || sum(n) FROM projects), '', '## Types', '', '| Type | Requirements |', '|---|---|',
+  (SELECT string_agg('| ' || type || ' | ' || n || ' |', chr(10) ORDER BY n DESC, type) FROM types), '', '## Projects', '', '| Project | Requirements | Types | Page |', '|---|---|---|---|',
+  (SELECT string_agg('| ' || title || ' | ' || n || ' | ' || top || ' | [' || project_slug || '](./' || project_slug || '.md) |', chr(10) ORDER BY n DESC, project_slug) FROM projects JOIN best USING (project_slug)), '') AS text""")
+def index_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_files(spark, pages.index_page(_hot_items(spark, sf_dir)))
+
+
+@query(f"""{_COUNTS}, p AS (SELECT *, regexp_extract(project, '{_PERIOD}', 1) AS y1, regexp_extract(project, '{_PERIOD}', 2) AS m1, regexp_extract(project, '{_PERIOD}', 3) AS y2, regexp_extract(project, '{_PERIOD}', 4) AS m2, {strip_sql(f"regexp_extract(project, '{_PERIOD}', 5)")} AS t FROM c
+), q AS (SELECT *, CASE WHEN y1 <> '' THEN y1 || '-' || lpad(m1, 2, '0') END AS a, CASE WHEN y1 <> '' THEN y2 || '-' || lpad(m2, 2, '0') END AS b, CASE WHEN y1 <> '' THEN t ELSE project END AS title, CASE WHEN y1 <> '' THEN y1 ELSE 'undated' END AS year,
+  coalesce(array_to_string(list_transform(list_sort(list_transform(f, lambda x: struct_pack(n := -x.n, ext := x.ext)))[1:3], lambda x: x.ext || ':' || (-x.n)::VARCHAR), ', '), '') AS formats FROM p
+), y AS (SELECT year, concat_ws(chr(10), '', '## ' || CASE year WHEN 'undated' THEN 'Undated' ELSE year END || ' (' || count(*) || ')', '', '| Title | Period | Files | Formats | Page |', '|---|---|---|---|---|',
+  string_agg('| ' || {_esc('title')} || ' | ' || coalesce(a, '-') || coalesce(' ~ ' || b, '') || ' | ' || file_count || ' | ' || formats || ' | [' || project || '](./' || project || '/index.md) |', chr(10) ORDER BY coalesce(a, '9999'), project)) AS body FROM q GROUP BY year)
+SELECT 'by-year.md' AS name, concat_ws(chr(10), '# Projects by year', '', (SELECT '- Projects: ' || count(*) FROM q), (SELECT '- Files: ' || sum(file_count) FROM q), (SELECT string_agg(body, chr(10) ORDER BY year = 'undated', year DESC) FROM y), '') AS text""")
+def year_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _counted(spark, sf_dir).withColumn("f", text.folder_fields("project"))
+    rows = rows.select(F.col("project").alias("id"), F.col("f.title").alias("title"), F.col("f.period_start").alias("period_start"), F.col("f.period_end").alias("period_end"), "file_count", reports.top_formats().alias("formats"))
+    return _as_files(spark, pages.year_page(rows))
+
+
+@query("""SELECT p_partkey AS id, p_name AS title, p_size AS file_count, CASE WHEN p_partkey % 3 = 0 THEN 'kept' ELSE 'new' END AS status, CASE WHEN p_partkey % 4 = 0 THEN 'note ' || p_partkey END AS note, CASE WHEN p_partkey % 4 = 0 THEN p_partkey * 2 END AS depth FROM part""")
+def page_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as projects with pages whose YAML headers have fields of their own: forced ones are set anew, defaulted ones only where they are
+    missing, and what nothing here knows of survives."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_size").alias("file_count"))
+    own = F.when(F.col("id") % 4 == 0, F.concat(F.lit("note: note "), F.col("id").cast("string"), F.lit("\nmore:\n  depth: "), (F.col("id") * 2).cast("string"), F.lit("\n  list: [1, two]"))).otherwise("")
+    status = F.when(F.col("id") % 3 == 0, "status: kept\n").otherwise("")
+    old = part.where("id % 5 <> 1").select("id", F.concat(F.lit("file_count: -1\n"), status, own).alias("header")).unionByName(part.where("id % 5 = 1").select("id", F.concat(status, own).alias("header")))
+    new = part.withColumn("status", F.lit("new"))
+    fields = pages.merged_fields(pages.with_fields(old), new, ["title", "file_count"], ["status"])
+    get = lambda path, kind: F.try_variant_get("fields", path, kind)
+    return fields.select("id", get("$.title", "string").alias("title"), get("$.file_count", "int").alias("file_count"), get("$.status", "string").alias("status"), get("$.note", "string").alias("note"), get("$.more.depth", "long").alias("depth"))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import struct
+from collections.abc import Iterator
 from html import unescape
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import bpe, text, vectors
 from ..operators import chunking, embedding, search, vector_index
+from ..sources import compound
 from ..sources.files import converted
 from ..streaming.ingest import file_stream, ingest
 from .registry import query, shared_folder, strip_sql, table
@@ -242,6 +246,28 @@ def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return converted(pages, {".html": _bare_html}).select("page_id", "text", "error")
 
 
+def _contained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text as a word-processor file: packed or not, and every fiftieth with a directory that leads to itself."""
+    for batch in batches:
+        out = []
+        for doc_id, body in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            packed = doc_id % 4 > 0
+            data = compound.build({"FileHeader": bytes(36) + bytes([packed]) + bytes(219), "BodyText/Section0": compound.hwp_section(body or "", packed), "DocInfo": b"x" * (doc_id % 9000)})
+            if doc_id % 50 == 0:
+                directory, table = struct.unpack_from("<I", data, 48)[0], struct.unpack_from("<I", data, 76)[0]
+                at = (table + 1) * 512 + 4 * directory
+                data = data[:at] + struct.pack("<I", directory) + data[at + 4 :]
+            out.append(data)
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([".hwp"] * len(out)), pa.array(out, pa.binary())], ["doc_id", "ext", "content"])
+
+
+@query(r"""WITH d AS (SELECT doc_id, regexp_replace(replace(coalesce(text, ''), chr(13), chr(10)), '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g') AS text FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 50 > 0 THEN CASE WHEN """ + strip_sql("text") + r""" = '' THEN '' ELSE text END END AS text, CASE WHEN doc_id % 50 = 0 THEN 'conversion: Damaged: chain without an end' END AS error FROM d""")
+def compound_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = _docs(spark, sf_dir).select("doc_id", "text").mapInArrow(_contained, "doc_id long, ext string, content binary")
+    return converted(held).select("doc_id", "text", "error")
+
+
 @query()
 def embed_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.embedded(_docs(spark, sf_dir).select("doc_id", "text"), dimension=64).select("doc_id", "embedding")

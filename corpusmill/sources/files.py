@@ -8,6 +8,7 @@ import struct
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from functools import partial
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
+from .compound import Compound, Damaged
 
 Converter = Callable[[bytes], str]
 
@@ -170,8 +172,40 @@ def salvaged(data: bytes) -> str:
     return ""
 
 
-#: By extension. Others (PDF and the older binary formats need libraries) are added by the caller.
-CONVERTERS: dict[str, Converter] = {**{e: plain_text for e in rules.TEXT_EXTENSIONS}, ".docx": docx, ".pptx": pptx, ".xlsx": xlsx}
+def hwp(data: bytes) -> str:
+    """The body sections of a word-processor file in their order; one that cannot be unpacked is left out."""
+    held, out, n = Compound(data), [], 0
+    compressed = bool(held.stream("FileHeader")[36] & 1)
+    while (name := f"BodyText/Section{n}") in held:
+        n += 1
+        try:
+            out.append(hwp_paragraphs(held.stream(name), compressed))
+        except zlib.error:
+            continue
+    return "\n".join(x for x in out if x)
+
+
+def doc(data: bytes) -> str:
+    """What can be read of the main stream, else of the table stream."""
+    held = Compound(data)
+    if "WordDocument" not in held:
+        return ""
+    return salvaged(held.stream("WordDocument")) or (salvaged(held.stream("1Table")) if "1Table" in held else "")
+
+
+def all_streams(data: bytes, least: int) -> str:
+    """What can be read of each stream, if it is more than `least` characters; damaged streams are left out."""
+    held, out = Compound(data), []
+    for name in held.names():
+        try:
+            out.append(salvaged(held.stream(name)))
+        except Damaged:
+            continue
+    return "\n".join(x for x in out if len(x.strip()) > least)
+
+
+#: By extension. PDF needs a library that is added by the caller.
+CONVERTERS: dict[str, Converter] = {**{e: plain_text for e in rules.TEXT_EXTENSIONS}, ".docx": docx, ".pptx": pptx, ".xlsx": xlsx, ".hwp": hwp, ".doc": doc, ".ppt": partial(all_streams, least=20), ".xls": partial(all_streams, least=10)}
 
 
 def converted(files: DataFrame, converters: dict[str, Converter] | None = None) -> DataFrame:

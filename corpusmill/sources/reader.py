@@ -3,20 +3,19 @@ them where they are read."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import dataset
-from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringEndsWith, StringStartsWith
 
 from ..operators.tables import dropped, new_folder, placed
 from .files import CONVERTERS, Converter
+from .place import opened_for
 
 #: Bytes of files that a task reads, about, and bytes of texts in a batch that it hands on.
 PART_BYTES, BATCH_BYTES = 256 << 20, 16 << 20
@@ -24,12 +23,6 @@ NAME = "converted_files"
 _PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
-def _place(path: str) -> tuple[FileSystem, str]:
-    if "://" in path and not path.startswith("file:"):
-        return FileSystem.from_uri(path)
-    return LocalFileSystem(), re.sub("^file:/*", "/", path)
-
-
 def _condition(f: Filter) -> pc.Expression | None:
     """A filter over the list's columns; None if it is of another kind."""
     if len(f.attribute) != 1:
@@ -80,7 +73,7 @@ class _Reader(DataSourceReader):
     def _text(self, path: str, ext: str) -> tuple[str | None, str | None]:
         if ext not in self.converters:
             return None, "unsupported"
-        fs, place = _place(path)
+        fs, place = opened_for(path)
         with fs.open_input_stream(place) as f:
             data = f.read()
         try:
@@ -91,7 +84,7 @@ class _Reader(DataSourceReader):
     def read(self, partition: _Part | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # so Spark asks where there are none
             return
-        fs, folder = _place(f"{self.folder}/part={partition.number}")
+        fs, folder = opened_for(f"{self.folder}/part={partition.number}")
         wanted = None
         for f in self.filters:
             wanted = _condition(f) if wanted is None else wanted & _condition(f)

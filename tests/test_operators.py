@@ -1,4 +1,5 @@
 import io
+import re
 import struct
 import zipfile
 import zlib
@@ -255,6 +256,26 @@ def test_requirement_names(spark):
     assert one(spark, text.labels(F.lit("SSO 로그인 화면 API"))) == ["인증/로그인", "데이터연계/인터페이스"]
 
 
+@pytest.mark.parametrize(("stem", "want"), [("plan ver20230101120000", [20230101120000]), ("x Ver\u00a0 3.07c", [3, 7, 3]), ("p\u3000ver.\u30002.1", [2, 1]), ("ver" + "9" * 60, [int("9" * 60)]), ("ver000.010", [0, 10]), ("none", [0]), ("ver \u0663.1", [3, 1])])
+def test_versions_of_any_length(spark, stem, want):
+    assert [int(x["number"]) for x in one(spark, text.version_numbers(F.lit(stem)))] == want
+
+
+def test_versions_compare_as_numbers(spark):
+    stems = ["a ver9", "a ver10", "a ver10a", "a ver10.0", "a ver10.1", "a ver099", "a ver100000000000000000000", "a ver100000000000000000001", "a"]
+    rows = spark.createDataFrame([(s,) for s in stems], "s string").orderBy(text.version_numbers("s"))
+    assert [r.s for r in rows.collect()] == sorted(stems, key=lambda s: ([int(x) for x in re.findall("[0-9]+", s)] + [1] * s.endswith("a") if "ver" in s else [0]))
+
+
+def test_names_with_other_spaces(spark):
+    assert one(spark, text.doc_key(F.lit("plan\u2003v12\u3000 final\u00a0"))) == "plan final"
+    assert one(spark, text.doc_key(F.lit("plan\u3000ver\u30002.1"))) == "plan"
+    f = one(spark, text.folder_fields(F.lit("(2015.3\u00a0- 2016.11)\u3000Core")))
+    assert (f.period_start, f.period_end, f.title) == ("2015-03", "2016-11", "Core")
+    assert one(spark, text.year_in(F.array(F.lit("p 20\u0662\u0660")), F.lit("m"))) == "2020"
+    assert one(spark, text.classified(F.lit("New RFP")))  == "제안서"
+
+
 def test_ingestion_run(spark, tmp_path):
     from corpusmill.config import Settings
     from corpusmill.operators import runs
