@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import give_back, hash_bucket, hottest, running, small_batches, written
+from .common import dropped, give_back, hash_bucket, running, small_batches, written
 
 #: Words that a worker keeps in one generation of its cache.
 _CACHED_WORDS = 250_000
@@ -124,24 +124,30 @@ def tokenized(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) ->
 
 
 #: Documents are packed by phases of falling length: those up to the capacity over each of these numbers.
-_PHASES = (1, 2, 3, 4, 8, 16, 64, 256)
+_PHASES = (1, 2, 3, 5, 12, 48)
+
+
+#: In all but the last phase, a sweep that places less than one in so many of the waiting pieces is its phase's last.
+_FEW = 8
 
 
 def _own(pieces: DataFrame, first: int, capacity: int) -> DataFrame:
-    """length, rank and sequence_id of the `pieces` (length, rank) that get new sequences, from `first` on: of each
-    length as many as fill whole sequences, by rank; the few that are left have none."""
+    """length, rank, sequence_id and gap of the `pieces` (length, rank) that get new sequences, from `first` on: of each
+    length as many as fill whole sequences, by rank; the few that are left have none. The first piece of a sequence has what is free in it."""
     by = pieces.groupBy("length").agg(F.min("rank").alias("_least"), F.count("*").alias("_n")).withColumn("_each", F.floor(F.lit(capacity) / F.col("length")))
     by = by.withColumn("_full", F.floor(F.col("_n") / F.col("_each")))
     before = F.coalesce(F.sum("_full").over(Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     by = F.broadcast(by.select("length", "_least", "_each", "_full", before.alias("_before")))  # a row for each length
     at = F.floor((F.col("rank") - F.col("_least")) / F.col("_each"))
-    return pieces.join(by, "length").select("length", "rank", F.when(at < F.col("_full"), first + F.col("_before") + at).alias("sequence_id"))
+    own = F.when(at < F.col("_full"), first + F.col("_before") + at)
+    free = F.when((at < F.col("_full")) & ((F.col("rank") - F.col("_least")) % F.col("_each") == 0), capacity - F.col("_each") * F.col("length"))
+    return pieces.join(by, "length").select("length", "rank", own.alias("sequence_id"), free.alias("gap"))
 
 
-def _matched(pieces: DataFrame, gaps: DataFrame, longest: int, per_bucket: int) -> DataFrame:
+def _matched(pieces: DataFrame, gaps: DataFrame, longest: int, per_bucket: int, n_gaps: int | None = None) -> DataFrame:
     """One sweep: each of `pieces` (length, rank) is matched with the smallest gap of `gaps` (sequence_id, gap) that
     holds it and that no longer one takes; a gap for several of length `longest` has a place for each.
-    Returns the pieces with their sequence_id, null where none is left, and the places (gap not null).
+    Returns the pieces with their sequence_id, null where none is left, and the places (the first of each gap has the gap).
 
     Places and pieces are sorted by size. In this order a piece closes the bracket that the last free
     place before it opens, which is its successor among the gaps. A class of equal sizes takes as many levels of
@@ -149,23 +155,34 @@ def _matched(pieces: DataFrame, gaps: DataFrame, longest: int, per_bucket: int)
     its level, and on a level what closes is right after what opens it. Levels have at most a row of each
     class, so neither a hot length nor a hot gap meets in one task."""
     each = F.greatest(F.floor(F.col("gap") / longest), F.lit(1))
-    classes = gaps.groupBy(F.col("gap").alias("size")).agg(F.lit(0).alias("kind"), F.sum(each).alias("n"), F.lit(0).cast("long").alias("least"), F.ceil(F.count("*") / per_bucket).alias("buckets"))
-    classes = classes.union(pieces.groupBy(F.col("length").alias("size")).agg(F.lit(1).alias("kind"), F.count("*").alias("n"), F.min("rank").alias("least"), F.lit(1).cast("long").alias("buckets")))
+    classes = gaps.groupBy(F.col("gap").alias("size")).agg(F.lit(0).alias("kind"), F.sum(each).alias("n"), F.lit(0).cast("long").alias("least"))
+    classes = classes.union(pieces.groupBy(F.col("length").alias("size")).agg(F.lit(1).alias("kind"), F.count("*").alias("n"), F.min("rank").alias("least")))
     signed = F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n"))
     before = F.coalesce(F.sum(signed).over(Window.orderBy(F.desc("size"), "kind").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    classes = written(classes.select("size", "kind", "least", "buckets", before.alias("_before")))
-    of = lambda kind: F.broadcast(classes.where(F.col("kind") == kind).select(F.col("size").alias("_size"), "least", "buckets", "_before"))  # noqa: E731  at most a row for each size
-    places = gaps.join(of(0), F.col("gap") == F.col("_size")).withColumns({"_q": each, "_h": F.xxhash64("sequence_id")})
-    bucket = F.shiftright(F.shiftrightunsigned("_h", 33) * F.col("buckets"), 31)
-    places = running(places, ["gap"], bucket, ["_h", "sequence_id"], "_q", "_rank")
+    classes = classes.select("size", "kind", "least", before.alias("_before"))
+    of = lambda kind: F.broadcast(classes.where(F.col("kind") == kind).select(F.col("size").alias("_size"), "least", "_before"))  # noqa: E731  at most a row for each size
+    # A class of all gaps has buckets of `per_bucket`; others have fewer rows in each.
+    buckets = max(1, -(-(gaps.count() if n_gaps is None else n_gaps) // per_bucket))
+    places = gaps.withColumns({"_q": each, "_h": F.xxhash64("sequence_id")})
+    places = running(places, ["gap"], hash_bucket("_h", buckets), ["_h", "sequence_id"], "_q", "_rank").join(of(0), F.col("gap") == F.col("_size"))
     below = F.col("_before") + F.col("_rank")
-    places = places.select(F.explode(F.sequence(below + 1, below + F.col("_q"))).alias("level"), F.col("gap").alias("size"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("length"), F.lit(None).cast("long").alias("rank"), "sequence_id", "gap")
+    places = places.select("sequence_id", "gap", F.posexplode(F.sequence(below + 1, below + F.col("_q"))).alias("_place", "level"))
+    none = F.lit(None).cast("long")
+    places = places.select("level", F.col("gap").alias("size"), F.lit(0).alias("kind"), none.alias("length"), none.alias("rank"), "sequence_id", F.when(F.col("_place") == 0, F.col("gap")).alias("gap"))
     pieces = pieces.join(of(1), F.col("length") == F.col("_size"))
-    pieces = pieces.select((F.col("_before") - (F.col("rank") - F.col("least"))).alias("level"), F.col("length").alias("size"), F.lit(1).alias("kind"), "length", "rank", F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("gap"))
+    pieces = pieces.select((F.col("_before") - (F.col("rank") - F.col("least"))).alias("level"), F.col("length").alias("size"), F.lit(1).alias("kind"), "length", "rank", none.alias("sequence_id"), none.alias("gap"))
     found = F.lag("sequence_id").over(Window.partitionBy("level").orderBy(F.desc("size"), "kind"))
     return places.union(pieces).select("length", "rank", F.when(F.col("kind") == 0, F.col("sequence_id")).otherwise(found).alias("sequence_id"), "gap")
 
 
+def _swept(step: DataFrame) -> DataFrame:
+    """What `_matched` returns with the gaps as they are afterwards; full ones are left out."""
+    # Pieces without a sequence need no partner; they are dealt by hash.
+    apart = F.coalesce("sequence_id", -1 - F.pmod(F.xxhash64("length", "rank"), F.lit(1 << 20)))
+    taken = F.coalesce(F.sum("length").over(Window.partitionBy(apart)), F.lit(0))
+    return step.withColumn("gap", F.col("gap") - taken).where(F.col("length").isNotNull() | (F.col("gap") > 0))
+
+
 def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket: int = 2_000) -> DataFrame:
     """Adds sequence_id and offset to `pieces` (doc_id, piece, length, any others), which are read
     several times and so should be a written table. Repeated rows get places of their own. An empty table gives
@@ -173,62 +190,67 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket
 
     Best fit decreasing in bulk-synchronous supersteps. Pieces and gaps are ranked among those of their size; then,
     phase by phase of falling length, a sweep matches all waiting pieces with gaps, the gaps are updated,
-    and so on as long as a gap holds a piece that waits; of what is left, each length fills whole new
+    and so on as long as a gap holds a piece that waits and enough find one; of what is left, each length fills whole new
     sequences, and for the few over (less than a sequence of each length) as many empty ones are opened as
-    they need at least, and they wait for the next phase. Each step is a written table; the driver sees
-    counts and extremes only."""
+    they need at least, and they wait for the next phase. A superstep is one written table of pieces and gaps; the driver sees
+    counts and extremes only. The result is written and all steps' tables are deleted."""
     pieces = pieces.drop("sequence_id", "offset")
     spark = pieces.sparkSession
     phase = lambda lo, hi: (F.col("length") > lo) & (F.col("length") <= hi)
     bounds = sorted({capacity // k for k in _PHASES if k <= capacity}, reverse=True)
     spans = list(zip(bounds, [*bounds[1:], 0], strict=True))
     in_phase = [F.coalesce(F.sum(F.when(phase(lo, hi), F.col("count"))), F.lit(0)) for hi, lo in spans]
-    least, most, hot, *numbers = pieces.groupBy("length").count().agg(F.min("length"), F.max("length"), F.max("count"), *in_phase).first()
+    longest_in = [F.max(F.when(phase(lo, hi), F.col("length"))) for hi, lo in spans]
+    least, most, hot, *rest = pieces.groupBy("length").count().agg(F.min("length"), F.max("length"), F.max("count"), *in_phase, *longest_in).first()
+    numbers, tops = rest[: len(spans)], rest[len(spans) :]
     if most is not None and not 0 < least <= most <= capacity:
         raise ValueError(f"lengths must be from 1 to {capacity}")
     ranked = pieces.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "piece"))
     ranked = written(running(ranked, ["length"], hash_bucket("_h", max(1, -(-(hot or 0) // per_bucket))), ["_h", "doc_id", "piece"], F.lit(1), "_rank").drop("_h"))
     gaps, waiting = (spark.range(0).select(F.col("id").alias(a), F.col("id").alias(b)) for a, b in (("sequence_id", "gap"), ("length", "rank")))
-    first, steps, over = 0, [], 0
+    first, states, over, longest = 0, [], 0, 0
+    alone = F.when(F.col("sequence_id").isNull(), F.col("length"))
+    told = [F.count(alone), F.min(alone), F.max(alone), F.sum(alone), F.max("sequence_id"), F.max("gap"), F.count("gap")]
     for k, ((hi, lo), n) in enumerate(zip(spans, numbers, strict=True)):
         if not n + over:
             continue
         waiting = waiting.union(ranked.where(phase(lo, hi)).select("length", F.col("_rank").alias("rank"))) if n else waiting
-        small, live = gaps.where(F.col("gap") <= lo), gaps.where(F.col("gap") > lo)
+        small, live = gaps.where((F.col("gap") <= lo) & (F.col("gap") >= least)), gaps.where(F.col("gap") > lo)
         last, sweep = not any(numbers[k + 1 :]), first > 0
-        left, longest = n + over, waiting.agg(F.max("length")).first()[0]
+        left, longest, n_gaps = n + over, max(tops[k] or 0, longest if over else 0), live.count() if sweep else 0
         while left:
+            before = left
+            state = _swept(_matched(waiting, live, longest, per_bucket, n_gaps)) if sweep else _own(waiting, first, capacity)
+            states.append(state := written(state))
+            left, shortest, longest, tokens, number, widest, n_live = state.agg(*told).first()
+            waiting = state.where(F.col("sequence_id").isNull()).select("length", "rank")
+            kept = state.where(F.col("gap") > 0).select("sequence_id", "gap")
             if sweep:
-                step = written(_matched(waiting, live, longest, per_bucket))
-                places = step.where(F.col("sequence_id").isNotNull()).groupBy("sequence_id")
-                live = written(places.agg((F.max("gap") - F.coalesce(F.sum("length"), F.lit(0))).alias("gap")).where(F.col("gap") > 0))
-                waiting = step.where(F.col("sequence_id").isNull()).select("length", "rank")
-                sizes = waiting.select("length", F.lit(None).cast("long").alias("gap")).union(live.select(F.lit(None).cast("long"), "gap"))
-                left, shortest, longest, widest = sizes.agg(F.count("length"), F.min("length"), F.max("length"), F.max("gap")).first()
+                live, n_gaps = kept, n_live
+                few = not last and (before - left) * _FEW < before
             else:
-                step = written(_own(waiting, first, capacity))
-                alone = F.when(F.col("sequence_id").isNull(), F.col("length"))
-                left, shortest, longest, tokens, number = step.agg(F.count(alone), F.min(alone), F.max(alone), F.sum(alone), F.max("sequence_id")).first()
-                new = step.where(F.col("sequence_id").isNotNull()).groupBy("sequence_id").agg((capacity - F.sum("length")).alias("gap")).where(F.col("gap") > 0)
-                first = first if number is None else number + 1
-                more, widest = -(-(tokens or 0) // capacity), capacity
-                live = written(live.union(new).union(spark.range(first, first + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"))))
-                first += more
-                waiting = step.where(F.col("sequence_id").isNull()).select("length", "rank")
-            placed = step.where(F.col("length").isNotNull() & F.col("sequence_id").isNotNull())
-            steps.append(placed.select("length", "rank", "sequence_id", F.lit(len(steps)).alias("_step")))
-            if not sweep and left <= capacity and not last:
-                break
+                first = max(first, -1 if number is None else number + 1)
+                more, few = -(-(tokens or 0) // capacity), False
+                live = live.union(kept).union(spark.range(first, first + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap")))
+                first, widest, n_gaps = first + more, capacity, n_gaps + n_live + more
+                if left <= capacity and not last:
+                    break
             # The next sweep moves something if any gap holds any piece that waits.
-            sweep = bool(left) and widest is not None and widest >= shortest
+            sweep = bool(left) and not few and widest is not None and widest >= shortest
         over = left
         gaps = small.union(live)
-    placed = reduce(DataFrame.union, steps) if steps else ranked.select("length", F.col("_rank").alias("rank"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).alias("_step"))
+    placed = [x.where(F.col("length").isNotNull() & F.col("sequence_id").isNotNull()).select("length", "rank", "sequence_id", F.lit(k).alias("_step")) for k, x in enumerate(states)]
+    placed = reduce(DataFrame.union, placed) if placed else ranked.select("length", F.col("_rank").alias("rank"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).alias("_step"))
     upto = Window.partitionBy("sequence_id").orderBy("_step", F.desc("length"), "rank").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.select("length", F.col("rank").alias("_rank"), "sequence_id", F.coalesce(F.sum("length").over(upto), F.lit(0)).alias("offset"))
-    return ranked.join(placed, ["length", "_rank"]).select(*pieces.columns, "sequence_id", "offset")
+    out = written(ranked.join(placed, ["length", "_rank"]).select(*pieces.columns, "sequence_id", "offset"))
+    dropped(ranked, *states)
+    return out
 
 
 def pack(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0) -> DataFrame:
     """Tokenizes `docs` and packs the pieces: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return best_fit(written(tokenized(docs, path, capacity, end)), capacity)
+    pieces = written(tokenized(docs, path, capacity, end))
+    packed = best_fit(pieces, capacity)
+    dropped(pieces)
+    return packed

@@ -113,3 +113,22 @@ def test_pack(make):
     assert packing.pack(docs.limit(0), PATH).count() == 0
     with pytest.raises(ValueError):
         packing.best_fit(make([""]).select("doc_id", F.lit(0).alias("piece"), F.lit(4000).cast("long").alias("length")))
+
+
+def test_one_table_is_left(spark, make):
+    from corpusmill.llm.common import shared_dir
+
+    tables = lambda: set(Path(shared_dir(spark).removeprefix("file://")).glob("table-*"))
+    before = tables()
+    packed = packing.pack(make([prose(k, 40 + 9 * k) for k in range(60)]), PATH)
+    assert len(tables() - before) == 1 and packed.count() >= 60
+
+
+def test_pieces_that_wait_over_several_phases(spark):
+    """Lengths that no gap of their phase holds wait for the next, with longer ones among them."""
+    rng = random.Random(11)
+    lengths = [rng.choice([1000, 690, 400, 41, 42, 3, 1]) for _ in range(300)] + [2048] * 3
+    pieces = written(spark.createDataFrame([(i, 0, x) for i, x in enumerate(lengths)], "doc_id long, piece int, length long"))
+    sums = packing.best_fit(pieces, per_bucket=7).groupBy("sequence_id").agg(F.sum("length").alias("s"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert sum(r.s for r in sums) == sum(lengths) and all(r.s == r.end <= 2048 for r in sums)
+    assert len(sums) <= sequential(lengths, 2048) + 1
