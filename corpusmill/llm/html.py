@@ -42,7 +42,8 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: How an element stands by its marks: not apart; a header, of which headings stay; apart; apart unless that would leave
 #: too little of the page.
 PLAIN, HEADER, APART, LATER = 0, 1, 2, 3
-#: Text within a marked article or main part weighs so many times as much as other text where the region is chosen.
+#: Text within marked articles or main parts weighs so many times as much as other text where the region is chosen; if a
+#: page has one article with text, nothing else weighs.
 _MARKED = 4
 
 
@@ -160,18 +161,28 @@ class Page:
             out.append(max(out[self.parents[i] - root], kind))
         return out
 
+    def _only_article(self, cut: list[int], told: list[tuple[int, int]]) -> int | None:
+        """The article element, if just one that is in no other has any of the text of `told` (element, characters)."""
+        outer = [None] * len(self.tags)
+        for i in range(1, len(self.tags)):
+            above = outer[self.parents[i]]
+            outer[i] = above if above is not None else i if self.tags[i] == "article" and cut[i] == PLAIN else None
+        found = {outer[at] for at, n in told if n and outer[at] is not None}
+        return found.pop() if len(found) == 1 else None
+
     def slots(self) -> tuple[list[tuple[int, int, int, int]], int]:
         """(path, how many elements of the page have it, depth, weight of the text within) of the paths that may be an
-        article's region, and the weight of all. Links, and what marks set apart, weigh nothing; if nearly all
+        article's region, and the weight of all. Links, what marks set apart and what is outside of a page's only article weigh nothing; if nearly all
         is apart only by marks that holders of articles have, too, then these do not count."""
         sums = []
         for later in (True, False):
             cut, weight, marked = self.cuts(0, later), [0] * len(self.tags), [False]
             for i in range(1, len(self.tags)):
                 marked.append(self.marks[i] or marked[self.parents[i]])
-            for at, heading, linked, text in self.blocks:
-                if cut[at] == PLAIN or heading and cut[at] == HEADER:
-                    weight[at] += (len(text) - linked) * (_MARKED if marked[at] else 1)
+            told = [(at, len(text) - linked) for at, heading, linked, text in self.blocks if cut[at] == PLAIN or heading and cut[at] == HEADER]
+            only = self._only_article(cut, told)
+            for at, n in told:
+                weight[at] += n * (_MARKED if marked[at] else 1) if only is None or only <= at < self.ends[only] else 0
             for i in range(len(self.tags) - 1, 0, -1):
                 weight[self.parents[i]] += weight[i]
             sums.append((cut, weight))

@@ -128,3 +128,20 @@ def test_deep_pages_take_little_memory():
         assert html.main_text(page) == "x"
         assert tracemalloc.get_traced_memory()[1] < 100e6 and time.perf_counter() - began < 20
         tracemalloc.stop()
+
+
+THREAD = "<div class='discussion'>" + "".join(f"<p>Reader {k:02d}: I disagree with all of it, and here is why, at length.</p>" for k in range(8)) + "</div>"
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<main>{}</main>", "<main><div class='col'>{}</div></main>"])
+def test_a_marked_article_never_loses_to_a_thread(spark, wrap):
+    page = lambda k: "<html><body><header>Site</header>" + wrap.format(f"<article class='post'><h1>T{k}</h1><p>Short article number {k}.</p></article>{THREAD}") + "<footer>About</footer></body></html>"
+    assert html.main_text(page(0)) == "T0\nShort article number 0."
+    rows = spark.createDataFrame([(k, f"http://one.example/{k}", page(k)) for k in range(6)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(rows).collect()} == {k: f"T{k}\nShort article number {k}." for k in range(6)}
+
+
+def test_cards_marked_as_articles_do_not_count_as_one():
+    cards = "".join(f"<article><h3>Card {k}</h3><p>Teaser {k}.</p></article>" for k in range(4))
+    body = "".join(f"<p>Paragraph {k} of the long text that the page is about, word after word.</p>" for k in range(12))
+    assert html.main_text(f"<body><div class='story'><h1>Title</h1>{body}</div><div class='more'>{cards}</div></body>").startswith("Title\nParagraph 0")
