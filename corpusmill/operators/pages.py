@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..sources.place import opened_for
+from . import requirements
 from .tables import deleted, dropped, new_folder, placed, written
 
 #: Bytes that are copied at a time.
@@ -82,7 +83,7 @@ def _as_one(parts: list[tuple[DataFrame, list[str]]]) -> DataFrame:
         if order == ["at"]:
             rows = rows.withColumn("place", F.col("at").cast("long"))
         elif order:
-            rows = placed(rows, ["name"], order).withColumnRenamed("_i", "place")
+            rows = placed(rows, ["name"], order).select("name", "line", F.col("_i").alias("place"))
         else:
             rows = rows.withColumn("place", F.lit(0).cast("long"))
         rows = rows.select("name", F.lit(section).alias("section"), "place", "line")
@@ -213,3 +214,53 @@ def header_text(fields: Column, first: list[str]) -> Column:
     place = lambda e: F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, first)), e["key"]), F.lit(0)), F.lit(len(first) + 1))
     shown = F.array_sort(F.transform(pairs, lambda e: F.struct(place(e).alias("at"), e["key"].alias("key"), F.to_json(e["value"]).alias("value"))))
     return F.concat(F.lit("---\n"), F.array_join(F.transform(shown, lambda x: F.concat(x["key"], F.lit(": "), x["value"], F.lit("\n"))), ""), F.lit("---\n"))
+
+
+def pattern_page(items: DataFrame, tagged: DataFrame, types: list[str], page: str = "patterns.md", thin: int = 6) -> DataFrame:
+    """The lines of one page on what recurs: types with their shares in the order of `types`, themes by how many projects have them, each
+    with its projects and best examples, and the first `thin` themes that have many requirements and few strategies. `tagged` has a row for
+    each theme of an item (operators.requirements.with_themes)."""
+    stats = written(requirements.theme_stats(tagged))
+    named = lambda rows, *columns: rows.select(F.lit(page).alias("name"), *columns)
+    totals = named(items.agg(F.count("*").alias("n")), "n").where("n > 0")
+    head = totals.select("name", F.posexplode(F.array(F.lit("# Patterns"), F.lit(""), F.concat(F.lit("- Requirements: "), F.col("n").cast("string")))).alias("at", "line"))
+    shares = requirements.type_distribution(items, types)
+    shares = named(shares, "place", "type", _cells(F.col("type"), F.col("n"), F.concat(F.format_string("%.1f", "percent"), F.lit("%"))).alias("line"))
+    ranked = named(stats, F.col("rank").alias("at"), _cells(F.col("rank"), F.col("theme"), F.col("projects"), F.col("n"), F.col("n_strategy")).alias("line"))
+    rank = stats.select("theme", "rank", F.col("n").alias("of"))
+    where = rank.join(requirements.theme_projects(tagged), "theme")
+    tops = [F.lit(""), F.concat(F.lit("### "), F.col("theme"), F.lit(" ("), F.col("of").cast("string"), F.lit(")")), F.lit(""), F.concat(F.lit("- Projects: "), F.col("projects")), F.lit(""), F.lit("| Name | Requirement | Type | Strategy | Source |"), F.lit("|---|---|---|---|---|")]
+    tops = named(where, "rank", F.posexplode(F.array(*tops)).alias("k", "line"))
+    cut = lambda c, n: F.substring(text.md_escape(F.col(c)), 1, n)
+    examples = requirements.theme_examples(tagged).join(rank, "theme")
+    examples = named(examples, "rank", (F.col("place") + 6).alias("k"), _cells(text.md_escape(F.col("name")), cut("detail", 80), text.md_escape(F.col("type")), cut("strategy", 50), cut("source_file", 45)).alias("line"))
+    few = requirements.thin_themes(stats).orderBy("rank").limit(thin)
+    few = named(few, F.col("rank").alias("at"), F.concat(F.lit("- "), F.col("theme"), F.lit(": "), F.col("n_strategy").cast("string"), F.lit(" of "), F.col("n").cast("string"), F.lit(" with a strategy")).alias("line"))
+    return _as_one([
+        (head, ["at"]), _fixed(totals, "", "## Types", "", "| Type | Requirements | Share |", "|---|---|---|"), (shares, ["place", "type"]),
+        _fixed(totals, "", "## Themes", "", "| Rank | Theme | Projects | Requirements | With a strategy |", "|---|---|---|---|---|"), (ranked, ["at"]),
+        (tops.unionByName(examples), ["rank", "k"]), _fixed(totals, "", "## Themes without strategies", ""), (few, ["at"]),
+    ])
+
+
+#: What a new page says until someone writes it.
+DEFAULT_BODY = ["", "## Summary", "", "## Results", "", "-", "", "## Technology", "", "-", "", "## Reuse", "", "-", "", "## Files", "", "-"]
+
+
+def generated(registry: DataFrame, counts: DataFrame, old: DataFrame, slug: str | None = None, body: list[str] = DEFAULT_BODY) -> DataFrame:  # noqa: B006
+    """name, section, place and line of the pages of all projects of `registry` (slug, raw_name, title, period_start, period_end, is_yearly, domain), or of
+    one (an unknown one is an error), that `counts` (raw_name, file_count, formats: map) has files of. A page that `old` (name, header, body) has keeps
+    its body and its fields; the id, the folder and the counts are set anew, the rest only where it is missing. Yearly folders go to
+    yearly/<year>.md, others to <slug>/index.md."""
+    if slug is not None:
+        registry = registry.where(F.col("slug") == slug)
+        if registry.isEmpty():
+            raise ValueError(f"no project {slug!r}")
+    name = F.when(F.coalesce("is_yearly", F.lit(False)), F.concat(F.lit("yearly/"), F.substring(F.coalesce("period_start", "slug"), 1, 4), F.lit(".md"))).otherwise(F.concat("slug", F.lit("/index.md")))
+    new = registry.join(counts, "raw_name").select(name.alias("name"), F.col("slug").alias("id"), F.coalesce("title", "slug").alias("title"), "period_start", "period_end", F.coalesce("domain", F.lit("etc")).alias("domain"), F.lit("completed").alias("status"), F.col("raw_name").alias("source_path"), "file_count", "formats")
+    kept = with_fields(old)
+    fields = merged_fields(kept.select("name", "fields"), new, ["id", "source_path", "file_count", "formats"], ["title", "period_start", "period_end", "domain", "status"], "name")
+    first = ["id", "title", "period_start", "period_end", "domain", "status", "source_path", "file_count", "formats"]
+    text_ = F.concat(header_text(F.col("fields"), first), F.coalesce(F.regexp_replace("body", r"\n\z", ""), F.lit("\n".join(body))))
+    rows = fields.join(kept.select("name", "body"), "name", "left").select("name", F.posexplode(F.split(text_, "\n")).alias("place", "line"))
+    return rows.select("name", F.lit(0).alias("section"), "place", "line")

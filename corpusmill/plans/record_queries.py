@@ -286,6 +286,22 @@ def year_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_files(spark, pages.year_page(rows))
 
 
+@query(f"""{_TAGGED}, kinds AS (SELECT type, count(*) AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM items), 1) AS percent, list_position(['{"', '".join(rules.REQUIREMENT_TYPES)}'], type) AS place FROM items GROUP BY type
+), ranked AS (SELECT *, row_number() OVER (ORDER BY projects DESC, n DESC, theme) AS rank FROM stats
+), names AS (SELECT theme, list_sort(list(DISTINCT project_slug)) AS p FROM tagged GROUP BY theme
+), best AS (SELECT *, row_number() OVER (PARTITION BY theme ORDER BY strategy NOT IN ('', '(원문 미기재)') DESC, length(detail) DESC, source_file, pos) AS place FROM tagged QUALIFY place <= 5
+), shown AS (SELECT theme, string_agg('| ' || {_esc('name')} || ' | ' || substr({_esc('detail')}, 1, 80) || ' | ' || {_esc('type')} || ' | ' || substr({_esc('strategy')}, 1, 50) || ' | ' || substr({_esc('source_file')}, 1, 45) || ' |', chr(10) ORDER BY place) AS rows FROM best GROUP BY theme
+), parts AS (SELECT rank, concat_ws(chr(10), '', '### ' || theme || ' (' || n || ')', '', '- Projects: ' || array_to_string(p[1:8], ', ') || CASE WHEN len(p) > 8 THEN ' + ' || (len(p) - 8) || ' more' ELSE '' END, '', '| Name | Requirement | Type | Strategy | Source |', '|---|---|---|---|---|', rows) AS part
+  FROM ranked JOIN names USING (theme) JOIN shown USING (theme)
+), few AS (SELECT * FROM ranked WHERE n >= 20 AND n_strategy < n * 0.1 ORDER BY rank LIMIT 6)
+SELECT 'patterns.md' AS name, concat_ws(chr(10), '# Patterns', '', (SELECT '- Requirements: ' || count(*) FROM items), '', '## Types', '', '| Type | Requirements | Share |', '|---|---|---|',
+  (SELECT string_agg('| ' || type || ' | ' || n || ' | ' || printf('%.1f', percent) || '% |', chr(10) ORDER BY place, type) FROM kinds), '', '## Themes', '', '| Rank | Theme | Projects | Requirements | With a strategy |', '|---|---|---|---|---|',
+  (SELECT string_agg('| ' || rank || ' | ' || theme || ' | ' || projects || ' | ' || n || ' | ' || n_strategy || ' |', chr(10) ORDER BY rank) FROM ranked), (SELECT string_agg(part, chr(10) ORDER BY rank) FROM parts),
+  '', '## Themes without strategies', '', (SELECT string_agg('- ' || theme || ': ' || n_strategy || ' of ' || n || ' with a strategy', chr(10) ORDER BY rank) FROM few), '') AS text""")
+def pattern_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_files(spark, pages.pattern_page(_items(spark, sf_dir), _tagged(spark, sf_dir), rules.REQUIREMENT_TYPES))
+
+
 @query("""SELECT p_partkey AS id, p_name AS title, p_size AS file_count, CASE WHEN p_partkey % 3 = 0 THEN 'kept' ELSE 'new' END AS status, CASE WHEN p_partkey % 4 = 0 THEN 'note ' || p_partkey END AS note, CASE WHEN p_partkey % 4 = 0 THEN p_partkey * 2 END AS depth FROM part""")
 def page_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as projects with pages whose YAML headers have fields of their own: forced ones are set anew, defaulted ones only where they are

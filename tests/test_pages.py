@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 import yaml
 from pyspark.sql import functions as F
 
@@ -51,3 +52,19 @@ def test_fields_forced_defaulted_and_unknown(spark):
     assert {k: yaml.safe_load(x.split("---\n")[1]) for k, x in texts.items()} == got
     again = pages.merged_fields(merged, new.withColumn("file_count", F.lit(7)), ["file_count"], ["title", "status"])
     assert json.loads(again.where("id = 1").select(F.to_json("fields")).first()[0]) == got[1] | {"file_count": 7}
+
+
+def test_pages_are_generated_and_kept(spark, tmp_path):
+    registry = spark.createDataFrame([("core", "Core (2015)", "The core", "2015-03", "2016-11", False, None), ("y", "2004", None, None, None, True, "old"), ("gone", "No files", "x", None, None, False, None)], "slug string, raw_name string, title string, period_start string, period_end string, is_yearly boolean, domain string")
+    counts = spark.createDataFrame([("Core (2015)", 7, {".pdf": 4, ".doc": 3}), ("2004", 1, {".txt": 1})], "raw_name string, file_count int, formats map<string, int>")
+    old = spark.createDataFrame([("core/index.md", "title: Mine\nfile_count: 1\nclient: ACME\nid: wrong\n", "\nwritten by hand\n")], "name string, header string, body string")
+    got = {r.name: r.lines for r in pages.write_pages(pages.generated(registry, counts, old), f"{tmp_path}/out").collect()}
+    assert set(got) == {"core/index.md", "yearly/y.md"}
+    core = (tmp_path / "out/core/index.md").read_text()
+    head, body = core.split("---\n")[1:]
+    assert body == "\nwritten by hand\n"
+    assert yaml.safe_load(head) == {"id": "core", "title": "Mine", "period_start": "2015-03", "period_end": "2016-11", "domain": "etc", "status": "completed", "source_path": "Core (2015)", "file_count": 7, "formats": {".pdf": 4, ".doc": 3}, "client": "ACME"}
+    assert (tmp_path / "out/yearly/y.md").read_text().split("---\n")[2] == "\n".join(pages.DEFAULT_BODY) + "\n"
+    assert {r.name for r in pages.generated(registry, counts, old, "core").select("name").distinct().collect()} == {"core/index.md"}
+    with pytest.raises(ValueError, match="no project 'nope'"):
+        pages.generated(registry, counts, old, "nope")
