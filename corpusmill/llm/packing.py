@@ -7,7 +7,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 from pathlib import Path
 
 import numpy as np
@@ -144,32 +144,35 @@ def _own(pieces: DataFrame, first: int, capacity: int) -> DataFrame:
     return pieces.join(by, "length").select("length", "rank", own.alias("sequence_id"), free.alias("gap"))
 
 
-def _matched(pieces: DataFrame, gaps: DataFrame, longest: int, per_bucket: int, n_gaps: int | None = None) -> DataFrame:
+def _matched(pieces: DataFrame, gaps: DataFrame, longest: int | None, per_bucket: int) -> DataFrame:
     """One sweep: each of `pieces` (length, rank) is matched with the smallest gap of `gaps` (sequence_id, gap) that
-    holds it and that no longer one takes; a gap for several of length `longest` has a place for each.
+    holds it and that no longer one takes; a gap for several of length `longest` (by default that of the longest piece) has a place for each.
     Returns the pieces with their sequence_id, null where none is left, and the places (the first of each gap has the gap).
 
     Places and pieces are sorted by size. In this order a piece closes the bracket that the last free
     place before it opens, which is its successor among the gaps. A class of equal sizes takes as many levels of
     nesting as it has rows, one for each rank, so the classes' running sums (a row for each size) give every row
     its level, and on a level what closes is right after what opens it. Levels have at most a row of each
-    class, so neither a hot length nor a hot gap meets in one task."""
-    each = F.greatest(F.floor(F.col("gap") / longest), F.lit(1))
-    classes = gaps.groupBy(F.col("gap").alias("size")).agg(F.lit(0).alias("kind"), F.sum(each).alias("n"), F.lit(0).cast("long").alias("least"))
-    classes = classes.union(pieces.groupBy(F.col("length").alias("size")).agg(F.lit(1).alias("kind"), F.count("*").alias("n"), F.min("rank").alias("least")))
-    signed = F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n"))
-    before = F.coalesce(F.sum(signed).over(Window.orderBy(F.desc("size"), "kind").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    classes = classes.select("size", "kind", "least", before.alias("_before"))
-    of = lambda kind: F.broadcast(classes.where(F.col("kind") == kind).select(F.col("size").alias("_size"), "least", "_before"))  # noqa: E731  at most a row for each size
-    # A class of all gaps has buckets of `per_bucket`; others have fewer rows in each.
-    buckets = max(1, -(-(gaps.count() if n_gaps is None else n_gaps) // per_bucket))
-    places = gaps.withColumns({"_q": each, "_h": F.xxhash64("sequence_id")})
-    places = running(places, ["gap"], hash_bucket("_h", buckets), ["_h", "sequence_id"], "_q", "_rank").join(of(0), F.col("gap") == F.col("_size"))
+    class, so neither a hot length nor a hot gap meets in one task.
+
+    What changes from sweep to sweep is data, not part of the plan, so that its compiled code serves all of them."""
+    count, whole = F.count("*").alias("count"), Window.partitionBy()
+    classes = gaps.groupBy(F.col("gap").alias("size")).agg(count, F.lit(0).alias("kind"), F.lit(0).cast("long").alias("least"))
+    classes = classes.unionByName(pieces.groupBy(F.col("length").alias("size")).agg(count, F.lit(1).alias("kind"), F.min("rank").alias("least")))
+    top = F.max(F.when(F.col("kind") == 1, F.col("size"))).over(whole) if longest is None else F.lit(longest)
+    classes = classes.withColumn("each", F.greatest(F.floor(F.col("size") / top), F.lit(1)))
+    signed = F.when(F.col("kind") == 0, F.col("count") * F.col("each")).otherwise(-F.col("count"))
+    before = F.coalesce(F.sum(signed).over(whole.orderBy(F.desc("size"), "kind").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    classes = classes.select("size", "kind", "least", F.col("each").alias("_q"), F.ceil(F.col("count") / per_bucket).alias("_buckets"), before.alias("_before"))
+    of = lambda kind, *columns: F.broadcast(classes.where(F.col("kind") == kind).select(F.col("size").alias("_size"), "_before", *columns))  # noqa: E731  at most a row for each size
+    places = gaps.join(of(0, "_q", "_buckets"), F.col("gap") == F.col("_size")).withColumn("_h", F.xxhash64("sequence_id"))
+    bucket = F.shiftright(F.shiftrightunsigned("_h", 33) * F.col("_buckets"), 31)
+    places = running(places, ["gap"], bucket, ["_h", "sequence_id"], "_q", "_rank")
     below = F.col("_before") + F.col("_rank")
     places = places.select("sequence_id", "gap", F.posexplode(F.sequence(below + 1, below + F.col("_q"))).alias("_place", "level"))
     none = F.lit(None).cast("long")
     places = places.select("level", F.col("gap").alias("size"), F.lit(0).alias("kind"), none.alias("length"), none.alias("rank"), "sequence_id", F.when(F.col("_place") == 0, F.col("gap")).alias("gap"))
-    pieces = pieces.join(of(1), F.col("length") == F.col("_size"))
+    pieces = pieces.join(of(1, "least"), F.col("length") == F.col("_size"))
     pieces = pieces.select((F.col("_before") - (F.col("rank") - F.col("least"))).alias("level"), F.col("length").alias("size"), F.lit(1).alias("kind"), "length", "rank", none.alias("sequence_id"), none.alias("gap"))
     found = F.lag("sequence_id").over(Window.partitionBy("level").orderBy(F.desc("size"), "kind"))
     return places.union(pieces).select("length", "rank", F.when(F.col("kind") == 0, F.col("sequence_id")).otherwise(found).alias("sequence_id"), "gap")
@@ -200,48 +203,47 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket
     bounds = sorted({capacity // k for k in _PHASES if k <= capacity}, reverse=True)
     spans = list(zip(bounds, [*bounds[1:], 0], strict=True))
     in_phase = [F.coalesce(F.sum(F.when(phase(lo, hi), F.col("count"))), F.lit(0)) for hi, lo in spans]
-    longest_in = [F.max(F.when(phase(lo, hi), F.col("length"))) for hi, lo in spans]
-    least, most, hot, *rest = pieces.groupBy("length").count().agg(F.min("length"), F.max("length"), F.max("count"), *in_phase, *longest_in).first()
-    numbers, tops = rest[: len(spans)], rest[len(spans) :]
+    least, most, hot, *numbers = pieces.groupBy("length").count().agg(F.min("length"), F.max("length"), F.max("count"), *in_phase).first()
     if most is not None and not 0 < least <= most <= capacity:
         raise ValueError(f"lengths must be from 1 to {capacity}")
     ranked = pieces.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "piece"))
     ranked = written(running(ranked, ["length"], hash_bucket("_h", max(1, -(-(hot or 0) // per_bucket))), ["_h", "doc_id", "piece"], F.lit(1), "_rank").drop("_h"))
     gaps, waiting = (spark.range(0).select(F.col("id").alias(a), F.col("id").alias(b)) for a, b in (("sequence_id", "gap"), ("length", "rank")))
-    first, states, over, longest = 0, [], 0, 0
+    first, states, over = 0, [], 0
     alone = F.when(F.col("sequence_id").isNull(), F.col("length"))
-    told = [F.count(alone), F.min(alone), F.max(alone), F.sum(alone), F.max("sequence_id"), F.max("gap"), F.count("gap")]
+    told = [F.count(alone), F.min(alone), F.sum(alone), F.max("sequence_id"), F.max("gap")]
     for k, ((hi, lo), n) in enumerate(zip(spans, numbers, strict=True)):
         if not n + over:
             continue
         waiting = waiting.union(ranked.where(phase(lo, hi)).select("length", F.col("_rank").alias("rank"))) if n else waiting
         small, live = gaps.where((F.col("gap") <= lo) & (F.col("gap") >= least)), gaps.where(F.col("gap") > lo)
         last, sweep = not any(numbers[k + 1 :]), first > 0
-        left, longest, n_gaps = n + over, max(tops[k] or 0, longest if over else 0), live.count() if sweep else 0
+        left = n + over
         while left:
             before = left
-            state = _swept(_matched(waiting, live, longest, per_bucket, n_gaps)) if sweep else _own(waiting, first, capacity)
+            state = _swept(_matched(waiting, live, None, per_bucket)) if sweep else _own(waiting, first, capacity)
             states.append(state := written(state))
-            left, shortest, longest, tokens, number, widest, n_live = state.agg(*told).first()
+            left, shortest, tokens, number, widest = state.agg(*told).first()
             waiting = state.where(F.col("sequence_id").isNull()).select("length", "rank")
             kept = state.where(F.col("gap") > 0).select("sequence_id", "gap")
             if sweep:
-                live, n_gaps = kept, n_live
+                live = kept
                 few = not last and (before - left) * _FEW < before
             else:
                 first = max(first, -1 if number is None else number + 1)
                 more, few = -(-(tokens or 0) // capacity), False
                 live = live.union(kept).union(spark.range(first, first + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap")))
-                first, widest, n_gaps = first + more, capacity, n_gaps + n_live + more
+                first, widest = first + more, capacity
                 if left <= capacity and not last:
                     break
             # The next sweep moves something if any gap holds any piece that waits.
             sweep = bool(left) and not few and widest is not None and widest >= shortest
         over = left
         gaps = small.union(live)
-    placed = [x.where(F.col("length").isNotNull() & F.col("sequence_id").isNotNull()).select("length", "rank", "sequence_id", F.lit(k).alias("_step")) for k, x in enumerate(states)]
-    placed = reduce(DataFrame.union, placed) if placed else ranked.select("length", F.col("_rank").alias("rank"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).alias("_step"))
-    upto = Window.partitionBy("sequence_id").orderBy("_step", F.desc("length"), "rank").rowsBetween(Window.unboundedPreceding, -1)
+    folders = sorted({f.rpartition("/")[0] for x in states for f in x.inputFiles()})
+    every = spark.read.schema(states[0].schema).parquet(*folders) if folders else waiting.select("length", "rank", F.lit(0).cast("long").alias("sequence_id"))
+    placed = every.where(F.col("length").isNotNull() & F.col("sequence_id").isNotNull())
+    upto = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "rank").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.select("length", F.col("rank").alias("_rank"), "sequence_id", F.coalesce(F.sum("length").over(upto), F.lit(0)).alias("offset"))
     out = written(ranked.join(placed, ["length", "_rank"]).select(*pieces.columns, "sequence_id", "offset"))
     dropped(ranked, *states)
