@@ -80,8 +80,8 @@ def chunk_id(source: str) -> Column:
     return F.md5(F.concat_ws(":", F.coalesce(F.col(source), F.lit("unknown")), F.col("chunk_index").cast("string"), F.substring("text", 1, 50)))
 
 
-#: Items in a segment, in multiples of the most items that a batch holds.
-_SEGMENT = 16
+#: Items in a segment; at least as many as a batch may hold.
+_SEGMENT = 1 << 15
 
 
 def _next_starts(tokens: np.ndarray, max_tokens: int, max_items: int) -> np.ndarray:
@@ -121,26 +121,15 @@ def _numbered(table: pa.Table, max_tokens: int, max_items: int) -> pa.Table:
     return table.append_column("batch", pa.array(before - 1 + np.cumsum(starts)))
 
 
-def token_batches(items: DataFrame, group: list[str], order: list[str], tokens: str, max_tokens: int = 8000, max_items: int = 2048) -> DataFrame:
-    """Adds batch (from 0 in each group): in order, an item begins a new batch if it would bring the one before
-    it over `max_tokens` or `max_items`. An item over `max_tokens` is a batch of its own; null tokens are none; rows that
-    are equal in `order` come in any order; a null group is a group.
-
-    What comes next hangs on all before, yet no task holds a group: it is cut into segments of a fixed number of items. A
-    batch that begins at one of a segment's first `max_items` items leads to one start in the next segment. These pointers
-    are doubled, joined with themselves over 2, 4, 8... segments, and followed from the group's first item to the first
-    start of each segment, within which starts follow from each other."""
-    size = _SEGMENT * max_items
-    names = [*items.columns, "batch"]
-    laid = placed(items.withColumn("_tokens", F.coalesce(F.col(tokens), F.lit(0)).cast("long")), group, order)
-    rows = written(laid.withColumn("_segment", F.floor(F.col("_i") / size)))
-    dropped(laid)
+def _first_starts(rows: DataFrame, size: int, last: int, max_tokens: int, max_items: int) -> DataFrame:
+    """_g, _segment, _entry (the place in the segment where its first batch begins) and _begun (batches before it), for `rows` (_g, _segment,
+    _i, _tokens) in segments of `size` up to number `last`."""
     at = F.col("_i") - F.col("_segment") * size
     # A segment also sees the items that its last batch may take of the next.
     own, more = rows.select("_g", "_segment", at.alias("_at"), "_tokens"), rows.where((at < max_items) & (F.col("_segment") > 0))
     seen = own.unionByName(more.select("_g", (F.col("_segment") - 1).alias("_segment"), (at + size).alias("_at"), "_tokens"))
     ways = seen.groupBy("_g", "_segment").applyInArrow(lambda t: _ways(t, size, max_tokens, max_items), "_g string, _segment long, _entry long, _exit long, _begun long")
-    step, last = written(ways), rows.agg(F.max("_segment")).first()[0] or 0
+    step = written(ways)
     # Only starts that some start of the segment before leads to can ever be met.
     met = step.select("_g", (F.col("_segment") + 1).alias("_segment"), F.col("_exit").alias("_entry")).distinct()
     steps = [step, written(step.where("_segment = 0 AND _entry = 0").unionByName(step.where("_segment > 0").join(met, ["_g", "_segment", "_entry"], "left_semi")))]
@@ -151,12 +140,32 @@ def token_batches(items: DataFrame, group: list[str], order: list[str], tokens:
         levels.append(written(a.join(b, ["_g", "_segment", "_exit"]).select("_g", "_segment", "_entry", F.col("_to").alias("_exit"), (F.col("_begun") + F.col("_more")).alias("_begun"))))
         span *= 2
     reached = [written(step.where("_segment = 0 AND _entry = 0").select("_g", "_segment", "_entry", F.lit(0).cast("long").alias("_begun")))]
-    for level in reversed(levels) if last else ():
+    for level in reversed(levels):
         ahead = reached[-1].join(level.withColumnRenamed("_begun", "_more"), ["_g", "_segment", "_entry"])
         ahead = ahead.select("_g", (F.col("_segment") + span).alias("_segment"), F.col("_exit").alias("_entry"), (F.col("_begun") + F.col("_more")).alias("_begun"))
         reached.append(written(reached[-1].unionByName(ahead)))
         span //= 2
-    held = rows.join(reached[-1], ["_g", "_segment"])
+    dropped(*steps, *levels[1:], *reached[:-1])
+    return reached[-1]
+
+
+def token_batches(items: DataFrame, group: list[str], order: list[str], tokens: str, max_tokens: int = 8000, max_items: int = 2048) -> DataFrame:
+    """Adds batch (from 0 in each group): in order, an item begins a new batch if it would bring the one before
+    it over `max_tokens` or `max_items`. An item over `max_tokens` is a batch of its own; null tokens are none; rows that
+    are equal in `order` come in any order; a null group is a group.
+
+    What comes next hangs on all before, yet no task holds a group: it is cut into segments of a fixed number of items. A
+    batch that begins at one of a segment's first `max_items` items leads to one start in the next segment. These pointers
+    are doubled, joined with themselves over 2, 4, 8... segments, and followed from the group's first item to the first
+    start of each segment, within which starts follow from each other."""
+    size = max(_SEGMENT, max_items)
+    names = [*items.columns, "batch"]
+    laid = placed(items.withColumn("_tokens", F.coalesce(F.col(tokens), F.lit(0)).cast("long")), group, order)
+    rows = written(laid.withColumn("_segment", F.floor(F.col("_i") / size)))
+    dropped(laid)
+    last = rows.agg(F.max("_segment")).first()[0] or 0
+    first = _first_starts(rows, size, last, max_tokens, max_items) if last else written(rows.select("_g", "_segment", F.lit(0).cast("long").alias("_entry"), F.lit(0).cast("long").alias("_begun")).distinct())
+    held = rows.join(first, ["_g", "_segment"])
     out = written(held.groupBy("_g", "_segment").applyInArrow(lambda t: _numbered(t, max_tokens, max_items), held.withColumn("batch", F.lit(0).cast("long")).schema).select(*names))
-    dropped(rows, *steps, *levels[1:], *reached)
+    dropped(rows, first)
     return out
