@@ -137,9 +137,10 @@ def _own(pieces: DataFrame, first: int, capacity: int) -> DataFrame:
     by = pieces.groupBy("length").agg(F.min("rank").alias("_least"), F.count("*").alias("_n")).withColumn("_each", F.floor(F.lit(capacity) / F.col("length")))
     by = by.withColumn("_full", F.floor(F.col("_n") / F.col("_each")))
     before = F.coalesce(F.sum("_full").over(Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    by = F.broadcast(by.select("length", "_least", "_each", "_full", before.alias("_before")))  # a row for each length
+    by = by.select("length", "_least", "_each", "_full", before.alias("_before")).crossJoin(pieces.sparkSession.range(first, first + 1).withColumnRenamed("id", "_first"))
+    by = F.broadcast(by)  # a row for each length
     at = F.floor((F.col("rank") - F.col("_least")) / F.col("_each"))
-    own = F.when(at < F.col("_full"), first + F.col("_before") + at)
+    own = F.when(at < F.col("_full"), F.col("_first") + F.col("_before") + at)
     free = F.when((at < F.col("_full")) & ((F.col("rank") - F.col("_least")) % F.col("_each") == 0), capacity - F.col("_each") * F.col("length"))
     return pieces.join(by, "length").select("length", "rank", own.alias("sequence_id"), free.alias("gap"))
 
@@ -209,33 +210,44 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket
     ranked = pieces.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "piece"))
     ranked = written(running(ranked, ["length"], hash_bucket("_h", max(1, -(-(hot or 0) // per_bucket))), ["_h", "doc_id", "piece"], F.lit(1), "_rank").drop("_h"))
     gaps, waiting = (spark.range(0).select(F.col("id").alias(a), F.col("id").alias(b)) for a, b in (("sequence_id", "gap"), ("length", "rank")))
-    first, states, over = 0, [], 0
+    first, states, opens, over = 0, [], [], 0
     alone = F.when(F.col("sequence_id").isNull(), F.col("length"))
     told = [F.count(alone), F.min(alone), F.sum(alone), F.max("sequence_id"), F.max("gap")]
+    none = F.lit(None).cast("long")
+
+    def opened(waiting: DataFrame, live: DataFrame) -> DataFrame:
+        """What a sweep reads, always as one table of one form, so that all sweeps have one plan."""
+        table = waiting.select("length", "rank", none.alias("sequence_id"), none.alias("gap")).union(live.select(none, none, "sequence_id", "gap"))
+        opens.append(out := written(table))
+        return out
+
+    parts = lambda table: (table.where(F.col("sequence_id").isNull()).select("length", "rank"), table.where(F.col("gap") > 0).select("sequence_id", "gap"))
     for k, ((hi, lo), n) in enumerate(zip(spans, numbers, strict=True)):
         if not n + over:
             continue
         waiting = waiting.union(ranked.where(phase(lo, hi)).select("length", F.col("_rank").alias("rank"))) if n else waiting
         small, live = gaps.where((F.col("gap") <= lo) & (F.col("gap") >= least)), gaps.where(F.col("gap") > lo)
-        last, sweep = not any(numbers[k + 1 :]), first > 0
-        left = n + over
+        last, sweep, left = not any(numbers[k + 1 :]), first > 0, n + over
+        waiting, live = parts(opened(waiting, live))
         while left:
             before = left
             state = _swept(_matched(waiting, live, None, per_bucket)) if sweep else _own(waiting, first, capacity)
             states.append(state := written(state))
             left, shortest, tokens, number, widest = state.agg(*told).first()
-            waiting = state.where(F.col("sequence_id").isNull()).select("length", "rank")
-            kept = state.where(F.col("gap") > 0).select("sequence_id", "gap")
+            waiting, kept = parts(state)
             if sweep:
                 live = kept
                 few = not last and (before - left) * _FEW < before
             else:
                 first = max(first, -1 if number is None else number + 1)
                 more, few = -(-(tokens or 0) // capacity), False
-                live = live.union(kept).union(spark.range(first, first + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap")))
+                new = spark.range(first, first + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"))
                 first, widest = first + more, capacity
+                live = live.union(kept).union(new)
                 if left <= capacity and not last:
                     break
+                if left:
+                    waiting, live = parts(opened(waiting, live))
             # The next sweep moves something if any gap holds any piece that waits.
             sweep = bool(left) and not few and widest is not None and widest >= shortest
         over = left
@@ -246,7 +258,7 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket
     upto = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "rank").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.select("length", F.col("rank").alias("_rank"), "sequence_id", F.coalesce(F.sum("length").over(upto), F.lit(0)).alias("offset"))
     out = written(ranked.join(placed, ["length", "_rank"]).select(*pieces.columns, "sequence_id", "offset"))
-    dropped(ranked, *states)
+    dropped(ranked, *states, *opens)
     return out
 
 
