@@ -35,8 +35,8 @@ def _joins() -> frozenset[str]:
 
 
 def _opens(c: str) -> bool:
-    """Whether a text cut before `c` is normalized part by part: nothing below U+0300 joins what precedes it."""
-    return c < "\u0300" or c not in _joins()
+    """Whether a text cut before `c` is normalized part by part, and `c` to one character, so that no word begins within it."""
+    return c < "\u0100" or c not in _joins() and len(unicodedata.normalize("NFC", c).lower()) == 1
 
 
 def boundaries(tokenizer, text: str, ends: bool) -> tuple[int, list[int], list[int]]:
@@ -45,13 +45,14 @@ def boundaries(tokenizer, text: str, ends: bool) -> tuple[int, list[int], list[i
     The tokenizer scans special strings and words from left to right, each match hangs on what follows its start only,
     and tokens do not cross words. So two scans that both have a word start at one place agree from there on, as far
     as both texts reach: what is after such a place needs nothing of what is before it. Left out are the places of words that
-    the end of the chunk may cut (the last one, unless the text itself `ends` there) and those before a character that normalization may join
-    to the one before. The end of the text is a place, too."""
+    the end of the chunk may cut (the last one, and what is nearer to the end than a special string is long, unless the text itself `ends` there) and
+    those before a character that normalization may join to the one before. The end of the text is a place, too."""
     encoded = tokenizer.encode(text, add_special_tokens=False)
     words, offsets = encoded.word_ids, encoded.offsets
     first = [k for k in range(len(words)) if k == 0 or words[k] != words[k - 1]]
     if not ends:
-        first = first[:-1]
+        special = max((len(x.content) for x in tokenizer.get_added_tokens_decoder().values()), default=0)
+        first = [k for k in first[:-1] if offsets[k][0] <= len(text) - special]
     first = [k for k in first if _opens(text[offsets[k][0]])]
     at, before = [offsets[k][0] for k in first], list(first)
     if ends:

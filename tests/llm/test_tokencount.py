@@ -48,6 +48,19 @@ def test_widening(spark):
     held(spark, texts, chunk=50, overlap=10)
 
 
+def test_characters_that_become_two(spark):
+    """Lower-casing or composing makes a letter and a mark of one character: a word begins within it."""
+    held(spark, ["aİ" * 60, "İ " * 60, "क़" * 40 + "\u0958" * 40, "x İİİ y " * 20], chunk=11, overlap=5)
+
+
+@pytest.mark.parametrize("end", range(2, 15))
+def test_special_strings_that_a_chunk_cuts(end):
+    """Before its end is seen a special string looks like words, whose places are none."""
+    text = "1<|endoftext|> and more"
+    _, left, _ = tokencount.boundaries(TOKENIZER, text[:end], False)
+    assert not [p for p in left if 1 < p < 14]
+
+
 def test_copies_and_nulls(spark):
     long = prose(9, 800)
     docs = spark.createDataFrame([(None, long, None, None, None), (7, long, None, None, None), (7, long, None, None, None), (None, None, None, None, None)], DOCS)
@@ -85,6 +98,6 @@ def test_common_places_are_safe(pieces, seed):
             assert n + n_right - shared[a] == count(text)
 
 
-@pytest.mark.parametrize("c, opens", [("a", True), ("日", True), ("́", False), ("ᅡ", False), ("ᆨ", False), ("゙", False), ("가", True), (" ", True)])
+@pytest.mark.parametrize("c, opens", [("a", True), ("日", True), ("́", False), ("ᅡ", False), ("ᆨ", False), ("゙", False), ("가", True), (" ", True), ("İ", False), ("\u0958", False)])
 def test_openers(c, opens):
     assert tokencount._opens(c) == opens
