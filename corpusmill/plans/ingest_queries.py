@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, text
 from ..operators import ingest, state
-from ..operators.tables import deleted, new_folder, written
+from ..operators.tables import deleted, dropped, new_folder, written
 from ..sources import files as sources
 from ..sources import reader
 from .registry import FILES, LOG, ROOT, SPACE, files, log, query, strip_sql, table
@@ -203,14 +203,19 @@ def failure_by_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH files AS (SELECT doc_id, coalesce(text, '') || chr(10) AS body FROM documents)
 SELECT doc_id, md5(replace(replace(body, chr(13) || chr(10), chr(10)), chr(13), chr(10))) AS text_md5, strlen(body) AS length FROM files WHERE strlen(body) > 400""")
 def files_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document as a text file of Spark's writer, read back in parts of 1 MB; files of up to 400 bytes are filtered out
-    and never opened."""
+    """Each document as a text file that a task writes, found by tasks and read back in parts of 1 MB; files of up to 400 bytes are
+    filtered out and never opened."""
     top = new_folder(spark)
-    table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value")).write.partitionBy("doc_id").text(f"{top}/in")
-    found = sources.scan(spark, f"{top}/in", [".txt"]).select("path", "ext", "length")
+    sources.write_texts(table(spark, sf_dir, "documents"), f"{top}/in", "doc_id", "text")
+    found = sources.scan_by_tasks(spark, f"{top}/in", [".txt"]).select("path", "ext", "length")
     listed = reader.listed(found, 1 << 20)
+    folders = written(found.select(F.regexp_extract("path", "^(.*)/", 1).alias("path")).distinct())
+    dropped(found)
     rows = reader.read(spark, listed).where(F.col("length") > 400)
-    out = written(rows.select(F.regexp_extract("path", "doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"), F.md5("text").alias("text_md5"), "length"))
+    doc_id = F.nullif(F.regexp_extract("path", "-doc_id=(-?[0-9]*)[.]txt$", 1), F.lit("")).cast("long")
+    out = written(rows.select(doc_id.alias("doc_id"), F.md5("text").alias("text_md5"), "length"))
+    sources.delete_folders(folders)
+    dropped(folders)
     for folder in (top, listed.folder):
         deleted(spark, folder)
     return out

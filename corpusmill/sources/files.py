@@ -12,11 +12,16 @@ from functools import partial
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileType
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
+from ..operators.tables import written
 from .compound import Compound, Damaged
+from .place import opened_for
 
 Converter = Callable[[bytes], str]
 
@@ -29,6 +34,67 @@ def scan(spark: SparkSession, root: str, extensions: list[str] = rules.TARGET_EX
     return files.withColumn("ext", text.suffix("path")).where(F.col("ext").isin(extensions)).select(*columns, "ext")
 
 
+def scan_by_tasks(spark: SparkSession, root: str, extensions: list[str] = rules.TARGET_EXTENSIONS) -> DataFrame:
+    """The rows of `scan`, without content, where Arrow can open `root`: each level of folders is listed by tasks and written, so the
+    driver sees no names, however many files there are."""
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                fs, place = opened_for(folder)
+                before = folder.removesuffix(place) if "://" in folder and not folder.startswith("file:") else "file:"
+                held = [x for x in fs.get_file_info(FileSelector(place, allow_not_found=True)) if x.base_name[:1] not in "._"]
+                columns = [[before + x.path for x in held], [x.mtime for x in held], [x.size for x in held], [x.type == FileType.Directory for x in held]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["path", "modificationTime", "length", "is_folder"])
+
+    types = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.bool_()]
+    tasks, levels = int(spark.conf.get("spark.sql.shuffle.partitions")), []
+    folders = spark.createDataFrame([(root.rstrip("/"),)], "path string")
+    while not levels or not folders.isEmpty():
+        levels.append(written(folders.repartition(tasks if levels else 1).mapInArrow(below, "path string, modificationTime timestamp, length long, is_folder boolean")))
+        folders = levels[-1].where("is_folder").select("path")
+    files = levels[0]
+    for level in levels[1:]:
+        files = files.unionByName(level)
+    files = files.where("NOT is_folder AND length > 0").withColumn("ext", text.suffix("path"))
+    return files.where(F.col("ext").isin(extensions)).select("path", "modificationTime", "length", "ext")
+
+
+def write_texts(rows: DataFrame, folder: str, key: str, value: str, a_folder: int = 1000) -> int:
+    """Writes each row's `value` and a line feed as a file of its own, <task>/<number>/<row>-<key>=<its key>.txt below `folder`, `a_folder` files in a
+    folder, and returns how many; null is an empty text. A task that is run again replaces its own files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, task = 0, TaskContext.get().partitionId()
+        fs, top = opened_for(folder)
+        for batch in batches:
+            for name, body in zip(batch.column("key").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                place = f"{top}/{task}/{n // a_folder}"
+                if n % a_folder == 0:
+                    fs.create_dir(place, recursive=True)
+                with fs.open_output_stream(f"{place}/{n}-{key}={'' if name is None else name}.txt") as sink:
+                    sink.write(f"{body or ''}\n".encode())
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    made = rows.select(F.col(key).alias("key"), F.col(value).alias("value")).mapInArrow(run, "n long")
+    return made.agg(F.sum("n")).first()[0] or 0
+
+
+def delete_folders(folders: DataFrame) -> None:
+    """Deletes the folders of `folders` (path) with what is in them, each by a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                fs, place = opened_for(folder)
+                if fs.get_file_info(place).type == FileType.Directory:
+                    fs.delete_dir(place)
+            yield batch
+
+    folders.select("path").mapInArrow(run, "path string").count()
+
+
 def top_folders(files: DataFrame, root: str) -> DataFrame:
     """The folders right below `root` that hold any of `files` (path), by name, with the number of files."""
     inside = F.split(F.substring("path", len(root.rstrip("/")) + 2, 1 << 20), "/")

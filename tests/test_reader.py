@@ -107,3 +107,20 @@ def test_a_run_that_dies_is_resumed(spark, tmp_path):
     assert runs.current(spark, f"{tmp_path}/vectors").count() == 8
     log = [r.event for r in store.log().where("file_path like '%f004.txt'").orderBy("seq").collect()]
     assert log == ["processing", "pending", "processing", "completed"]
+
+
+def test_files_are_written_listed_and_deleted_by_tasks(spark, tmp_path):
+    """Rows with one key, or none, are files of their own; folders hold a bounded number of files; what is found is what Spark's source finds."""
+    rows = spark.createDataFrame([(k if k % 7 else None, None if k == 3 else f"é {k % 4}\n") for k in range(40)] * 2, "k long, t string").repartition(3)
+    assert files.write_texts(rows, f"{tmp_path}/in", "k", "t", 10) == 80
+    assert max(len(names) for _, _, names in os.walk(tmp_path / "in")) <= 10
+    (tmp_path / "in" / "_hidden.txt").write_text("x")
+    (tmp_path / "in" / "other.jpg").write_text("x")
+    show = lambda df: sorted((r.path, r.length, r.ext, r.modificationTime) for r in df.collect())
+    found = files.scan_by_tasks(spark, f"file://{tmp_path}/in")
+    assert show(found.withColumn("modificationTime", F.date_trunc("second", "modificationTime"))) == show(files.scan(spark, f"{tmp_path}/in").withColumn("modificationTime", F.date_trunc("second", "modificationTime")))
+    read = reader.read(spark, reader.listed(found.select("path", "ext", "length"), 64))
+    assert sorted(r.text for r in read.collect()) == sorted((r.t or "") + "\n" for r in rows.collect())
+    files.delete_folders(found.select(F.regexp_extract("path", "^(.*)/", 1).alias("path")).distinct())
+    assert not [x for _, _, names in os.walk(tmp_path / "in") for x in names if "k=" in x]
+    assert files.scan_by_tasks(spark, f"{tmp_path}/in/none").count() == 0
