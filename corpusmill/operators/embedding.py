@@ -31,9 +31,9 @@ def hashing(dimension: int = 384) -> Callable[[], Provider]:
             out = np.zeros((len(texts), dimension), np.float32)
             for row, text in zip(out, texts, strict=True):
                 words = text.lower().split()
-                for term in [*words, *map(" ".join, zip(words[:-1], words[1:], strict=True))]:
-                    h = xxhash.xxh3_64_intdigest(term)
-                    row[h % dimension] += 1 if h >> 63 else -1
+                terms = [*words, *map(" ".join, zip(words[:-1], words[1:], strict=True))]
+                h = np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64, len(terms))
+                row += np.bincount((h % dimension).astype(np.intp), np.where(h >> 63, 1.0, -1.0), dimension)
             return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
         return embed
@@ -80,20 +80,29 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         yield from batch.to_pylist()
 
 
+#: Calls that a worker announces in a round, at most, and tokens with which a round is full.
+_AHEAD, _AHEAD_TOKENS = 256, 1 << 21
+
+
 def in_rounds(mine: Iterator[tuple[int, Callable[[], object]]], gather: Callable[[str], list[str]], place: int, limiter: RateLimiter) -> Iterator[object]:
-    """What the calls of `mine` (tokens, call) return, one a round. In each round all workers tell what they are about to send; each acquires the
-    tokens of all, in the order of the workers, and sends when its own turn has come. So all keep the same account of one
-    rate, whoever has more left to do, and go on until nobody has."""
+    """What the calls of `mine` (tokens, call) return, in order. In each round all workers tell the calls that they are about to make; each acquires the
+    tokens of all, the first call of each worker, then the second of each, and makes a call when its own turn has come. So all keep the
+    same account of one rate, whoever has more left to do, and go on until nobody has. A round is many calls, as workers meet but about once
+    a second."""
     while True:
-        tokens, call = next(mine, (None, None))
-        told = [json.loads(x) for x in gather(json.dumps(tokens))]
-        if all(x is None for x in told):
+        ahead, size = [], 0
+        while len(ahead) < _AHEAD and size < _AHEAD_TOKENS and (item := next(mine, None)) is not None:
+            ahead.append(item)
+            size += item[0]
+        told = [json.loads(x) for x in gather(json.dumps([tokens for tokens, _ in ahead]))]
+        if not any(told):
             return
-        for k, n in enumerate(told):
-            if n is not None:
-                limiter.acquire(n)
-            if k == place and call is not None:
-                yield call()
+        for turn in range(max(map(len, told))):
+            for k, tokens in enumerate(told):
+                if turn < len(tokens):
+                    limiter.acquire(tokens[turn])
+                    if k == place:
+                        yield ahead[turn][1]()
 
 
 def embedded_by_budget(chunks: DataFrame, order: list[str], tokens: str, provider: Callable[[], Provider] | None = None, dimension: int = 384, max_tokens: int = 8000, max_items: int = 2048, rate: float = 900_000, requests: float = 3000, workers: int | None = None) -> DataFrame:

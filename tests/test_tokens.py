@@ -121,6 +121,26 @@ def test_workers_keep_one_rate():
     assert sent[-1][0] == pytest.approx((sum(map(sum, work)) - 1000) / 1000, abs=0.01)
 
 
+def test_workers_meet_once_for_many_calls():
+    """A meeting of barrier tasks takes about a second, so a thousand calls must not take a thousand of them."""
+    meetings, limiter = [], RateLimiter(6e9, 6e12)
+    mine = ((10, lambda k=k: k) for k in range(1000))
+    got = list(embedding.in_rounds(mine, lambda message: meetings.append(message) or [message], 0, limiter))
+    assert got == list(range(1000)) and len(meetings) <= 6
+
+
+def test_hashed_vectors_are_sums_of_signs():
+    import xxhash
+
+    texts = ["", "a", "b a  b a c", "한 Word " * 50]
+    for text, got in zip(texts, embedding.hashing(16)()(texts), strict=True):
+        words, want = text.lower().split(), np.zeros(16)
+        for term in [*words, *map(" ".join, zip(words[:-1], words[1:]))]:
+            h = xxhash.xxh3_64_intdigest(term)
+            want[h % 16] += 1 if h >> 63 else -1
+        assert got.dtype == np.float32 and np.allclose(got, want / max(np.linalg.norm(want), 1e-12))
+
+
 def counting(dimension, most):
     def make():
         model = embedding.hashing(dimension)()
