@@ -3,15 +3,36 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _CHECKPOINT = "spark.checkpoint.dir"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Texts and files are long rows, and a Python task holds a batch several times: batches end after `rows` rows or `size` bytes (a
+    longer row is one of its own). Smaller settings of the session's own stay."""
+    for name, most in ((_BATCH, rows), (_BATCH_BYTES, size)):
+        now = int(str(spark.conf.get(name)).removesuffix("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
+
+
+def give_back() -> None:
+    """At the end of a task: returns what its Python worker has freed to the system, as workers live on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -183,3 +183,36 @@ def test_counted_tokens_bound_batches(spark):
     items = docs.withColumn("n", bpe.token_counter(spark, PATH, public_tokenizers.PATTERN)("text"))
     sums = chunking.token_batches(items, [], ["id"], "n", 300, 20).groupBy("batch").agg(F.sum("n").alias("s"), F.count("*").alias("c")).collect()
     assert all(r.s <= 300 and r.c <= 20 for r in sums) and len(sums) > 5
+
+
+def test_texts_come_in_small_batches(spark):
+    """A task holds a bounded number of rows, whatever the size of the table."""
+    from pyspark.sql.functions import pandas_udf
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    bpe.token_counter(spark, PATH, public_tokenizers.PATTERN)
+
+    @pandas_udf("long")
+    def rows(x):
+        return x * 0 + len(x)
+
+    assert spark.range(9000).repartition(1).select(rows("id").alias("n")).agg(F.max("n")).first()[0] <= 1000
+
+
+def test_tokens_are_counted_once(spark, sf_dir, monkeypatch):
+    """A sort by range reads its input twice, so what is costly is written before it."""
+    from corpusmill.plans import text_queries
+
+    counted = spark.sparkContext.accumulator(0)
+
+    def counter(_):
+        @F.udf("long")
+        def count(text):
+            counted.add(1)
+            return len(text or "")
+
+        return count
+
+    monkeypatch.setattr(text_queries, "_counter", counter)
+    n = text_queries.token_batches_counted(spark, sf_dir).count()
+    assert n == counted.value
