@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions import bpe, text, vectors
 from ..operators import chunking, embedding, search, vector_index
+from ..operators.tables import dropped, small_batches, written
 from ..sources import compound
 from ..sources.files import converted
 from ..streaming.ingest import file_stream, ingest
@@ -84,8 +85,11 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def token_batches_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = _docs(spark, sf_dir).select("source", "doc_id", _counter(spark)("text").alias("tokens"))
-    return chunking.token_batches(items, ["source"], ["doc_id"], "tokens")
+    # Written, as a sort by range reads its input twice.
+    items = written(_docs(spark, sf_dir).select("source", "doc_id", _counter(spark)("text").alias("tokens")))
+    out = chunking.token_batches(items, ["source"], ["doc_id"], "tokens")
+    dropped(items)
+    return out
 
 
 @query("""WITH RECURSIVE items AS (SELECT doc_id, ceil(strlen(coalesce(text, '')) / 4.0)::BIGINT AS tokens, row_number() OVER (ORDER BY doc_id) AS k FROM documents
