@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from .common import small_batches, written
 
 _CHUNK = 4096
+#: Pairs of equal codes that are counted at a time, about.
+_PAIRS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -82,8 +84,8 @@ def codes(image: np.ndarray) -> np.ndarray:
         bands = total[:, p1] - total[:, p0]
         return bands[t1 : t1 + n] - bands[t0 : t0 + n]
 
-    out = np.zeros(n, np.uint32)
-    for kind, p, h, w in _filters():
+    ratio = np.empty((16, n))
+    for k, (kind, p, h, w) in enumerate(_filters()):
         q, whole = p + h, area(0, w, p, p + h)
         a = (
             lambda: whole,
@@ -94,10 +96,10 @@ def codes(image: np.ndarray) -> np.ndarray:
             lambda: area(w // 3, w - w // 3, p, q),
         )[kind]()
         b = area(0, w, 0, 12) - whole if kind == 0 and h < 12 else area(0, w, 0, 6) if kind == 0 else whole - a
-        ratio = np.log((1 + a) / (1 + np.maximum(b, 0)))
-        level = (ratio > -0.15).astype(np.uint32) + (ratio > 0) + (ratio > 0.15)
-        out = out << np.uint32(2) | (level ^ level >> np.uint32(1))
-    return out
+        np.divide(1 + a, 1 + np.maximum(b, 0), out=ratio[k])
+    np.log(ratio, out=ratio)
+    level = (ratio > -0.15).astype(np.uint32) + (ratio > 0) + (ratio > 0.15)
+    return np.bitwise_or.reduce((level ^ level >> np.uint32(1)) << np.arange(30, -1, -2, dtype=np.uint32)[:, None])
 
 
 def fingerprint(data: bytes | None, sound: Sound) -> np.ndarray:
@@ -110,15 +112,29 @@ def offset_votes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     of equal codes are counted one by one, or for a code with very many of them by a correlation of its
     places, which has the same sums."""
     votes = np.zeros(len(a) + len(b) - 1)
-    common = np.intersect1d(a, b)
+    if not len(a) or not len(b):
+        return votes
     size = 1 << int(np.ceil(np.log2(max(2, len(votes)))))
-    for code in common:
+    order = np.argsort(b, kind="stable")
+    own, place, n_a = np.unique(a, return_inverse=True, return_counts=True)
+    first, end = np.searchsorted(b[order], own, "left"), np.searchsorted(b[order], own, "right")
+    n_b = end - first
+    hot = n_a * n_b > 64 * size
+    pairs = np.where(hot, 0, n_b)[place]
+    upto = np.cumsum(pairs)
+    at = 0
+    while at < len(a) and upto[-1]:  # some places of a at a time
+        done = upto[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(upto, done + _PAIRS, "right")))
+        n = pairs[at:to]
+        each = np.repeat(np.arange(at, to), n)
+        of_b = order[first[place[each]] + np.arange(len(each)) - np.repeat(upto[at:to] - n - done, n)]
+        votes += np.bincount(each - of_b + len(b) - 1, minlength=len(votes))
+        at = to
+    for code in own[hot]:
         pa, pb = np.flatnonzero(a == code), np.flatnonzero(b == code)
-        if len(pa) * len(pb) <= 64 * size:
-            votes += np.bincount((pa[:, None] - pb[None, :]).ravel() + len(b) - 1, minlength=len(votes))
-        else:
-            ia, ib = np.bincount(pa, minlength=len(a)), np.bincount(len(b) - 1 - pb, minlength=len(b))
-            votes += np.rint(np.fft.irfft(np.fft.rfft(ia, size) * np.fft.rfft(ib, size), size))[: len(votes)]
+        ia, ib = np.bincount(pa, minlength=len(a)), np.bincount(len(b) - 1 - pb, minlength=len(b))
+        votes += np.rint(np.fft.irfft(np.fft.rfft(ia, size) * np.fft.rfft(ib, size), size))[: len(votes)]
     return votes
 
 

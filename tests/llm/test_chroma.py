@@ -73,3 +73,18 @@ def test_edges(spark):
     assert dict(kept.dtypes)["codes"] == "array<bigint>"
     pairs = kept.alias("x").join(kept.alias("y"), F.col("x.doc_id") == F.col("y.doc_id")).select("x.doc_id", F.col("x.codes").alias("a"), F.col("y.codes").alias("b"))
     assert {r.offset for r in chroma.aligned(pairs.where("doc_id in (5, 6)")).collect()} == {0}
+
+
+def test_votes_in_some_places_at_a_time(monkeypatch):
+    """Codes that are common, rare, hot and missing, with few pairs counted at a time; and few calls for many codes."""
+    monkeypatch.setattr(chroma, "_PAIRS", 7)
+    rng = np.random.default_rng(6)
+    a, b = (np.concatenate([rng.integers(0, 30, n), np.full(400, 99), rng.integers(200 + n, 230 + n, 9)]).astype(np.uint32) for n in (60, 80))
+    want = np.zeros(len(a) + len(b) - 1)
+    np.add.at(want, (np.arange(len(a))[:, None] - np.arange(len(b)) + len(b) - 1)[a[:, None] == b], 1)
+    assert (chroma.offset_votes(a, b) == want).all()
+    calls, real = [], np.flatnonzero
+    monkeypatch.setattr(chroma, "_PAIRS", 1 << 20)
+    monkeypatch.setattr(np, "flatnonzero", lambda x: calls.append(1) or real(x))
+    many = np.arange(3000, dtype=np.uint32)
+    assert chroma.offset_votes(many, many)[2999] == 3000 and len(calls) < 10
