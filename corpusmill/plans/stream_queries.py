@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators.tables import deleted, new_folder, written
+from ..operators.tables import deleted, dropped, new_folder, placed, written
 from ..streaming import stateful
 from .registry import LOG, log, query, table
 
 
+#: Rows (of a few numbers) in a file of a stream of batches, which a task writes and a trigger takes in.
+_FILE_ROWS = 250_000
+
+
 def _kept(top: str, rows: DataFrame) -> DataFrame:
     """`rows` as a table of their own; the folder that they were made in goes."""
     out = written(rows)
@@ -40,13 +44,19 @@ def status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM fold f JOIN items i ON i.source = f.source AND i.k = f.k + 1
 ) SELECT source AS lane, batch, count(*) AS items, sum(tokens)::BIGINT AS tokens, min(doc_id)::VARCHAR AS first_item FROM fold GROUP BY ALL""")
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each source is a lane; the documents arrive in four files by doc_id. What is still open at the end is read out of the state."""
+    """Each source is a lane; the documents arrive in order of doc_id, in four files or as many as hold a bounded number of rows. What is
+    still open at the end is read out of the state."""
     top = new_folder(spark, "stream")
     items = table(spark, sf_dir, "documents").select(F.col("source").alias("lane"), F.col("doc_id").alias("at"), F.col("doc_id").cast("string").alias("item"), text.estimated_tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
-    last = items.agg(F.max("at")).first()[0] or 0
-    part = F.floor(F.col("at") * 4 / (last + 1))
-    for k in range(4):
-        items.where(part == k).coalesce(1).write.mode("append").parquet(f"{top}/items")
+    laid = placed(items, [], ["at"])
+    n = laid.count()
+    rows = max(1, min(_FILE_ROWS, -(-n // 4)))
+    laid.select(*items.columns, F.floor(F.col("_i") / rows).alias("part")).repartition("part").write.partitionBy("part").parquet(f"{top}/laid")
+    dropped(laid)
+    for k in range(-(-n // rows)):
+        spark.read.schema(items.schema).parquet(f"{top}/laid/part={k}").coalesce(1).write.mode("append").parquet(f"{top}/items")
+    if not n:
+        items.write.parquet(f"{top}/items")
     arriving = spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(f"{top}/items")
     stateful.send_batches(stateful.embedding_batches(arriving, 8000, 16, idle_ms=None), f"{top}/sent", f"{top}/checkpoint").awaitTermination()
     every = spark.read.parquet(f"{top}/sent").drop("trigger").unionByName(stateful.left_open(spark, f"{top}/checkpoint"))

@@ -92,3 +92,29 @@ def test_the_session_keeps_its_provider(spark):
     with stateful.rocksdb(spark):
         assert spark.conf.get(stateful._PROVIDER).endswith("RocksDBStateStoreProvider")
     assert spark.conf.get(stateful._PROVIDER, None) == before
+
+
+def test_batches_arrive_in_bounded_files(spark, sf_dir, monkeypatch):
+    """A file of the stream holds a bounded number of rows, and no task that writes one reads the documents."""
+    from corpusmill.plans import stream_queries
+
+    want = rows_of(stream_queries.stream_batches(spark, sf_dir))
+    sizes, real = [], stateful.send_batches
+
+    def noted(batches, path, checkpoint, **trigger):
+        out = real(batches, path, checkpoint, **trigger)
+        found = spark.read.parquet(path.replace("/sent", "/items"))
+        sizes.extend(r["count"] for r in found.groupBy(F.input_file_name()).count().collect())
+        return out
+
+    monkeypatch.setattr(stream_queries, "_FILE_ROWS", 17)
+    monkeypatch.setattr(stateful, "send_batches", noted)
+    assert rows_of(stream_queries.stream_batches(spark, sf_dir)) == want
+    assert max(sizes) <= 17 and len(sizes) > 4
+
+
+def test_status_passes_no_row_through_python(spark, tmp_path):
+    log_of(spark, 40, ["a", "b"]).write.parquet(f"{tmp_path}/log")
+    stream = spark.readStream.schema(state.LOG).parquet(f"{tmp_path}/log")
+    plan = stateful.status_updates(stream)._jdf.queryExecution().logical().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "TransformWithState" not in plan
