@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -30,12 +29,11 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
 
 #: What is known of a file: its last event, its last completion, its last end, and how often it failed. Each part has the
 #: number of its event, so two such rows merge in any order.
-_FOLD = "last long, file_hash string, status string, run_id string, updated_at double, done long, chunks int, ended long, error string, failures int"
-_FOLD_NAMES = [x.split()[0] for x in _FOLD.split(", ")]
 _PARTS = ((0, 5), (5, 7), (7, 9))
 
 
 def _merged(a: tuple, b: tuple) -> tuple:
+    """What the aggregate of `status_updates` makes of two states; it hangs on no order."""
     out: list = []
     for start, end in _PARTS:
         later = b if b[start] is not None and (a[start] is None or b[start] > a[start]) else a
@@ -43,43 +41,17 @@ def _merged(a: tuple, b: tuple) -> tuple:
     return (*out, a[9] + b[9])
 
 
-def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found: dict[str | None, tuple] = {}
-        columns = [c.to_pylist() for c in batch.columns]
-        for key, *fold in zip(*columns, strict=True):
-            found[key] = _merged(found[key], tuple(fold)) if key in found else tuple(fold)
-        rows = [[key, *fold] for key, fold in found.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(columns), batch.schema, strict=True)], schema=batch.schema)
-
-
-class _Status(StatefulProcessor):
-    def init(self, handle) -> None:
-        self.fold = handle.getValueState("fold", _FOLD)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        held = tuple(self.fold.get()) if self.fold.exists() else None
-        for row in rows:
-            held = _merged(held, tuple(row)[1:]) if held else tuple(row)[1:]
-        self.fold.update(held)
-        yield Row(file_path=key[0], **dict(zip(_FOLD_NAMES, held, strict=True)))
-
-    def close(self) -> None:
-        pass
-
-
 def status_updates(log: DataFrame) -> DataFrame:
     """The status of each file that a trigger has events of, as a stream: `log` (as operators.state.LOG) may come in any
-    order and cut. Events are merged by task before the shuffle, so a file with many of them is few rows. A null path is a
-    file; of events with one number the first to come counts, and each counts as a failure."""
+    order and cut. It is an aggregate with state, which merges events by task before the shuffle, so a file with many of them is few rows and no
+    row goes through Python. A null path is a file; of events with one number the greatest counts, and each counts as a failure."""
     done, failed = F.col("event") == "completed", F.col("event") == "failed"
-    when = lambda which, x: F.when(which, F.col(x))
-    folds = log.select(
-        "file_path", F.col("seq").alias("last"), "file_hash", F.col("event").alias("status"), "run_id", F.col("ts").alias("updated_at"),
-        when(done, "seq").alias("done"), when(done, "chunks").alias("chunks"), when(done | failed, "seq").alias("ended"), when(failed, "error").alias("error"), failed.cast("int").alias("failures"),
+    last = F.struct(F.col("seq").alias("last"), "file_hash", F.col("event").alias("status"), "run_id", F.col("ts").alias("updated_at"))
+    folds = log.groupBy("file_path").agg(
+        F.max(last).alias("a"), F.max(F.when(done, F.struct(F.col("seq").alias("done"), "chunks"))).alias("b"),
+        F.max(F.when(done | failed, F.struct(F.col("seq").alias("ended"), F.when(failed, F.col("error")).alias("error")))).alias("c"), F.count_if(failed).cast("int").alias("failures"),
     )
-    schema = f"file_path string, {_FOLD}"
-    return folds.mapInArrow(_combined, schema).groupBy("file_path").transformWithState(_Status(), schema, "Update", "None")
+    return folds.select("file_path", "a.*", "b.*", "c.*", "failures")
 
 
 def keep_status(log: DataFrame, status_path: str, checkpoint: str) -> StreamingQuery:
