@@ -97,6 +97,12 @@ def probe_for(index: Index, queries: DataFrame, least: float = 0.9, k: int = 10,
     hashes: the smallest of 1, 2, 3, 4, 6, 8, 12... that reaches it, or all lists."""
     some = written(queries.select(query_key, "embedding").orderBy(F.xxhash64(query_key), query_key).limit(sample))
     exact, lists, probe = written(search(index, some, k, None, query_key)), max(1, len(index.middles)), 1
-    while probe < lists and recall(search(index, some, k, probe, query_key), exact, index.key, query_key) < least:
+    # A row of the exact result is found as soon as its list is looked into, so one pass tells the recall of any number of lists.
+    near = _nearest_lists(some, index.middles, lists).select(query_key, F.posexplode("lists").alias("nth", "list"))
+    held = index.rows.select(index.key, "list").join(F.broadcast(exact.select(query_key, index.key)), index.key)  # k rows a query
+    first = held.join(F.broadcast(near), [query_key, "list"]).groupBy(query_key, index.key).agg(F.min("nth").alias("nth"))
+    hits = dict(exact.join(F.broadcast(first), [query_key, index.key]).groupBy("nth").count().collect())  # a row for each list at most
+    total = exact.count()
+    while probe < lists and total and sum(n for nth, n in hits.items() if nth < probe) < least * total:
         probe = probe * 3 // 2 if probe & (probe - 1) == 0 and probe > 1 else max(probe + 1, probe // 3 * 4)
     return min(probe, lists)

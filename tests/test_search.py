@@ -64,3 +64,10 @@ def test_centres_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(vector_index, "MOST_NUMBERS", 3)
     with pytest.raises(ValueError, match="more than 3"):
         vector_index.centres(spark.createDataFrame([(1, [1.0, 0.0])], SCHEMA), 2)
+
+
+def test_the_recall_of_all_probes_is_one_search(vectors, monkeypatch):
+    queries, calls, real = asked(vectors), [], vector_index.search
+    index = vector_index.built(vectors, vector_index.centres(vectors, 32), part_rows=40)
+    monkeypatch.setattr(vector_index, "search", lambda *a, **k: calls.append(1) or real(*a, **k))
+    assert vector_index.probe_for(index, queries, 0.9, sample=15) > 1 and len(calls) == 1
