@@ -169,8 +169,8 @@ def _fields(header: str | None) -> str:
         import yaml
     except ImportError:
         yaml = None
-    if yaml:
-        found = yaml.safe_load(header or "")
+    if yaml:  # the library's C parser, where it has one, reads the same fields several times as fast
+        found = yaml.load(header or "", getattr(yaml, "CSafeLoader", yaml.SafeLoader))
     else:
         found = {k.strip(): json.loads(v) for k, _, v in (x.partition(":") for x in (header or "").splitlines() if x.strip())}
     return json.dumps(found if isinstance(found, dict) else {}, ensure_ascii=False, default=str)

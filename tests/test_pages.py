@@ -68,3 +68,14 @@ def test_pages_are_generated_and_kept(spark, tmp_path):
     assert {r.name for r in pages.generated(registry, counts, old, "core").select("name").distinct().collect()} == {"core/index.md"}
     with pytest.raises(ValueError, match="no project 'nope'"):
         pages.generated(registry, counts, old, "nope")
+
+
+def test_headers_are_read_by_the_fast_parser(monkeypatch):
+    if not hasattr(yaml, "CSafeLoader"):
+        return
+    header = "file_count: -1\nnote: 'é: x'\nday: 2020-01-02\nmore:\n  depth: 4\n  list: [1, two, null]"
+    want = yaml.safe_load(header)
+    monkeypatch.setattr(yaml, "SafeLoader", None)
+    monkeypatch.setattr(yaml, "safe_load", None)
+    got = json.loads(pages._fields(header))
+    assert got == {**want, "day": "2020-01-02"} and pages._fields(None) == pages._fields("- 1") == "{}"
