@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .tables import dropped, placed, written
+from .tables import dropped, give_back, placed, small_batches, written
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
@@ -69,7 +69,9 @@ def chunked(docs: DataFrame, size: int = 1000, overlap: int = 200, separators: t
         def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
                 yield batch.map(lambda s: split_text(s, size, overlap, separators) if isinstance(s, str) and s.strip() else [])
+            give_back()
 
+        small_batches(docs.sparkSession)
         pieces = docs.withColumn("_chunks", cut("text"))
     others = [c for c in docs.columns if c not in ("text", "chunk_id", "chunk_index", "total_chunks")]
     rows = pieces.select(*others, F.size("_chunks").alias("total_chunks"), F.posexplode("_chunks").alias("chunk_index", "text"))

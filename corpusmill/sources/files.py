@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
-from ..operators.tables import written
+from ..operators.tables import give_back, small_batches, written
 from .compound import Compound, Damaged
 from .place import opened_for
 
@@ -288,6 +288,8 @@ def converted(files: DataFrame, converters: dict[str, Converter] | None = None)
                 except Exception as e:  # a damaged file must not end the job; its cause is kept
                     rows.append((None, f"conversion: {type(e).__name__}: {e}"))
             yield batch.assign(text=[x for x, _ in rows], error=[x for _, x in rows])
+        give_back()
 
+    small_batches(files.sparkSession)
     files = files.drop("text", "error")
     return files.mapInPandas(run, files.drop("content").withColumns({"text": F.lit(None).cast("string"), "error": F.lit(None).cast("string")}).schema)

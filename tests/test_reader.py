@@ -124,3 +124,10 @@ def test_files_are_written_listed_and_deleted_by_tasks(spark, tmp_path):
     files.delete_folders(found.select(F.regexp_extract("path", "^(.*)/", 1).alias("path")).distinct())
     assert not [x for _, _, names in os.walk(tmp_path / "in") for x in names if "k=" in x]
     assert files.scan_by_tasks(spark, f"{tmp_path}/in/none").count() == 0
+
+
+def test_conversion_takes_few_files_at_a_time(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    held = spark.range(3000).repartition(1).select("id", F.lit(".txt").alias("ext"), F.lit("some text").cast("binary").alias("content"))
+    assert files.converted(held).where("text = 'some text'").count() == 3000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
