@@ -50,9 +50,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     grouped = written(found.select(F.col("doc_id").alias("_row"), "component_id"))
     # Groups of one row need no choice.
     many = grouped.groupBy("component_id").count().where(F.col("count") > 1).select("component_id")
-    some = grouped.join(many, "component_id").join(rows.select("_row", "doc_id"), "_row")
+    some = written(grouped.join(many, "component_id").join(rows.select("_row", "doc_id"), "_row"))
     stays = some.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("_row"))
     gone = written(some.select("_row").join(stays.select("_row"), "_row", "left_anti"))
+    dropped(grouped, some)
     return _back(rows.join(gone, "_row", "left_anti"), docs, *used)
 
 

@@ -81,14 +81,18 @@ def _sketched(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, label of the nodes of `edges` (a, b): the smallest node that each is connected with. Each
     round takes the least label around a node and then that node's own; both are sums by key of rows,
-    with a hot node summed before the shuffle. Rounds are written, as the next ones build on them."""
-    both = written(edges.union(edges.select("b", "a")).where(F.col("a") != F.col("b")).distinct())
+    with a hot node summed before the shuffle. Rounds are written, as the next ones build on them.
+
+    Labels are merged with what looks them up, small ones too: sent to all tasks instead, each round's would go through
+    the driver, with a job and a thread for every join."""
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = written(edges.where(F.col("a") != F.col("b")).select(F.inline(ways)).distinct())
     table = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.lit(None).cast("long").alias("was"), F.least("node", "m").alias("label")))
     while True:
-        labels = table.select("node", "label")
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
-        new = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "m").alias("label"))
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        labels = table.select("node", "label").hint("merge")
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), F.lit(None).cast("long").alias("was"), "label")
+        new = table.select("node", F.col("label").alias("was"), "label").union(near).groupBy("node").agg(F.max("was").alias("was"), F.min("label").alias("label"))
+        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up")).hint("merge")
         new = written(new.join(up, "label").select("node", "was", F.least("label", "up").alias("label")))
         dropped(table)
         table = new

@@ -145,7 +145,19 @@ def _own(pieces: DataFrame, first: int, capacity: int) -> DataFrame:
     return pieces.join(by, "length").select("length", "rank", own.alias("sequence_id"), free.alias("gap"))
 
 
-def _matched(pieces: DataFrame, gaps: DataFrame, longest: int | None, per_bucket: int) -> DataFrame:
+def _classes(pieces: DataFrame, gaps: DataFrame, longest: int | None, per_bucket: int) -> DataFrame:
+    """A row for each size of `gaps` (kind 0) and `pieces` (kind 1): its places a gap, its buckets, and the places less the pieces of all sizes before it."""
+    count, whole = F.count("*").alias("count"), Window.partitionBy()
+    classes = gaps.groupBy(F.col("gap").alias("size")).agg(count, F.lit(0).alias("kind"), F.lit(0).cast("long").alias("least"))
+    classes = classes.unionByName(pieces.groupBy(F.col("length").alias("size")).agg(count, F.lit(1).alias("kind"), F.min("rank").alias("least")))
+    top = F.max(F.when(F.col("kind") == 1, F.col("size"))).over(whole) if longest is None else F.lit(longest)
+    classes = classes.withColumn("each", F.greatest(F.floor(F.col("size") / top), F.lit(1)))
+    signed = F.when(F.col("kind") == 0, F.col("count") * F.col("each")).otherwise(-F.col("count"))
+    before = F.coalesce(F.sum(signed).over(whole.orderBy(F.desc("size"), "kind").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return classes.select("size", "kind", "least", F.col("each").alias("_q"), F.ceil(F.col("count") / per_bucket).alias("_buckets"), before.alias("_before"))
+
+
+def _matched(pieces: DataFrame, gaps: DataFrame, longest: int | None, per_bucket: int, classes: DataFrame | None = None) -> DataFrame:
     """One sweep: each of `pieces` (length, rank) is matched with the smallest gap of `gaps` (sequence_id, gap) that
     holds it and that no longer one takes; a gap for several of length `longest` (by default that of the longest piece) has a place for each.
     Returns the pieces with their sequence_id, null where none is left, and the places (the first of each gap has the gap).
@@ -156,15 +168,9 @@ def _matched(pieces: DataFrame, gaps: DataFrame, longest: int | None, per_bucket
     its level, and on a level what closes is right after what opens it. Levels have at most a row of each
     class, so neither a hot length nor a hot gap meets in one task.
 
-    What changes from sweep to sweep is data, not part of the plan, so that its compiled code serves all of them."""
-    count, whole = F.count("*").alias("count"), Window.partitionBy()
-    classes = gaps.groupBy(F.col("gap").alias("size")).agg(count, F.lit(0).alias("kind"), F.lit(0).cast("long").alias("least"))
-    classes = classes.unionByName(pieces.groupBy(F.col("length").alias("size")).agg(count, F.lit(1).alias("kind"), F.min("rank").alias("least")))
-    top = F.max(F.when(F.col("kind") == 1, F.col("size"))).over(whole) if longest is None else F.lit(longest)
-    classes = classes.withColumn("each", F.greatest(F.floor(F.col("size") / top), F.lit(1)))
-    signed = F.when(F.col("kind") == 0, F.col("count") * F.col("each")).otherwise(-F.col("count"))
-    before = F.coalesce(F.sum(signed).over(whole.orderBy(F.desc("size"), "kind").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    classes = classes.select("size", "kind", "least", F.col("each").alias("_q"), F.ceil(F.col("count") / per_bucket).alias("_buckets"), before.alias("_before"))
+    What changes from sweep to sweep is data, not part of the plan, so that its compiled code serves all of them. `classes`
+    is what `_classes` returns, written: a sweep looks it up three times, and would plan and take it as often."""
+    classes = _classes(pieces, gaps, longest, per_bucket) if classes is None else classes
     of = lambda kind, *columns: F.broadcast(classes.where(F.col("kind") == kind).select(F.col("size").alias("_size"), "_before", *columns))  # noqa: E731  at most a row for each size
     places = gaps.join(of(0, "_q", "_buckets"), F.col("gap") == F.col("_size")).withColumn("_h", F.xxhash64("sequence_id"))
     bucket = F.shiftright(F.shiftrightunsigned("_h", 33) * F.col("_buckets"), 31)
@@ -231,8 +237,12 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, seed: int = 29, per_bucket
         waiting, live = parts(opened(waiting, live))
         while left:
             before = left
-            state = _swept(_matched(waiting, live, None, per_bucket)) if sweep else _own(waiting, first, capacity)
-            states.append(state := written(state))
+            if sweep:
+                classes = written(_classes(waiting, live, None, per_bucket))
+                states.append(state := written(_swept(_matched(waiting, live, None, per_bucket, classes))))
+                dropped(classes)
+            else:
+                states.append(state := written(_own(waiting, first, capacity)))
             left, shortest, tokens, number, widest = state.agg(*told).first()
             waiting, kept = parts(state)
             if sweep:

@@ -80,3 +80,13 @@ def test_signatures_estimate_likeness():
 
     true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     assert abs((minhash.signature(a, 2000) == minhash.signature(b, 2000)).mean() - true) < 0.05
+
+
+def test_labels_do_not_pass_through_the_driver(spark, monkeypatch):
+    """Small labels, too, are merged and not broadcast, round after round."""
+    plans, write = [], minhash.written
+    monkeypatch.setattr(minhash, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(12)], "a long, b long")
+    found = {r.node: r.label for r in minhash.components(edges).collect()}
+    assert found == dict.fromkeys(range(13), 0)
+    assert len(plans) > 2 and not any("BroadcastExchange" in p for p in plans)

@@ -132,3 +132,15 @@ def test_pieces_that_wait_over_several_phases(spark):
     sums = packing.best_fit(pieces, per_bucket=7).groupBy("sequence_id").agg(F.sum("length").alias("s"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
     assert sum(r.s for r in sums) == sum(lengths) and all(r.s == r.end <= 2048 for r in sums)
     assert len(sums) <= sequential(lengths, 2048) + 1
+
+
+def test_sweeps_look_up_written_classes(spark, monkeypatch):
+    """A sweep's classes are grouped once, not again for each of its joins: smaller plans in the driver."""
+    pieces = spark.createDataFrame([(i, 0, 1 + i * 37 % 90) for i in range(60)], "doc_id long, piece int, length long")
+    plans, write = [], packing.written
+    monkeypatch.setattr(packing, "written", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df))
+    sums = packing.best_fit(pieces, 100).groupBy("sequence_id").agg(F.sum("length").alias("s")).collect()
+    assert max(r.s for r in sums) <= 100
+    sweeps = [p for p in plans if "posexplode" in p]
+    # One sum for each bucket is all that a sweep groups itself.
+    assert sweeps and all(p.count("Aggregate [") == 1 for p in sweeps)
