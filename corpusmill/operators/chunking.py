@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.characters import Characters
 from .tables import dropped, give_back, placed, small_batches, written
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
@@ -24,29 +26,20 @@ def fixed_windows(text_: Column | str, size: int = 1000, overlap: int = 200) ->
     return F.filter(F.transform(starts, lambda k: text.strip(F.substring(t, k * (size - overlap) + 1, F.lit(size)))), lambda s: s != "")
 
 
-def split_text(s: str, size: int = 1000, overlap: int = 200, separators: tuple[str, ...] = SEPARATORS) -> list[str]:
-    """Cuts at the first separator that occurs, which stays at the start of the piece after it; pieces of
-    `size` or more are cut on by the separators that follow. Short pieces are joined up to `size`, and a
-    chunk begins with as many of the last pieces as `overlap` allows."""
-    at = next(k for k, sep in enumerate(separators) if not sep or sep in s)
-    sep, rest = separators[at], separators[at + 1 :]
-    pieces = list(s) if not sep else [x for x in [p if not k else sep + p for k, p in enumerate(s.split(sep))] if x]
-    out: list[str] = []
+def _joined(pieces: Iterable[str | range], size: int, overlap: int, cut: Callable[[str | range], Iterable[str]] | None) -> Iterator[str]:
+    """Chunks of short pieces; pieces of `size` or more are cut on, if there is a way to."""
     window: list[str] = []
     total = 0
-
-    def emit() -> None:
-        if chunk := "".join(window).strip():
-            out.append(chunk)
-
     for piece in pieces:
-        if len(piece) >= size and rest:
-            emit()
+        if len(piece) >= size and cut:
+            if chunk := "".join(window).strip():
+                yield chunk
             window, total = [], 0
-            out += split_text(piece, size, overlap, rest)
+            yield from cut(piece)
             continue
         if total + len(piece) > size:
-            emit()
+            if chunk := "".join(window).strip():
+                yield chunk
             drop = 0
             while total > overlap or (total and total + len(piece) > size):
                 total -= len(window[drop])
@@ -54,8 +47,87 @@ def split_text(s: str, size: int = 1000, overlap: int = 200, separators: tuple[s
             window = window[drop:]
         window.append(piece)
         total += len(piece)
-    emit()
-    return out
+    if chunk := "".join(window).strip():
+        yield chunk
+
+
+def split_text(s: str, size: int = 1000, overlap: int = 200, separators: tuple[str, ...] = SEPARATORS) -> list[str]:
+    """Cuts at the first separator that occurs, which stays at the start of the piece after it; pieces of
+    `size` or more are cut on by the separators that follow. Short pieces are joined up to `size`, and a
+    chunk begins with as many of the last pieces as `overlap` allows."""
+    at = next(k for k, sep in enumerate(separators) if not sep or sep in s)
+    sep, rest = separators[at], separators[at + 1 :]
+    pieces = s if not sep else (x for x in (p if not k else sep + p for k, p in enumerate(s.split(sep))) if x)
+    return list(_joined(pieces, size, overlap, (lambda p: split_text(p, size, overlap, rest)) if rest else None))
+
+
+#: Characters of a piece that are held at once.
+_HELD = 1 << 20
+
+
+def _first_found(blocks: Iterable[str], separators: tuple[str, ...]) -> int:
+    """The number of the first separator that occurs in the text that `blocks` make; the empty one always does."""
+    best, kept, tail = next((k for k, sep in enumerate(separators) if not sep), len(separators)), "", max(map(len, separators)) - 1
+    for block in blocks:
+        kept += block
+        best = next((k for k in range(best) if separators[k] in kept), best)
+        if not best:
+            break
+        kept = kept[max(0, len(kept) - tail) :]
+    return best
+
+
+def _pieces(blocks: Iterable[str], start: int, sep: str, held: int | None) -> Iterator[str | range]:
+    """The text that `blocks` make, from place `start` on, cut before each separator; of pieces over `held` characters (a separator less) where they lie."""
+    if not sep:
+        for block in blocks:
+            yield from block
+        return
+    at, lead, kept, kept_at, long = start, "", "", start, False
+    for block in blocks:
+        kept += block
+        first, *more = kept.split(sep)
+        if more:
+            if long:
+                yield range(at, kept_at + len(first))
+            elif lead or first:
+                yield lead + first
+            for piece in more[:-1]:
+                yield sep + piece
+            kept_at += len(kept) - len(more[-1])
+            at, lead, kept, long = kept_at - len(sep), sep, more[-1], False
+        long = long or (held is not None and len(kept) > held)
+        if long:  # a separator may lie across two blocks
+            gone = max(0, len(kept) - len(sep) + 1)
+            kept_at, kept = kept_at + gone, kept[gone:]
+    if long:
+        yield range(at, kept_at + len(kept))
+    elif lead or kept:
+        yield lead + kept
+
+
+def split_characters(text_: Characters, size: int = 1000, overlap: int = 200, separators: tuple[str, ...] = SEPARATORS, within: range | None = None) -> Iterator[str]:
+    """The chunks of `split_text`, one after the other, of a text that is not held; pieces that are long are read again from where they lie."""
+    within = range(text_.length) if within is None else within
+    start, end = within.start, within.stop
+    if end - start <= _HELD:
+        yield from split_text("".join(text_.blocks(start, end)), size, overlap, separators)
+        return
+    at = _first_found(text_.blocks(start, end), separators)
+    sep, rest = separators[at], separators[at + 1 :]
+
+    def cut(piece: str | range) -> Iterable[str]:
+        return split_text(piece, size, overlap, rest) if isinstance(piece, str) else split_characters(text_, size, overlap, rest, piece)
+
+    yield from _joined(_pieces(text_.blocks(start, end), start, sep, max(_HELD, size + len(sep)) if rest else None), size, overlap, cut if rest else None)
+
+
+def counted(chunks: Callable[[], Iterable[str]], held: int = 1 << 14) -> tuple[int, Iterable[str]]:
+    """How many chunks there are, and the chunks. More than `held` are made twice, not held."""
+    made = iter(chunks())
+    first = list(islice(made, held))
+    more = sum(1 for _ in made)
+    return len(first) + more, chunks() if more else first
 
 
 def chunked(docs: DataFrame, size: int = 1000, overlap: int = 200, separators: tuple[str, ...] | None = SEPARATORS, source: str = "source_path") -> DataFrame:

@@ -38,10 +38,10 @@ def with_metadata(files: DataFrame, root: str, categories: list = rules.CATEGORI
     ).drop("_parts")
 
 
-def with_outcome(docs: DataFrame, least: int = 10, supported: Column | None = None) -> DataFrame:
+def with_outcome(docs: DataFrame, least: int = 10, supported: Column | None = None, characters: Column | None = None) -> DataFrame:
     """Adds status (success, skipped, failed) and reason. Unsupported files are skipped; texts that are null,
-    or shorter than `least` characters without the space around them, fail."""
-    short = F.coalesce(F.length(text.strip("text")) < least, F.lit(True))
+    or shorter than `least` characters without the space around them, fail. `characters` has that number where the text is not at hand."""
+    short = F.coalesce((F.length(text.strip("text")) if characters is None else characters) < least, F.lit(True))
     skip = F.lit(False) if supported is None else ~supported
     return docs.withColumns({"status": F.when(skip, "skipped").when(short, "failed").otherwise("success"), "reason": F.when(skip, "unsupported").when(short, "empty or too short")})
 
